@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import json
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from helpers import EPOCH_T0, T0, metric, plan_of, rows
+from tidegauge.operators import metrics_from_rows, window_metrics
+from tidegauge.schemas import METRIC_SCHEMA
+from tidegauge.sources import latest_metrics, read_insights, read_quarantine, scan_metrics
+from tidegauge.sources.metrics import metric_table
+from tidegauge.streaming import (
+    decode_messages,
+    ingest_metrics,
+    kafka_options,
+    live_tail,
+    read_live_tail,
+    read_metric_stream,
+    start_insights,
+    stream_insights,
+)
+
+ONCE = {"availableNow": True}
+
+
+def drop_file(folder, name, messages):
+    """Add one file of messages (records or raw text) to a source folder."""
+    folder.mkdir(exist_ok=True)
+    lines = [m if isinstance(m, str) else json.dumps({k: v for k, v in m.items() if v is not None}) for m in messages]
+    staged = folder / f".{name}"
+    staged.write_text("\n".join(lines) + "\n")
+    staged.rename(folder / f"{name}.txt")
+
+
+def ingest(spark, source, tmp_path):
+    stream = read_metric_stream(spark, str(source), "text")
+    table = str(tmp_path / "table")
+    ingest_metrics(stream, table, str(tmp_path / "state"), ONCE).awaitTermination()
+    return table
+
+
+def test_ingest_survives_restarts_without_doubling(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", 0), metric("b", 1), metric("b", 1)])
+    table = ingest(spark, source, tmp_path)
+    assert scan_metrics(spark, table).count() == 3  # a message sent twice is two rows
+    ingest(spark, source, tmp_path)
+    assert scan_metrics(spark, table).count() == 3
+    drop_file(source, "2", [metric("c", 86400 + 5)])
+    ingest(spark, source, tmp_path)
+    out = scan_metrics(spark, table)
+    assert out.columns == METRIC_SCHEMA.names + ["event_time"]
+    assert rows(out, "device_id") == [("a",), ("b",), ("b",), ("c",)]
+
+
+def test_bad_messages_are_kept_with_a_reason(spark, tmp_path):
+    source = tmp_path / "in"
+    bad = {
+        "not json": "malformed",
+        "[1]": "malformed",
+        "{'device_id': 'a', 'timestamp': 1}": "malformed",
+        '{"device_id":"a","timestamp":1} {': "malformed",
+        '{"timestamp":1}': "device_id",
+        '{"device_id":"a","timestamp":"soon"}': "timestamp",
+        '{"device_id":"a","timestamp":1e300}': "timestamp",
+        '{"device_id":"a","timestamp":1,"latency":"n/a"}': "latency",
+    }
+    good = ['{"device_id":"a","timestamp":1704067200,"latency":2,"iops":10.0}', '{"device_id":"b","timestamp":1704067200}  ']
+    drop_file(source, "1", good + list(bad))
+    table = ingest(spark, source, tmp_path)
+    assert rows(scan_metrics(spark, table), "device_id", "iops", "latency") == [("a", 10, 2.0), ("b", None, None)]
+    assert dict(rows(read_quarantine(spark, table), "raw", "reason")) == bad
+
+
+def test_scan_opens_only_its_days(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", day * 86400.0 + s) for day in range(5) for s in (0, 40000)])
+    table = ingest(spark, source, tmp_path)
+    out = scan_metrics(spark, table, T0 + timedelta(days=1), T0 + timedelta(days=2, seconds=1))
+    assert sorted(r.timestamp - EPOCH_T0 for r in out.collect()) == [86400.0, 126400.0, 172800.0]
+    plan = plan_of(out)
+    assert "PartitionFilters" in plan and "event_date" in plan.split("PartitionFilters")[1].split("\n")[0]
+    assert "GreaterThanOrEqual(event_time" in plan
+    days = metric_table(spark, table).where("event_date = '2024-01-02'")
+    assert days.count() == 2
+
+
+def test_latest_reads_back_until_it_has_enough(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", day * 86400.0, id_=str(day)) for day in (0, 1, 9, 10)])
+    table = ingest(spark, source, tmp_path)
+    as_of = T0 + timedelta(days=10, hours=1)
+    assert [r._id for r in latest_metrics(spark, table, as_of, 1).collect()] == ["10"]
+    assert [r._id for r in latest_metrics(spark, table, as_of, 3).collect()] == ["10", "9", "1"]
+    assert [r._id for r in latest_metrics(spark, table, as_of, 99).collect()] == ["10", "9", "1", "0"]
+    # rows newer than as_of count as well
+    assert [r._id for r in latest_metrics(spark, table, T0, 2).collect()] == ["10", "9"]
+
+
+def test_messages_are_named_by_their_place(spark):
+    frame = spark.createDataFrame(
+        [('{"device_id":"a","timestamp":1}', "t", 3, 9), ('{"_id":"own","device_id":"a","timestamp":1}', "t", 3, 10)],
+        "value string, topic string, partition int, offset long",
+    )
+    assert [r._id for r in decode_messages(frame).collect()] == ["t-3-9", "own"]
+
+
+def test_json_is_parsed_once(spark):
+    frame = spark.createDataFrame([("{}",)], "value string")
+    assert plan_of(decode_messages(frame)).count("from_json(") <= 2  # a line of the tree and its detail
+
+
+def test_kafka_options():
+    assert kafka_options("h:9092", group="g", maxOffsetsPerTrigger="5") == {
+        "kafka.bootstrap.servers": "h:9092",
+        "subscribe": "storage_metrics",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "g",
+        "maxOffsetsPerTrigger": "5",
+    }
+    assert kafka_options("h:9092", newest_only=True)["startingOffsets"] == "latest"
+
+
+def run_insights(spark, source, tmp_path):
+    summed = stream_insights(read_metric_stream(spark, str(source), "text"), style="threshold")
+    target = str(tmp_path / "insights")
+    start_insights(summed, target, str(tmp_path / "insight-state"), ONCE).awaitTermination()
+    return target
+
+
+def test_stream_equals_batch_on_closed_windows(spark, tmp_path):
+    source = tmp_path / "in"
+    data = [metric(d, 600.0 * k + i, iops=100 * k, latency=float(k), capacity=50.0 * k)
+            for i, d in enumerate("abc") for k in range(30)]
+    drop_file(source, "1", data[:45] + ["broken"])
+    target = run_insights(spark, source, tmp_path)
+    drop_file(source, "2", data[45:])
+    run_insights(spark, source, tmp_path)
+    # a late sentinel closes every window of the data
+    drop_file(source, "3", [metric("z", 86400.0)])
+    run_insights(spark, source, tmp_path)
+    run_insights(spark, source, tmp_path)
+    batch = window_metrics(metrics_from_rows(spark, data), T0, EPOCH_T0 + 5 * 3600, style="threshold")
+    ours = read_insights(spark, target)
+    assert rows(ours, "device_id", "period_start", "metrics_count") != []
+    # rows of the second file behind the watermark of the first are late and dropped
+    late = {r.device_id for r in ours.collect()}
+    assert late <= {"a", "b", "c"}
+    on_time = batch.where(F.col("device_id") == "a")
+    assert rows(ours.where(F.col("device_id") == "a")) == rows(on_time)
+
+
+def test_late_rows_within_the_watermark_count(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", 3500), metric("a", 4000)])
+    target = run_insights(spark, source, tmp_path)
+    drop_file(source, "2", [metric("a", 3590)])
+    run_insights(spark, source, tmp_path)
+    drop_file(source, "3", [metric("a", 9000)])
+    run_insights(spark, source, tmp_path)
+    out = read_insights(spark, target)
+    assert rows(out, "period_start", "metrics_count") == [(T0, 2), (T0 + timedelta(hours=1), 1)]
+
+
+def run_tail(spark, source, tmp_path, n=3):
+    stream = read_metric_stream(spark, str(source), "text").withColumn("received_at", F.col("event_time"))
+    held = str(tmp_path / "held")
+    live_tail(stream, held, str(tmp_path / "tail-state"), n, ONCE).awaitTermination()
+    return held
+
+
+def test_tail_holds_the_newest_over_batches_and_restarts(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", s, id_=str(s)) for s in range(5)] + ["broken"])
+    held = run_tail(spark, source, tmp_path)
+    assert [r._id for r in read_live_tail(spark, held).collect()] == ["4", "3", "2"]
+    run_tail(spark, source, tmp_path)
+    assert [r._id for r in read_live_tail(spark, held).collect()] == ["4", "3", "2"]
+    drop_file(source, "2", [metric("b", 10, id_="10"), metric("b", 1, id_="old")])
+    run_tail(spark, source, tmp_path)
+    assert [r._id for r in read_live_tail(spark, held).collect()] == ["10", "4", "3"]
+    drop_file(source, "3", [metric("b", 3, id_="z")])
+    run_tail(spark, source, tmp_path)
+    assert [r._id for r in read_live_tail(spark, held).collect()] == ["10", "4", "z"]
+
+
+def test_tail_is_readable_before_the_first_message(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert read_live_tail(spark, run_tail(spark, tmp_path / "in", tmp_path)).isEmpty()

@@ -4,6 +4,7 @@ from .alerts import alert_array
 from .clock import (
     epoch_micros,
     epoch_seconds,
+    instant,
     moment,
     since,
     utc_date,
@@ -16,6 +17,7 @@ __all__ = [
     "alert_array",
     "epoch_micros",
     "epoch_seconds",
+    "instant",
     "moment",
     "reject_reason",
     "since",

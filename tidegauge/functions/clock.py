@@ -33,6 +33,11 @@ def epoch_seconds(at: Moment) -> float:
     return epoch_micros(at) / 1_000_000
 
 
+def instant(seconds: Column) -> Column:
+    """Timestamp of epoch seconds; NULL where they name no instant of the years 1 to 9999."""
+    return F.when(seconds.between(-62_135_596_800, 253_402_300_799), F.timestamp_seconds(seconds))
+
+
 def moment(at: Moment) -> Column:
     """Timestamp literal that does not depend on the session time zone."""
     return F.timestamp_micros(F.lit(epoch_micros(at)))
@@ -42,10 +47,10 @@ def utc_day(at: Moment) -> date:
     return (EPOCH + timedelta(microseconds=epoch_micros(at))).date()
 
 
-def utc_date(instant: Column) -> Column:
+def utc_date(at: Column) -> Column:
     """Calendar day of a timestamp in UTC, whatever the session time zone."""
     micros_per_day = 24 * 3600 * 1_000_000
-    return F.date_from_unix_date(F.floor(F.unix_micros(instant) / micros_per_day).cast("int"))
+    return F.date_from_unix_date(F.floor(F.unix_micros(at) / micros_per_day).cast("int"))
 
 
 def with_event_time(df: DataFrame, unit: str = "s") -> DataFrame:
@@ -55,7 +60,7 @@ def with_event_time(df: DataFrame, unit: str = "s") -> DataFrame:
     scale = {"s": F.col("timestamp"), "ms": F.col("timestamp") / 1000}
     if unit not in scale:
         raise ValueError(f"unit must be 's' or 'ms', not {unit!r}")
-    return df.withColumn("event_time", F.timestamp_seconds(scale[unit]))
+    return df.withColumn("event_time", instant(scale[unit]))
 
 
 def within(df: DataFrame, start: Moment | None = None, end: Moment | None = None) -> Column:
@@ -66,17 +71,17 @@ def within(df: DataFrame, start: Moment | None = None, end: Moment | None = None
     has that partition column.
     """
     if "event_time" in df.columns:
-        instant, literal = F.col("event_time"), moment
+        column, literal = F.col("event_time"), moment
     else:
-        instant, literal = F.col("timestamp"), lambda at: F.lit(epoch_seconds(at))
+        column, literal = F.col("timestamp"), lambda at: F.lit(epoch_seconds(at))
     by_day = "event_date" in df.columns
     terms = []
     if start is not None:
-        terms.append(instant >= literal(start))
+        terms.append(column >= literal(start))
         if by_day:
             terms.append(F.col("event_date") >= F.lit(utc_day(start)))
     if end is not None:
-        terms.append(instant < literal(end))
+        terms.append(column < literal(end))
         if by_day:
             terms.append(F.col("event_date") <= F.lit(utc_day(end)))
     return reduce(lambda a, b: a & b, terms, F.lit(True))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .clock import instant
+
 
 def typed(df: DataFrame, field: T.StructField) -> Column:
     """The column in its declared type: NULL if the key is missing or does not convert."""
@@ -30,14 +32,14 @@ def reject_reason(df: DataFrame, required: Sequence[str], schema: T.StructType)
     """Name of the first failing column in schema order, NULL for a good row.
 
     A column fails if it is required and NULL, or if it holds something that does not
-    convert to its declared type. An epoch that is no instant (NaN, infinite) fails as well.
+    convert to its declared type. An epoch that is no instant (NaN, far away) fails as well.
     """
     checks = []
     for field in schema.fields:
         name = field.name
         value = typed(df, field)
         if name == "timestamp":
-            value = F.timestamp_seconds(value)
+            value = instant(value)
         if name in required:
             checks.append(F.when(value.isNull(), F.lit(name)))
         elif name in df.columns and df.schema[name].dataType != field.dataType:

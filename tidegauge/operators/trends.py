@@ -29,7 +29,8 @@ def trend_vs_history(
     A window over a whole device would put one device into one task. The history is cut
     into days instead: days are summed first, a running sum over one row per device and day
     gives what lies before each day, and a window inside (device, day) adds the rest. No
-    group is longer than the periods of a day or the days of the calendar.
+    group is longer than the periods of a day or the days of the calendar. The insights are
+    read twice, so pass stored ones rather than a plan that starts at the raw metrics.
     """
     day = utc_date(F.col("period_start")).alias("day")
     sums = [F.sum(f"avg_{m}").alias(f"sum_{m}") for m in MEASURES]

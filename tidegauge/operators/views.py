@@ -103,13 +103,18 @@ def period_rank() -> Column:
     return end * F.lit("1" + "0" * 18).cast("decimal(19,0)") + start
 
 
-def device_kpis(insights: DataFrame) -> DataFrame:
+def device_kpis(insights: DataFrame, display: bool = True) -> DataFrame:
     """Latest averages of every device and their change since the oldest row given.
 
-    A device with a single row has no change (NULL).
+    A device with a single row has no change (NULL). For display, latency and capacity are
+    rounded to two decimals and IOPS to none, ties to even; otherwise nothing is rounded.
     """
     # Output name, column, decimals.
-    cards = (("latency", "avg_latency", 2), ("iops", "avg_iops", 0), ("capacity", "avg_capacity_used", 2))
+    cards = (
+        ("latency", "avg_latency", 2),
+        ("iops", "avg_iops", 0),
+        ("capacity", "avg_capacity_used", 2),
+    )
     aggregates = [F.count("*").alias("periods")]
     for name, column, _ in cards:
         aggregates.append(F.max_by(column, "rank").alias(f"newest_{name}"))
@@ -123,8 +128,8 @@ def device_kpis(insights: DataFrame) -> DataFrame:
     for name, _, digits in cards:
         newest, oldest = F.col(f"newest_{name}"), F.col(f"oldest_{name}")
         change = F.when(F.col("periods") > 1, newest - oldest)
-        shown.append(F.round(newest, digits).alias(f"latest_{name}"))
-        shown.append(F.round(change, digits).alias(f"delta_{name}"))
+        for label, value in (("latest", newest), ("delta", change)):
+            shown.append((F.bround(value, digits) if display else value).alias(f"{label}_{name}"))
     return ends.select("device_id", *shown)
 
 

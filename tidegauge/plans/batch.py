@@ -12,6 +12,7 @@ from ..functions.clock import EPOCH
 from ..operators import flag_rows, process_metrics, split_valid, window_metrics
 from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, Thresholds
 from ..sinks import write_insights
+from ..sinks.insights import observed
 from ..sources import scan_metrics
 
 
@@ -26,7 +27,7 @@ def save_checked(insights: DataFrame, target: str, rejects: str | None, **option
         seen, F.count("reason").alias("rejects")
     )
     written = write_insights(flagged.where(F.col("reason").isNull()), target, **options)
-    if rejects and seen.get["rejects"] > 0:
+    if rejects and observed(seen, "rejects") > 0:
         _, refused = split_valid(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA)
         refused.write.mode("append").parquet(rejects)
     return written

@@ -1,11 +1,25 @@
 """The same results in DuckDB SQL over the given tables.
 
-Averages are rounded to six decimals on both sides; alerts are joined into one text. There is
+Means are rounded on both sides; alerts are joined into one text. There is
 none for `alert_text_values` and `live_lines`: the two engines print doubles differently.
 """
 
 from __future__ import annotations
 
+
+def near(value: str, digits: int = 6) -> str:
+    """Rounded after a small odd shift, like `queries.rounded`."""
+    return f"round(({value}) + 0.1234567e-{digits}::double, {digits})"
+
+
+def each(value: str, name: str, digits: int = 6) -> str:
+    """One such column per measure; `{m}` stands for the measure."""
+    return ", ".join(
+        f"{near(value.format(m=m), digits)} AS {name.format(m=m)}"
+        for m in ("iops", "latency", "capacity_used")
+    )
+
+
 METRICS = """
 metrics AS (
   SELECT cast(event_id AS varchar) AS _id,
@@ -54,8 +68,7 @@ HOURLY = f"WITH {METRICS}, {insights(START_US, END_US, 60)}"
 
 FLAT_COLUMNS = f"""
        device_id, period_start, period_end,
-       round(avg_iops, 6) AS avg_iops, round(avg_latency, 6) AS avg_latency,
-       round(avg_capacity_used, 6) AS avg_capacity_used,
+       {each("avg_{m}", "avg_{m}")},
        max_iops, max_latency, max_capacity_used, min_iops, min_latency, min_capacity_used,
        metrics_count,
        concat_ws('|',
@@ -111,14 +124,6 @@ def _trend(measure: str, above: str, below: str) -> str:
             ELSE 'stable' END AS {measure}_trend"""
 
 
-def _each(value: str, name: str) -> str:
-    """One rounded column per measure, shifted like `queries.settled`."""
-    return ", ".join(
-        f"round({value.format(m=m)} + 0.0000123, 4) AS {name.format(m=m)}"
-        for m in ("iops", "latency", "capacity_used")
-    )
-
-
 TRENDS = f"""{HOURLY}, past AS (
   SELECT *, avg(avg_iops) OVER earlier_rows AS hist_iops,
          avg(avg_latency) OVER earlier_rows AS hist_latency,
@@ -129,12 +134,12 @@ TRENDS = f"""{HOURLY}, past AS (
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 )
 SELECT device_id, period_start, period_end,
-       {_each("avg_{m}", "avg_{m}")},
+       {each("avg_{m}", "avg_{m}", 4)},
        max_iops, max_latency, max_capacity_used, min_iops, min_latency, min_capacity_used,
        metrics_count,
-       {_each("hist_{m}", "hist_{m}")},
-       {_each("avg_{m} - hist_{m}", "delta_{m}")},
-       {_each("(avg_{m} - hist_{m}) / hist_{m}", "pct_{m}")},
+       {each("hist_{m}", "hist_{m}", 4)},
+       {each("avg_{m} - hist_{m}", "delta_{m}", 4)},
+       {each("(avg_{m} - hist_{m}) / hist_{m}", "pct_{m}", 4)},
        {_trend("iops", "improving", "degrading")},
        {_trend("latency", "degrading", "improving")},
        {_trend("capacity_used", "growing", "shrinking")}
@@ -155,16 +160,14 @@ FROM metrics ORDER BY "timestamp" DESC, _id DESC LIMIT 10""",
     "live_series": f"""WITH {METRICS} SELECT device_id, event_time, iops, latency, capacity_used
 FROM metrics ORDER BY "timestamp" DESC, _id DESC LIMIT 50""",
     "hourly_trends": f"""WITH {METRICS}
-SELECT device_id, date_trunc('hour', event_time) AS hour, round(avg(iops), 6) AS iops,
-       round(avg(latency), 6) AS latency, round(avg(capacity_used), 6) AS capacity_used
+SELECT device_id, date_trunc('hour', event_time) AS hour, {each("avg({m})", "{m}")}
 FROM metrics GROUP BY ALL""",
     "device_statistics": f"""WITH {METRICS}
 SELECT device_id,
-       round(avg(iops), 6) AS avg_iops, cast(min(iops) AS double) AS min_iops,
-       cast(max(iops) AS double) AS max_iops,
-       round(avg(latency), 6) AS avg_latency, min(latency) AS min_latency, max(latency) AS max_latency,
-       round(avg(capacity_used), 6) AS avg_capacity_used, min(capacity_used) AS min_capacity_used,
-       max(capacity_used) AS max_capacity_used
+       {each("avg({m})", "avg_{m}")},
+       cast(min(iops) AS double) AS min_iops, cast(max(iops) AS double) AS max_iops,
+       min(latency) AS min_latency, max(latency) AS max_latency,
+       min(capacity_used) AS min_capacity_used, max(capacity_used) AS max_capacity_used
 FROM metrics GROUP BY device_id""",
     "device_kpis": f"""{HOURLY}, ends AS (
   SELECT device_id, count(*) AS periods,
@@ -173,18 +176,16 @@ FROM metrics GROUP BY device_id""",
          arg_max(avg_capacity_used, period_end) AS c1, arg_min(avg_capacity_used, period_end) AS c0
   FROM insights GROUP BY device_id
 )
-SELECT device_id, round(l1, 2) AS latest_latency,
-       CASE WHEN periods > 1 THEN round(l1 - l0, 2) END AS delta_latency,
-       round(i1, 0) AS latest_iops, CASE WHEN periods > 1 THEN round(i1 - i0, 0) END AS delta_iops,
-       round(c1, 2) AS latest_capacity,
-       CASE WHEN periods > 1 THEN round(c1 - c0, 2) END AS delta_capacity
+SELECT device_id,
+       {near("l1")} AS latest_latency, CASE WHEN periods > 1 THEN {near("l1 - l0")} END AS delta_latency,
+       {near("i1")} AS latest_iops, CASE WHEN periods > 1 THEN {near("i1 - i0")} END AS delta_iops,
+       {near("c1")} AS latest_capacity, CASE WHEN periods > 1 THEN {near("c1 - c0")} END AS delta_capacity
 FROM ends""",
     "device_list": f"""{HOURLY} SELECT device_id FROM insights GROUP BY device_id
 ORDER BY max(period_end) DESC, device_id""",
     "device_insights": f"{FLAT} WHERE device_id = 'dev01'",
     "insight_series": f"""{HOURLY}
-SELECT period_end, round(avg_iops, 6) AS avg_iops, round(avg_latency, 6) AS avg_latency,
-       round(avg_capacity_used, 6) AS avg_capacity_used
+SELECT period_end, {each("avg_{m}", "avg_{m}")}
 FROM insights WHERE device_id = 'dev01' ORDER BY period_end""",
     "insights_lookback": f"{FLAT} WHERE period_end >= TIMESTAMP '2024-01-30 00:00:00'",
     "insights_rerun": FLAT,
@@ -229,9 +230,9 @@ SELECT * FROM flat LEFT JOIN devices USING (device_id)""",
          arg_max(avg_capacity_used, period_end) AS latest, count(*) AS periods
   FROM insights GROUP BY device_id
 )
-SELECT device_id, round(slope, 6) AS slope_per_hour, round(latest, 6) AS latest_capacity,
-       CASE WHEN latest >= 800.0 THEN 0.0::double
-            WHEN slope > 0 THEN round((800.0 - latest) / slope, 2) END AS hours_to_threshold
+SELECT device_id, {near("slope")} AS slope_per_hour, {near("latest")} AS latest_capacity,
+       CASE WHEN latest >= 800.0 THEN {near("0.0", 2)}
+            WHEN slope > 0 THEN {near("(800.0 - latest) / slope", 2)} END AS hours_to_threshold
 FROM lines WHERE periods >= 2""",
     "stream_ingest": ALL_METRICS,
     "stream_quarantine": """SELECT 'device_id' AS reason, props AS raw, count(*) AS messages

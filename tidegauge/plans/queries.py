@@ -37,18 +37,14 @@ AVERAGES = tuple(f"avg_{m}" for m in MEASURES)
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
-    """Averages are sums in no fixed order, so they are compared to six decimals."""
-    return df.withColumns({n: F.round(n, digits) for n in names})
-
-
-def settled(df: DataFrame, *names: str) -> DataFrame:
-    """Four decimals after a small shift.
+    """Means are sums in no fixed order, so they are compared to a few decimals.
 
     A mean over a power of two of short decimals often ends exactly halfway between two
-    roundings, and the last bit of the sum would then decide. The shift moves those values
-    away from the edge; the SQL does the same.
+    roundings, and the last bit of the sum would then decide. A small odd shift moves those
+    values away from the edge; the SQL does the same.
     """
-    return df.withColumns({n: F.round(F.col(n) + 0.0000123, 4) for n in names})
+    shift = F.lit(f"0.1234567e-{digits}").cast("double")
+    return df.withColumns({n: F.round(F.col(n) + shift, digits) for n in names})
 
 
 def flat(insights: DataFrame) -> DataFrame:
@@ -60,6 +56,13 @@ def windows(spark: SparkSession, sf_dir: str, style: str = "threshold") -> DataF
     return op.window_metrics(metrics(spark, sf_dir), START, END, style=style)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once and read back, for operators that go over their input more than once."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def device_summary(spark, sf_dir):
     return flat(op.process_metrics(metrics(spark, sf_dir), START, END, style="threshold"))
 
@@ -110,7 +113,8 @@ def device_statistics(spark, sf_dir):
 
 
 def device_kpis(spark, sf_dir):
-    return op.device_kpis(windows(spark, sf_dir))
+    kpis = op.device_kpis(windows(spark, sf_dir), display=False)
+    return rounded(kpis, *[n for n in kpis.columns if n != "device_id"])
 
 
 def device_list(spark, sf_dir):
@@ -216,9 +220,9 @@ def event_time_from_millis(spark, sf_dir):
 
 
 def trend_vs_history(spark, sf_dir):
-    trends = op.trend_vs_history(windows(spark, sf_dir))
+    trends = op.trend_vs_history(stored(windows(spark, sf_dir), "insights"))
     added = [f"{kind}_{m}" for kind in ("hist", "delta", "pct") for m in MEASURES]
-    return settled(trends.drop("alerts"), *AVERAGES, *added)
+    return rounded(trends.drop("alerts"), *AVERAGES, *added, digits=4)
 
 
 def enriched_insights(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,17 @@ def ensure_insights_table(spark: SparkSession, name: str, location: str | None =
     )
 
 
+def observed(seen: Observation, name: str) -> int:
+    """A count taken during a finished write.
+
+    Spark drops the counter together with a plan it finds to be empty; that is a zero.
+    """
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return 0
+
+
 def write_insights(
     insights: DataFrame,
     target: str,
@@ -82,7 +94,7 @@ def write_insights(
         rows = jdbc_rows(insights).observe(seen, counted)
         sink = rows.write.format("jdbc").mode("append").option("url", target)
         sink.options(**jdbc_write_options(table, **options)).save()
-        return seen.get["rows"] > 0
+        return observed(seen, "rows") > 0
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
 
@@ -105,4 +117,4 @@ def write_insights(
             writer.insertInto(target, overwrite=mode == "replace")
         finally:
             spark.conf.set(overwrite_mode, before)
-    return seen.get["rows"] > 0
+    return observed(seen, "rows") > 0

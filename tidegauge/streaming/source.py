@@ -39,16 +39,20 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     without `_id` is named by its place in the topic, where there is one.
     """
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, LOOSE_SCHEMA, {"columnNameOfCorruptRecord": "_malformed"})
+    parsed = F.from_json(
+        text, LOOSE_SCHEMA, {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
+    )
     place = all(c in messages.columns for c in ("topic", "partition", "offset"))
     position = F.concat_ws("-", "topic", "partition", "offset") if place else F.lit(None)
     carried = [c for c in ("received_at",) if c in messages.columns]
 
     loose = messages.select(
         text.alias("raw"), parsed.alias("m"), position.cast("string").alias("position"), *carried
-    ).select("raw", "position", *carried, "m.*")
+    ).select("raw", "position", F.col("m").isNull().alias("empty"), *carried, "m.*")
     named = loose.withColumn("_id", F.coalesce(F.nullif("_id", F.lit("")), "position"))
-    broken = F.col("raw").isNull() | F.col("_malformed").isNotNull()
+    # the parser ignores what follows the object, which would hide a message cut or glued
+    unfinished = ~F.rtrim("raw", F.lit(" \t\r\n")).endswith("}")
+    broken = F.col("empty") | F.col("_malformed").isNotNull() | unfinished
     reason = F.when(broken, "malformed").otherwise(
         reject_reason(named, METRIC_REQUIRED, METRIC_SCHEMA)
     )
