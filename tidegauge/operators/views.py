@@ -72,14 +72,16 @@ def live_lines(tail: DataFrame, n: int = 10) -> DataFrame:
 
 
 def hourly_trends(df: DataFrame) -> DataFrame:
-    """Mean of each measure per device and clock hour; rows without device or time drop out."""
-    use_table_settings(df.sparkSession)
-    return (
+    """Mean of each measure per device and UTC hour; rows without device or time drop out."""
+    at = F.unix_micros("event_time")
+    hour = (at - F.pmod(at, F.lit(3_600_000_000))).alias("hour")
+    means = (
         with_event_time(df)
         .where(F.col("device_id").isNotNull() & F.col("event_time").isNotNull())
-        .groupBy("device_id", F.date_trunc("hour", "event_time").alias("hour"))
+        .groupBy("device_id", hour)
         .agg(*[F.avg(m).alias(m) for m in MEASURES])
     )
+    return means.withColumn("hour", F.timestamp_micros("hour"))
 
 
 def device_statistics(df: DataFrame) -> DataFrame:

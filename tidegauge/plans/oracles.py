@@ -189,6 +189,7 @@ SELECT period_end, {each("avg_{m}", "avg_{m}")}
 FROM insights WHERE device_id = 'dev01' ORDER BY period_end""",
     "insights_lookback": f"{FLAT} WHERE period_end >= TIMESTAMP '2024-01-30 00:00:00'",
     "insights_rerun": FLAT,
+    "insights_table": FLAT,
     "stored_rows": f"""{HOURLY}
 SELECT device_id, strftime(period_end, '%Y-%m-%d') AS period_date,
        cast(epoch_us(period_start) AS varchar) || '-' || cast(epoch_us(period_end) AS varchar) AS period_key,

@@ -11,7 +11,7 @@ from .. import operators as op
 from ..functions import with_event_time
 from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES, METRIC_SCHEMA
 from ..session import shared_dir
-from ..sinks import insight_rows, jdbc_rows, write_insights
+from ..sinks import ensure_insights_table, insight_rows, jdbc_rows, write_insights
 from ..sources import latest_metrics, read_insights, read_quarantine, scan_metrics
 from ..streaming import (
     decode_messages,
@@ -144,6 +144,16 @@ def insights_rerun(spark, sf_dir):
     return flat(read_insights(spark, target))
 
 
+def insights_table(spark, sf_dir):
+    """The same through a catalog table, created if it is not there."""
+    location = shared_dir(spark, "insights-table")
+    name = location.rsplit("/", 1)[-1].replace("-", "_")
+    ensure_insights_table(spark, name, location)
+    for _ in range(2):
+        write_insights(windows(spark, sf_dir), name)
+    return flat(read_insights(spark, name))
+
+
 def stored_rows(spark, sf_dir):
     """Insights as the parquet sink stores them, without the write time."""
     rows = insight_rows(windows(spark, sf_dir)).select(
@@ -312,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "insight_series": insight_series,
     "insights_lookback": insights_lookback,
     "insights_rerun": insights_rerun,
+    "insights_table": insights_table,
     "stored_rows": stored_rows,
     "jdbc_round_trip": jdbc_round_trip,
     "alerts_flat": alerts_flat,

@@ -82,6 +82,8 @@ def write_insights(
     `target` is a folder, a catalog table or a `jdbc:` URL. `mode="replace"` overwrites the
     partitions of the periods being written, so a rerun changes nothing; `"append"` adds rows.
     JDBC can only append: a rerun adds a later version, and `read_insights` keeps the last.
+    Alerts cross as JSON text; a PostgreSQL JSONB column takes it with the connection
+    property `stringtype="unspecified"`.
 
     Rows are counted while they are written, not by a second run of the plan. The
     rebalance brings the rows of a period together, so that a period gets few files, and

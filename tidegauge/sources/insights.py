@@ -60,7 +60,8 @@ def read_insights(
 
     `source` is a folder, a catalog table or a `jdbc:` URL (`table`, `partitions` and
     `properties` go to the driver). Without `hours` everything is read. `latest_only`
-    drops rows of a JDBC table that a later run of the same period replaced.
+    drops rows of a JDBC table that a later run of the same period replaced. Columns held
+    as text are converted, alerts from JSON.
     """
     use_table_settings(spark)
     if (hours is None) != (as_of is None):
@@ -74,16 +75,23 @@ def read_insights(
     else:
         stored = spark.table(source)
 
-    kept = stored
+    def column(field: T.StructField):
+        held = stored.schema[field.name].dataType
+        if field.name == "alerts" and isinstance(held, T.StringType):
+            return F.from_json("alerts", "array<string>").alias("alerts")
+        if isinstance(held, T.StringType) and held != field.dataType:
+            return F.col(field.name).try_cast(field.dataType).alias(field.name)
+        return F.col(field.name).cast(field.dataType).alias(field.name)
+
+    extra = [c for c in ("created_at", "period_date") if c in stored.columns]
+    kept = stored.select(*[column(f) for f in INSIGHT_SCHEMA], *extra)
     if begin is not None:
         kept = kept.where(F.col("period_end") >= moment(begin))
-        if "period_date" in stored.columns:
+        if "period_date" in extra:
             kept = kept.where(F.col("period_date") >= F.lit(utc_day(begin)))
-    if latest_only and source.startswith("jdbc:") and "created_at" in stored.columns:
+    if latest_only and source.startswith("jdbc:") and "created_at" in extra:
         kept = newest_versions(kept)
-    if isinstance(stored.schema["alerts"].dataType, T.StringType):
-        kept = kept.withColumn("alerts", F.from_json("alerts", "array<string>"))
-    typed = kept.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INSIGHT_SCHEMA])
+    typed = kept.select(*INSIGHT_SCHEMA.names)
     if not ordered:
         return typed
     return typed.orderBy(F.desc("period_end"), "device_id", F.desc("period_start"))

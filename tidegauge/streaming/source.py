@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import reject_reason
 from ..operators.rows import coerce_metrics
@@ -13,8 +14,16 @@ from ..session import use_table_settings
 # Fixed value: the topic of the metric events.
 TOPIC = "storage_metrics"
 
-# Every field as text: a value of the wrong kind must not hide the rest of its message.
-LOOSE_SCHEMA = ", ".join(f"`{n}` string" for n in METRIC_SCHEMA.names) + ", `_malformed` string"
+NUMBERS = tuple(f.name for f in METRIC_SCHEMA if isinstance(f.dataType, T.NumericType))
+
+# Numbers are read as doubles, which takes `2` and `4200.0` alike. A message this does not
+# fit is read again with every field as text, so that one odd value hides no other.
+QUICK_SCHEMA, TEXT_SCHEMA = (
+    ", ".join(f"`{n}` {kind if n in NUMBERS else 'string'}" for n in METRIC_SCHEMA.names)
+    + ", `_malformed` string"
+    for kind in ("double", "string")
+)
+JSON_OPTIONS = {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
 
 
 def kafka_options(
@@ -38,25 +47,41 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     value that does not convert keeps its text in `raw` and says why in `reason`. A message
     without `_id` is named by its place in the topic, where there is one.
     """
-    text = F.col("value").cast("string")
-    parsed = F.from_json(
-        text, LOOSE_SCHEMA, {"columnNameOfCorruptRecord": "_malformed", "allowSingleQuotes": "false"}
-    )
     place = all(c in messages.columns for c in ("topic", "partition", "offset"))
     position = F.concat_ws("-", "topic", "partition", "offset") if place else F.lit(None)
     carried = [c for c in ("received_at",) if c in messages.columns]
 
-    loose = messages.select(
-        text.alias("raw"), parsed.alias("m"), position.cast("string").alias("position"), *carried
-    ).select("raw", "position", F.col("m").isNull().alias("empty"), *carried, "m.*")
-    named = loose.withColumn("_id", F.coalesce(F.nullif("_id", F.lit("")), "position"))
+    text = F.col("value").cast("string")
+    quick = messages.select(
+        text.alias("raw"), position.cast("string").alias("position"), *carried,
+        F.from_json(text, QUICK_SCHEMA, JSON_OPTIONS).alias("quick"),
+    )
+    again = F.col("quick").isNull() | F.col("quick._malformed").isNotNull()
+    both = quick.withColumn("text", F.when(again, F.from_json("raw", TEXT_SCHEMA, JSON_OPTIONS)))
+
+    def field(name: str) -> Column:
+        read, spare = F.col(f"quick.{name}"), F.col(f"text.{name}")
+        return F.coalesce(read, spare.try_cast("double") if name in NUMBERS else spare)
+
     # the parser ignores what follows the object, which would hide a message cut or glued
     unfinished = ~F.rtrim("raw", F.lit(" \t\r\n")).endswith("}")
-    broken = F.col("empty") | F.col("_malformed").isNotNull() | unfinished
-    reason = F.when(broken, "malformed").otherwise(
-        reject_reason(named, METRIC_REQUIRED, METRIC_SCHEMA)
+    no_object = F.col("text").isNull() | F.col("text._malformed").isNotNull()
+    unread = F.coalesce(
+        *[F.when(F.col(f"text.{n}").isNotNull() & field(n).isNull(), n) for n in NUMBERS]
+    )
+    loose = both.select(
+        F.coalesce(F.nullif(field("_id"), F.lit("")), "position").alias("_id"),
+        *[field(n).alias(n) for n in METRIC_SCHEMA.names[1:]],
+        *carried,
+        "raw",
+        F.col("raw").isNull().alias("missing"),
+        ((again & no_object) | unfinished).alias("broken"),
+        unread.alias("unread"),
+    )
+    reason = F.when(F.col("missing") | F.col("broken"), "malformed").otherwise(
+        F.coalesce(reject_reason(loose, METRIC_REQUIRED, METRIC_SCHEMA), "unread")
     )
-    flagged = named.withColumn("reason", reason)
+    flagged = loose.withColumn("reason", reason)
     flagged = flagged.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
     return coerce_metrics(flagged, keep=("reason", "raw", *carried))
 
