@@ -6,6 +6,7 @@ import pytest
 
 from helpers import EPOCH_T0, T0, metric, rows
 from test_streaming import drop_file, ingest
+from tidegauge.operators import metrics_from_rows
 from tidegauge.plans import run_lookback, run_range
 from tidegauge.session import shared_dir
 from tidegauge.sources import load_metrics, read_insights
@@ -38,6 +39,22 @@ def test_range_is_one_period_and_null_averages_are_set_aside(spark, table, tmp_p
     assert rows(spark.read.parquet(rejects), "device_id", "reason") == [("gap", "avg_latency")]
 
 
+def test_rejects_are_replaced_with_their_period_and_never_lost(spark, table, tmp_path):
+    target, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    for _ in range(2):
+        run_range(spark, table, target, T0, EPOCH_T0 + 5400, rejects=rejects)
+    assert spark.read.parquet(rejects).count() == 1
+    with pytest.raises(ValueError, match="1 insights"):
+        run_range(spark, table, target, T0, EPOCH_T0 + 5400)
+
+
+def test_metrics_may_be_a_frame(spark, tmp_path):
+    frame = metrics_from_rows(spark, [metric("a", -1), metric("a", 0), metric("a", 60)])
+    target = str(tmp_path / "out")
+    assert run_range(spark, frame, target, T0, EPOCH_T0 + 60)
+    assert rows(read_insights(spark, target), "device_id", "metrics_count") == [("a", 1)]
+
+
 def test_empty_range_writes_nothing(spark, table, tmp_path):
     assert run_range(spark, table, str(tmp_path / "out"), EPOCH_T0 - 99, EPOCH_T0) is False
 

@@ -163,6 +163,16 @@ def test_late_rows_within_the_watermark_count(spark, tmp_path):
     assert rows(out, "period_start", "metrics_count") == [(T0, 2), (T0 + timedelta(hours=1), 1)]
 
 
+def test_null_averages_of_a_window_are_set_aside(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", 0), metric("gap", 1, iops=None), metric("z", 86400)])
+    summed = stream_insights(read_metric_stream(spark, str(source), "text"))
+    target, rejects = str(tmp_path / "insights"), str(tmp_path / "rejects")
+    start_insights(summed, target, str(tmp_path / "state"), ONCE, rejects).awaitTermination()
+    assert rows(read_insights(spark, target), "device_id") == [("a",)]
+    assert rows(spark.read.parquet(rejects), "device_id", "reason") == [("gap", "avg_iops")]
+
+
 def run_tail(spark, source, tmp_path, n=3):
     stream = read_metric_stream(spark, str(source), "text").withColumn("received_at", F.col("event_time"))
     held = str(tmp_path / "held")

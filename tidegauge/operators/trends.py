@@ -32,27 +32,27 @@ def trend_vs_history(
     group is longer than the periods of a day or the days of the calendar. The insights are
     read twice, so pass stored ones rather than a plan that starts at the raw metrics.
     """
-    day = utc_date(F.col("period_start")).alias("day")
+    day = utc_date(F.col("period_start")).alias("_day")
     sums = [F.sum(f"avg_{m}").alias(f"sum_{m}") for m in MEASURES]
     counts = [F.count(f"avg_{m}").alias(f"n_{m}") for m in MEASURES]
     parts = [f"{kind}_{m}" for m in MEASURES for kind in ("sum", "n")] + ["rows"]
 
     per_day = insights.groupBy("device_id", day).agg(*sums, *counts, F.count("*").alias("rows"))
-    days_before = Window.partitionBy("device_id").orderBy("day").rowsBetween(
+    days_before = Window.partitionBy("device_id").orderBy("_day").rowsBetween(
         Window.unboundedPreceding, -1
     )
     before_day = per_day.select(
         "device_id",
-        "day",
+        "_day",
         *[F.coalesce(F.sum(p).over(days_before), F.lit(0)).alias(f"past_{p}") for p in parts],
     )
 
-    in_day = Window.partitionBy("device_id", "day").orderBy("period_start", "period_end").rowsBetween(
+    in_day = Window.partitionBy("device_id", "_day").orderBy("period_start", "period_end").rowsBetween(
         Window.unboundedPreceding, -1
     )
     rows = insights.select("*", day)
     if since is not None:
-        rows = rows.where(F.col("day") >= F.lit(utc_day(since)))
+        rows = rows.where(F.col("_day") >= F.lit(utc_day(since)))
     running = rows.select("*", F.count("*").over(in_day).alias("day_rows"), *[
         c.alias(name)
         for m in MEASURES
@@ -61,7 +61,7 @@ def trend_vs_history(
             (f"day_n_{m}", F.count(f"avg_{m}").over(in_day)),
         )
     ])
-    joined = running.join(before_day, ["device_id", "day"], "left")
+    joined = running.join(before_day, ["device_id", "_day"], "left")
     if since is not None:
         joined = joined.where(F.col("period_start") >= moment(since))
 

@@ -1,41 +1,30 @@
-"""The batch jobs: metrics table in, insights table out, one plan and one write."""
+"""The batch jobs: metrics in, insights table out, one plan and one write."""
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import epoch_micros, since
+from ..functions import epoch_micros, since, with_event_time, within
 from ..functions.clock import EPOCH
-from ..operators import flag_rows, process_metrics, split_valid, window_metrics
-from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, Thresholds
-from ..sinks import write_insights
-from ..sinks.insights import observed
+from ..operators import process_metrics, window_metrics
+from ..schemas import Thresholds
+from ..sinks import write_checked
 from ..sources import scan_metrics
 
 
-def save_checked(insights: DataFrame, target: str, rejects: str | None, **options) -> bool:
-    """Write the rows that meet the table's NOT NULL columns, set the others aside.
-
-    Rejects are counted during the write. Only if there are any does a second pass write
-    them to the folder `rejects`, so the usual run computes the insights once.
-    """
-    seen = Observation()
-    flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA).observe(
-        seen, F.count("reason").alias("rejects")
-    )
-    written = write_insights(flagged.where(F.col("reason").isNull()), target, **options)
-    if rejects and observed(seen, "rejects") > 0:
-        _, refused = split_valid(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA)
-        refused.write.mode("append").parquet(rejects)
-    return written
+def scan(spark: SparkSession, metrics: str | DataFrame, start, end) -> DataFrame:
+    """The range of the stored table at a path, or of a frame of valid metrics."""
+    if isinstance(metrics, str):
+        return scan_metrics(spark, metrics, start, end)
+    timed = with_event_time(metrics)
+    return timed.where(within(timed, start, end))
 
 
 def run_range(
     spark: SparkSession,
-    metrics: str,
+    metrics: str | DataFrame,
     target: str,
     start,
     end,
@@ -45,14 +34,14 @@ def run_range(
     **options,
 ) -> bool:
     """Summarise an explicit range as one period, whatever its length."""
-    rows = scan_metrics(spark, metrics, start, end)
+    rows = scan(spark, metrics, start, end)
     insights = process_metrics(rows, start, end, thresholds, style)
-    return save_checked(insights, target, rejects, **options)
+    return write_checked(insights, target, rejects, **options)
 
 
 def run_lookback(
     spark: SparkSession,
-    metrics: str,
+    metrics: str | DataFrame,
     target: str,
     as_of,
     hours_back: float = 24,
@@ -65,6 +54,6 @@ def run_lookback(
     """Summarise the last `hours_back` hours before `as_of` in periods of `minutes`."""
     start = since(as_of, hours_back)
     end = EPOCH + timedelta(microseconds=epoch_micros(as_of))
-    rows = scan_metrics(spark, metrics, start, end)
+    rows = scan(spark, metrics, start, end)
     insights = window_metrics(rows, start, end, minutes, thresholds, style)
-    return save_checked(insights, target, rejects, **options)
+    return write_checked(insights, target, rejects, **options)

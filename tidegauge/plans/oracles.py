@@ -195,7 +195,7 @@ SELECT device_id, strftime(period_end, '%Y-%m-%d') AS period_date,
        cast(epoch_us(period_start) AS varchar) || '-' || cast(epoch_us(period_end) AS varchar) AS period_key,
        metrics_count
 FROM insights""",
-    "jdbc_round_trip": f"""{HOURLY}, flat AS (SELECT {FLAT_COLUMNS} FROM insights)
+    "jdbc_boundary": f"""{HOURLY}, flat AS (SELECT {FLAT_COLUMNS} FROM insights)
 SELECT * REPLACE (CASE WHEN alerts = '' THEN '[]'
                        ELSE '["' || replace(alerts, '|', '","') || '"]' END AS alerts)
 FROM flat""",

@@ -162,8 +162,8 @@ def stored_rows(spark, sf_dir):
     return rows.withColumn("period_date", F.col("period_date").cast("string"))
 
 
-def jdbc_round_trip(spark, sf_dir):
-    """Rows as a JDBC sink gets them, and the alerts decoded again as a reader does."""
+def jdbc_boundary(spark, sf_dir):
+    """Rows as a JDBC sink gets them, alerts as JSON text; no database is opened."""
     sent = jdbc_rows(windows(spark, sf_dir)).drop("created_at")
     return rounded(sent, *AVERAGES)
 
@@ -324,7 +324,7 @@ QUERIES: dict[str, Query] = {
     "insights_rerun": insights_rerun,
     "insights_table": insights_table,
     "stored_rows": stored_rows,
-    "jdbc_round_trip": jdbc_round_trip,
+    "jdbc_boundary": jdbc_boundary,
     "alerts_flat": alerts_flat,
     "alert_counts": alert_counts,
     "alerts_from_json": alerts_from_json,

@@ -5,6 +5,7 @@ from .insights import (
     insight_rows,
     jdbc_rows,
     jdbc_write_options,
+    write_checked,
     write_insights,
 )
 
@@ -13,5 +14,6 @@ __all__ = [
     "insight_rows",
     "jdbc_rows",
     "jdbc_write_options",
+    "write_checked",
     "write_insights",
 ]

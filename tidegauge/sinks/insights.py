@@ -7,15 +7,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import utc_date
-from ..operators.rows import insight_columns
-from ..schemas import INSIGHT_PARTITIONS, INSIGHT_REQUIRED, INSIGHT_TABLE_SCHEMA
+from ..operators.rows import flag_rows, insight_columns
+from ..schemas import (
+    INSIGHT_PARTITIONS,
+    INSIGHT_REQUIRED,
+    INSIGHT_SCHEMA,
+    INSIGHT_TABLE_SCHEMA,
+)
 from ..session import use_table_settings
 
 
-def insight_rows(insights: DataFrame) -> DataFrame:
-    """Insights as they are stored: with write time, day and period key."""
+def with_period_key(df: DataFrame) -> DataFrame:
+    """Add the write time and the two partition columns of a period."""
     start, end = F.unix_micros("period_start"), F.unix_micros("period_end")
-    return insight_columns(insights).select(
+    return df.select(
         "*",
         F.current_timestamp().alias("created_at"),
         utc_date(F.col("period_end")).alias("period_date"),
@@ -23,6 +28,29 @@ def insight_rows(insights: DataFrame) -> DataFrame:
     )
 
 
+def insight_rows(insights: DataFrame) -> DataFrame:
+    """Insights as they are stored."""
+    return with_period_key(insight_columns(insights))
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """Rows of a period together, so that it gets few files, sorted by device within them.
+
+    The rebalance also splits a period that is too large for one task.
+    """
+    return rows.hint("rebalance", *INSIGHT_PARTITIONS).sortWithinPartitions(
+        *INSIGHT_PARTITIONS, "device_id"
+    )
+
+
+def write_periods(rows: DataFrame, path: str, mode: str = "replace", **options) -> None:
+    """Write rows with a period key to a folder, replacing the periods among them or adding."""
+    writer = gathered(rows).write.options(**options).option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite" if mode == "replace" else "append").partitionBy(
+        *INSIGHT_PARTITIONS
+    ).parquet(path)
+
+
 def jdbc_rows(insights: DataFrame) -> DataFrame:
     """Insights as they cross a JDBC boundary: alerts as JSON text, and the write time."""
     flat = insight_columns(insights).withColumn("alerts", F.to_json("alerts"))
@@ -79,44 +107,53 @@ def write_insights(
 ) -> bool:
     """Write insights; True if there was anything to write.
 
-    `target` is a folder, a catalog table or a `jdbc:` URL. `mode="replace"` overwrites the
+    `target` is a folder (with a slash), a catalog table or a `jdbc:` URL. `mode="replace"` overwrites the
     partitions of the periods being written, so a rerun changes nothing; `"append"` adds rows.
     JDBC can only append: a rerun adds a later version, and `read_insights` keeps the last.
     Alerts cross as JSON text; a PostgreSQL JSONB column takes it with the connection
     property `stringtype="unspecified"`.
 
-    Rows are counted while they are written, not by a second run of the plan. The
-    rebalance brings the rows of a period together, so that a period gets few files, and
-    splits a period that is too large for one task.
+    Rows are counted while they are written, not by a second run of the plan.
     """
     spark = use_table_settings(insights.sparkSession)
     seen = Observation()
     counted = F.count(F.lit(1)).alias("rows")
     if target.startswith("jdbc:"):
-        rows = jdbc_rows(insights).observe(seen, counted)
-        sink = rows.write.format("jdbc").mode("append").option("url", target)
-        sink.options(**jdbc_write_options(table, **options)).save()
+        sink = jdbc_rows(insights).observe(seen, counted).write.format("jdbc").mode("append")
+        sink.option("url", target).options(**jdbc_write_options(table, **options)).save()
         return observed(seen, "rows") > 0
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
-
-    rows = (
-        insight_rows(insights)
-        .observe(seen, counted)
-        .hint("rebalance", *INSIGHT_PARTITIONS)
-        .sortWithinPartitions(*INSIGHT_PARTITIONS, "device_id")
-    )
-    writer = rows.write.options(**options)
+    rows = insight_rows(insights).observe(seen, counted)
     if "/" in target:
-        writer.mode("overwrite" if mode == "replace" else "append").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*INSIGHT_PARTITIONS).parquet(target)
+        write_periods(rows, target, mode, **options)
     else:
         overwrite_mode = "spark.sql.sources.partitionOverwriteMode"
         before = spark.conf.get(overwrite_mode)
         spark.conf.set(overwrite_mode, "dynamic")
         try:
-            writer.insertInto(target, overwrite=mode == "replace")
+            gathered(rows).write.insertInto(target, overwrite=mode == "replace")
         finally:
             spark.conf.set(overwrite_mode, before)
     return observed(seen, "rows") > 0
+
+
+def write_checked(
+    insights: DataFrame, target: str, rejects: str | None = None, **options
+) -> bool:
+    """`write_insights` for the rows that meet the NOT NULL columns of the table.
+
+    The others go to the folder `rejects` with the `reason`, by period like the insights;
+    without a folder they are an error. They are counted during the first write, and only
+    if there are any does a second pass collect them.
+    """
+    seen = Observation()
+    flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA)
+    counted = flagged.observe(seen, F.count("reason").alias("rejects"))
+    written = write_insights(counted.where(F.col("reason").isNull()), target, **options)
+    refused = observed(seen, "rejects")
+    if refused and rejects is None:
+        raise ValueError(f"{refused} insights lack a required column; name a folder for `rejects`")
+    if refused:
+        write_periods(with_period_key(flagged.where(F.col("reason").isNotNull())), rejects)
+    return written

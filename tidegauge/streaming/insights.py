@@ -12,7 +12,7 @@ from ..operators.periods import summary_columns
 from ..operators.rows import insight_columns
 from ..schemas import MEASURES, Thresholds
 from ..session import ROCKSDB, use_table_settings
-from ..sinks.insights import write_insights
+from ..sinks import write_checked
 
 
 def stream_insights(
@@ -52,21 +52,25 @@ def start_insights(
     target: str,
     checkpoint: str,
     trigger: dict | None = None,
-    mode: str = "replace",
+    rejects: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start writing a stream of insights with `write_insights`.
+    """Start writing a stream of insights with `sinks.write_checked`.
 
     All devices of a window leave the watermark in the same micro-batch, so replacing whole
     periods makes a replayed batch harmless.
     """
     spark = use_table_settings(insights.sparkSession)
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider"):
-        # open windows live on disk with a durable copy in the checkpoint, not on the heap
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # open windows live on disk with a durable copy in the checkpoint, not on the heap
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def save(batch: DataFrame, _: int) -> None:
-        write_insights(batch, target, mode, **options)
+        # the rare second pass over the rejects must not run the aggregation again
+        closed = batch.persist()
+        try:
+            write_checked(closed, target, rejects, **options)
+        finally:
+            closed.unpersist()
 
     return (
         insights.writeStream.outputMode("append")
