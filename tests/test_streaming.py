@@ -54,6 +54,17 @@ def test_ingest_survives_restarts_without_doubling(spark, tmp_path):
     assert rows(out, "device_id") == [("a",), ("b",), ("b",), ("c",)]
 
 
+def test_writers_bound_the_files_of_a_batch(spark, tmp_path):
+    source = tmp_path / "in"
+    for name in "123456":
+        drop_file(source, name, [metric(name, k) for k in range(20)])
+    stream = read_metric_stream(spark, str(source), "text")
+    table = tmp_path / "table"
+    ingest_metrics(stream, str(table), str(tmp_path / "state"), ONCE, writers=2).awaitTermination()
+    assert len(list(table.rglob("*.parquet"))) == 2
+    assert scan_metrics(spark, str(table)).count() == 120
+
+
 def test_bad_messages_are_kept_with_a_reason(spark, tmp_path):
     source = tmp_path / "in"
     bad = {

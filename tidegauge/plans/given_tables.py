@@ -24,7 +24,8 @@ def as_metrics(events: DataFrame) -> DataFrame:
         (F.unix_micros(instant) / F.lit(1e6)).alias("timestamp"),
         (F.lit(100) + F.lit(100) * key).cast("int").alias("iops"),
         (F.lit(1) + F.least("value", F.lit(140.0)) / 10).alias("latency"),
-        F.round(F.lit(100) + spread / 100, 2).alias("capacity_used"),
+        # one division of whole cents is the same double as a sum rounded to two decimals
+        ((F.lit(100 * 100) + spread) / F.lit(100.0)).alias("capacity_used"),
         instant.alias("event_time"),
     )
 

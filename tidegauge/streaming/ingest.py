@@ -26,6 +26,7 @@ def ingest_metrics(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
+    writers: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Start appending a decoded stream to the table at `path`.
@@ -33,12 +34,15 @@ def ingest_metrics(
     One file sink takes valid and quarantined rows, so the source is read once, and the sink
     log plus the checkpoint make each message land exactly once across restarts and lost
     executors. No shuffle: a task writes what it read. Files per batch are tasks times days
-    in the batch, so choose the trigger interval for the file size wanted.
+    in the batch, so choose the trigger interval for the file size wanted; where a topic has
+    many thin partitions, `writers` spreads their rows evenly over that many tasks first.
     """
     use_table_settings(decoded.sparkSession)
+    rows = ingest_rows(decoded)
+    if writers:
+        rows = rows.repartition(writers)
     return (
-        ingest_rows(decoded)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*METRIC_PARTITIONS)
         .option("checkpointLocation", checkpoint)
