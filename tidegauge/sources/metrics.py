@@ -32,38 +32,47 @@ def load_metrics(
     return coerce_metrics(reader.load(source) if source else reader.load(), unit)
 
 
-def metric_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored table with its partition columns; the schema is given, nothing is inferred."""
-    return use_table_settings(spark).read.schema(METRIC_TABLE_SCHEMA).parquet(path)
+def metric_table(spark: SparkSession, source: str) -> DataFrame:
+    """The stored table with its partition columns: a folder, or a catalog table by name.
 
+    The schema of a folder is given, nothing is inferred.
+    """
+    use_table_settings(spark)
+    if "/" in source:
+        return spark.read.schema(METRIC_TABLE_SCHEMA).parquet(source)
+    return spark.table(source)
 
-def scan_metrics(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """Valid metrics of `[start, end)`. Opens only the days the range touches."""
-    table = metric_table(spark, path)
+
+def valid_rows(table: DataFrame, start=None, end=None) -> DataFrame:
     kept = table.where((F.col("quality") == "valid") & within(table, start, end))
     return kept.select(*METRIC_COLUMNS)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+def scan_metrics(spark: SparkSession, source: str, start=None, end=None) -> DataFrame:
+    """Valid metrics of `[start, end)`. Opens only the days the range touches."""
+    return valid_rows(metric_table(spark, source), start, end)
+
+
+def read_quarantine(spark: SparkSession, source: str) -> DataFrame:
     """Rejected messages: what could be read of them, the reason and the raw text."""
-    table = metric_table(spark, path).where(F.col("quality") == "quarantined")
+    table = metric_table(spark, source).where(F.col("quality") == "quarantined")
     return table.select(*METRIC_COLUMNS, "reason", "raw")
 
 
-def latest_metrics(spark: SparkSession, path: str, as_of, limit: int = 50) -> DataFrame:
+def latest_metrics(spark: SparkSession, source: str, as_of, limit: int = 50) -> DataFrame:
     """The `limit` newest metrics of the stored table, from its newest days only.
 
     Newer rows lie in newer day partitions, so the answer is exact as soon as the days read
     hold `limit` rows. The number of days doubles from `as_of` backwards until they do or
-    the epoch is reached; each probe counts rows of those days and stops at `limit`.
+    the epoch is reached; each probe counts rows of those days and stops at `limit`. The
+    files are listed once for all probes.
     """
+    table = metric_table(spark, source)
     newest = EPOCH + timedelta(microseconds=epoch_micros(as_of))
     days = 1
-    while True:
-        begin = max(EPOCH, newest - timedelta(days=days))
-        if begin == EPOCH:
-            return recent_metrics(scan_metrics(spark, path), limit)
-        rows = scan_metrics(spark, path, start=begin)
+    while (begin := newest - timedelta(days=days)) > EPOCH:
+        rows = valid_rows(table, start=begin)
         if rows.limit(limit).count() >= limit:
             return recent_metrics(rows, limit)
         days *= 2
+    return recent_metrics(valid_rows(table), limit)

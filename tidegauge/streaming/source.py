@@ -114,6 +114,6 @@ def read_live_stream(
     It runs until stopped, however long the topic is silent.
     """
     if fmt == "kafka":
-        options = {"startingOffsets": "latest"} | options
+        options = options | {"startingOffsets": "latest"}
     messages = read_messages(spark, source, fmt, **options)
     return decode_messages(messages.withColumn("received_at", F.current_timestamp()))
