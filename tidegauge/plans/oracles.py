@@ -1,7 +1,6 @@
 """The same results in DuckDB SQL over the given tables.
 
-Means are rounded on both sides; alerts are joined into one text. There is
-none for `alert_text_values` and `live_lines`: the two engines print doubles differently.
+Means are rounded on both sides; alerts are joined into one text.
 """
 
 from __future__ import annotations
@@ -202,6 +201,17 @@ FROM flat""",
     "alerts_flat": f"{HOURLY}, {ALERTS} SELECT * FROM alerts",
     "alerts_from_json": f"{HOURLY}, {ALERTS} SELECT * FROM alerts",
     "alert_counts": f"{HOURLY}, {ALERTS} SELECT alert, count(*) AS occurrences FROM alerts GROUP BY alert",
+    "alert_text_values": f"""{HOURLY}
+SELECT period_end AS "timestamp", device_id, 'High average latency detected: ' AS label,
+       {near("avg_latency")} AS shown, 'ms' AS unit, '(threshold: 10.0ms)' AS "limit"
+FROM insights WHERE avg_latency > 10.0
+UNION ALL
+SELECT period_end, device_id, 'Low average IOPS detected: ', {near("avg_iops")}, '', '(threshold: 500)'
+FROM insights WHERE avg_iops < 500
+UNION ALL
+SELECT period_end, device_id, 'High capacity usage detected: ', {near("avg_capacity_used")}, 'GB',
+       '(threshold: 800.0GB)'
+FROM insights WHERE avg_capacity_used > 800.0""",
     "metrics_total": "SELECT count(*) AS metrics_total FROM events",
     "coerced_metrics": f"""WITH {METRICS}, {LOOSE}
 SELECT * EXCLUDE (reason) REPLACE (cast(iops AS double) AS iops) FROM loose""",
@@ -242,6 +252,10 @@ FROM events GROUP BY props""",
 WHERE period_end <= (SELECT max(event_time) FROM metrics) - INTERVAL 10 MINUTE""",
     "live_tail": f"""WITH {METRICS} SELECT *, event_time AS received_at FROM metrics
 ORDER BY "timestamp" DESC, _id DESC LIMIT 100""",
+    "live_lines": f"""WITH {METRICS}
+SELECT '**' || strftime(event_time, '%H:%M:%S') || '** - Device: ' || device_id || ', IOPS: ' || iops || ', ' AS head,
+       {near("latency")} AS latency, {near("capacity_used")} AS capacity
+FROM metrics ORDER BY "timestamp" DESC, _id DESC LIMIT 10""",
     "batch_lookback": FLAT,
     "batch_range": one_period(ODD_START_US, ODD_END_US),
 }

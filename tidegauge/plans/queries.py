@@ -181,7 +181,15 @@ def alerts_from_json(spark, sf_dir):
 
 
 def alert_text_values(spark, sf_dir):
-    return op.explode_alerts(windows(spark, sf_dir, style="value"))
+    """Alerts that show the average, taken apart, as engines print doubles differently."""
+    alerts = op.explode_alerts(windows(spark, sf_dir, style="value"))
+    shape = r"^(.*: )([0-9.E+-]+)( |[a-zA-Z]+ )(\(.*\))$"
+    label, shown, unit, limit = [F.regexp_extract("alert", shape, g) for g in (1, 2, 3, 4)]
+    parts = alerts.select(
+        "timestamp", "device_id", label.alias("label"), shown.cast("double").alias("shown"),
+        F.trim(unit).alias("unit"), limit.alias("limit"),
+    )
+    return rounded(parts, "shown")
 
 
 def metrics_total(spark, sf_dir):
@@ -286,7 +294,16 @@ def live_tail_query(spark, sf_dir):
 
 
 def live_lines(spark, sf_dir):
-    return op.live_lines(held_tail(spark, sf_dir))
+    """The ten newest lines; the two doubles in them are compared as numbers."""
+    lines = op.live_lines(held_tail(spark, sf_dir))
+    shape = r"^(.*)Latency: (.*)ms, Capacity: (.*)GB$"
+    head, latency, capacity = [F.regexp_extract("line", shape, g) for g in (1, 2, 3)]
+    parts = lines.select(
+        head.alias("head"),
+        latency.cast("double").alias("latency"),
+        capacity.cast("double").alias("capacity"),
+    )
+    return rounded(parts, "latency", "capacity")
 
 
 def batch_lookback(spark, sf_dir):
