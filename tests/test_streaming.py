@@ -212,3 +212,11 @@ def test_tail_holds_the_newest_over_batches_and_restarts(spark, tmp_path):
 def test_tail_is_readable_before_the_first_message(spark, tmp_path):
     (tmp_path / "in").mkdir()
     assert read_live_tail(spark, run_tail(spark, tmp_path / "in", tmp_path)).isEmpty()
+
+
+def test_a_closed_window_is_written_as_one_file(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric(f"d{k}", k) for k in range(200)] + [metric("z", 86400)])
+    target = run_insights(spark, source, tmp_path)
+    assert read_insights(spark, target).count() == 200
+    assert len(list((tmp_path / "insights").rglob("*.parquet"))) == 1

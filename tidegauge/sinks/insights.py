@@ -14,7 +14,7 @@ from ..schemas import (
     INSIGHT_SCHEMA,
     INSIGHT_TABLE_SCHEMA,
 )
-from ..session import use_table_settings
+from ..session import ADAPTIVE, setting, use_table_settings
 
 
 def with_period_key(df: DataFrame) -> DataFrame:
@@ -36,11 +36,14 @@ def insight_rows(insights: DataFrame) -> DataFrame:
 def gathered(rows: DataFrame) -> DataFrame:
     """Rows of a period together, so that it gets few files, sorted by device within them.
 
-    The rebalance also splits a period that is too large for one task.
+    The rebalance also splits a period that is too large for one task. Spark ignores it
+    without AQE; rows are then hashed by period.
     """
-    return rows.hint("rebalance", *INSIGHT_PARTITIONS).sortWithinPartitions(
-        *INSIGHT_PARTITIONS, "device_id"
-    )
+    if rows.sparkSession.conf.get(ADAPTIVE) == "true":
+        together = rows.hint("rebalance", *INSIGHT_PARTITIONS)
+    else:
+        together = rows.repartition(*INSIGHT_PARTITIONS)
+    return together.sortWithinPartitions(*INSIGHT_PARTITIONS, "device_id")
 
 
 def write_periods(rows: DataFrame, path: str, mode: str = "replace", **options) -> None:
@@ -128,13 +131,8 @@ def write_insights(
     if "/" in target:
         write_periods(rows, target, mode, **options)
     else:
-        overwrite_mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(overwrite_mode)
-        spark.conf.set(overwrite_mode, "dynamic")
-        try:
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             gathered(rows).write.insertInto(target, overwrite=mode == "replace")
-        finally:
-            spark.conf.set(overwrite_mode, before)
     return observed(seen, "rows") > 0
 
 

@@ -11,7 +11,7 @@ from ..operators.alerts import with_alerts
 from ..operators.periods import summary_columns
 from ..operators.rows import insight_columns
 from ..schemas import MEASURES, Thresholds
-from ..session import ROCKSDB, use_table_settings
+from ..session import ADAPTIVE, ROCKSDB, setting, use_table_settings
 from ..sinks import write_checked
 
 
@@ -64,11 +64,16 @@ def start_insights(
     # open windows live on disk with a durable copy in the checkpoint, not on the heap
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
+    adaptive = spark.conf.get(ADAPTIVE)
+
     def save(batch: DataFrame, _: int) -> None:
         # the rare second pass over the rejects must not run the aggregation again
         closed = batch.persist()
         try:
-            write_checked(closed, target, rejects, **options)
+            # a streaming session runs without AQE, but the rows of a finished micro-batch
+            # can be gathered with it
+            with setting(batch.sparkSession, ADAPTIVE, adaptive):
+                write_checked(closed, target, rejects, **options)
         finally:
             closed.unpersist()
 
