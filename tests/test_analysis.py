@@ -74,7 +74,10 @@ def test_rows_are_shuffled_by_device_and_day(spark):
 
 
 def test_enrich_keeps_unknown_devices_and_grades(spark):
-    devices = spark.createDataFrame([("a", "north", "m1", 1000.0)], "device_id string, site string, model string, capacity_total double")
+    devices = spark.createDataFrame(
+        [("a", "north", "m1", 1000.0)],
+        "device_id string, site string, model string, capacity_total double",
+    )
     frame = insights(
         spark,
         [

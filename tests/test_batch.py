@@ -61,9 +61,13 @@ def test_empty_range_writes_nothing(spark, table, tmp_path):
 
 def test_other_batch_formats(spark, tmp_path):
     (tmp_path / "j").mkdir()
-    (tmp_path / "j" / "1.json").write_text('{"device_id":"a","timestamp":1704067200,"latency":2}\n{"device_id":"b"}\n')
+    (tmp_path / "j" / "1.json").write_text(
+        '{"device_id":"a","timestamp":1704067200,"latency":2}\n{"device_id":"b"}\n'
+    )
     (tmp_path / "c").mkdir()
-    (tmp_path / "c" / "1.csv").write_text("_id,device_id,timestamp,iops,latency,capacity_used\n1,a,1704067200.5,x,2,3\n")
+    (tmp_path / "c" / "1.csv").write_text(
+        "_id,device_id,timestamp,iops,latency,capacity_used\n1,a,1704067200.5,x,2,3\n"
+    )
     out = load_metrics(spark, str(tmp_path / "j"), "json")
     assert rows(out, "device_id", "event_time", "latency") == [("a", T0, 2.0), ("b", None, None)]
     out = load_metrics(spark, str(tmp_path / "c"), "csv", header="true")

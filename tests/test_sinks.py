@@ -36,9 +36,10 @@ def test_same_start_with_another_end_is_another_period(spark, tmp_path):
 
 def test_append_adds_rows(spark, tmp_path):
     path = str(tmp_path / "t")
-    for _ in range(2):
-        write_insights(insights(spark, [insight("a", 0)]), path, mode="append")
-    assert read_insights(spark, path).count() == 2
+    for value in (1.0, 2.0):
+        write_insights(insights(spark, [insight("a", 0, value)]), path, mode="append")
+    assert rows(read_insights(spark, path), "avg_iops") == [(1.0,), (2.0,)]
+    assert rows(read_insights(spark, path, latest_only=True), "avg_iops") == [(2.0,)]
     with pytest.raises(ValueError):
         write_insights(insights(spark, []), path, mode="merge")
 

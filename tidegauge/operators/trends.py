@@ -17,15 +17,16 @@ LABELS = {
 }
 
 
-def trend_vs_history(
-    insights: DataFrame, tolerance: float = 0.05, since=None
-) -> DataFrame:
+def trend_vs_history(insights: DataFrame, tolerance: float = 0.05, since=None) -> DataFrame:
     """Compare each average with the mean of the device's earlier periods.
 
     Adds `hist_*`, `delta_*`, `pct_*` and `*_trend` per measure. The first period of a device
-    has NULLs and the label `new`. `device_id` and the period bounds are never NULL. With `since`, only periods starting then or later are
+    has NULLs and the label `new`. With `since`, only periods starting then or later are
     returned, still compared with the whole history given.
 
+    Expects one row per device and period, without NULLs in either; a table that runs
+    appended to is read with `read_insights(..., latest_only=True)`.
+
     A window over a whole device would put one device into one task. The history is cut
     into days instead: days are summed first, a running sum over one row per device and day
     gives what lies before each day, and a window inside (device, day) adds the rest. No

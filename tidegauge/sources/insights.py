@@ -52,16 +52,16 @@ def read_insights(
     as_of=None,
     table: str = "device_insights",
     partitions: int = 1,
-    latest_only: bool = True,
+    latest_only: bool | None = None,
     ordered: bool = True,
     **properties: str,
 ) -> DataFrame:
     """Insights whose period ended in the last `hours` before `as_of`, newest first.
 
     `source` is a folder, a catalog table or a `jdbc:` URL (`table`, `partitions` and
-    `properties` go to the driver). Without `hours` everything is read. `latest_only`
-    drops rows of a JDBC table that a later run of the same period replaced. Columns held
-    as text are converted, alerts from JSON.
+    `properties` go to the driver). Without `hours` everything is read. `latest_only` drops
+    rows that a later run of the same period replaced; by default it does so for JDBC, where
+    every rerun appends. Columns held as text are converted, alerts from JSON.
     """
     use_table_settings(spark)
     if (hours is None) != (as_of is None):
@@ -89,7 +89,9 @@ def read_insights(
         kept = kept.where(F.col("period_end") >= moment(begin))
         if "period_date" in extra:
             kept = kept.where(F.col("period_date") >= F.lit(utc_day(begin)))
-    if latest_only and source.startswith("jdbc:") and "created_at" in extra:
+    if latest_only is None:
+        latest_only = source.startswith("jdbc:")
+    if latest_only and "created_at" in extra:
         kept = newest_versions(kept)
     typed = kept.select(*INSIGHT_SCHEMA.names)
     if not ordered:
