@@ -4,7 +4,7 @@ from datetime import timedelta
 
 import pytest
 
-from helpers import EPOCH_T0, T0, metric, rows
+from helpers import EPOCH_T0, T0, metric, plan_of, rows
 from test_streaming import drop_file, ingest
 from tidegauge.operators import metrics_from_rows
 from tidegauge.plans import run_lookback, run_range
@@ -74,6 +74,24 @@ def test_other_batch_formats(spark, tmp_path):
     assert rows(out, "_id", "timestamp", "iops") == [("1", EPOCH_T0 + 0.5, None)]
 
 
+def test_a_range_is_handed_to_the_source(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw = spark.createDataFrame(
+        [("a", EPOCH_T0 + s, 1) for s in (-1.0, 0.0, 59.5, 60.0)],
+        "device_id string, timestamp double, iops long",
+    )
+    raw.write.parquet(path)
+    out = load_metrics(spark, path, start=T0, end=EPOCH_T0 + 60)
+    assert sorted(r.timestamp - EPOCH_T0 for r in out.collect()) == [0.0, 59.5]
+    assert "GreaterThanOrEqual(timestamp" in plan_of(out) and "LessThan(timestamp" in plan_of(out)
+    in_millis = raw.withColumn("timestamp", raw.timestamp * 1000)
+    in_millis.write.parquet(path + "-ms")
+    assert load_metrics(spark, path + "-ms", unit="ms", start=T0, end=EPOCH_T0 + 60).count() == 2
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "1.json").write_text('{"timestamp":1704067200}\n{"timestamp":"soon"}\n')
+    assert load_metrics(spark, str(tmp_path / "j"), "json", start=T0).count() == 1
+
+
 def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")

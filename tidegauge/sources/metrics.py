@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import epoch_micros, within
 from ..functions.clock import EPOCH
@@ -18,18 +19,31 @@ METRIC_COLUMNS = METRIC_SCHEMA.names + ["event_time"]
 
 
 def load_metrics(
-    spark: SparkSession, source: str | None, fmt: str = "parquet", unit: str = "s", **options
+    spark: SparkSession,
+    source: str | None,
+    fmt: str = "parquet",
+    unit: str = "s",
+    start=None,
+    end=None,
+    **options,
 ) -> DataFrame:
-    """Metrics from any batch format Spark has a reader for, typed and with `event_time`.
+    """Metrics of `[start, end)` from any batch format Spark has a reader for.
 
-    Text formats are read as text columns first, so that one odd value does not fail the
-    read; a document or JDBC connector only needs its jar and its options.
+    They come typed and with `event_time`. Text formats are read as text columns first, so
+    that one odd value does not fail the read; a document or JDBC connector only needs its
+    jar and its options. Where the source holds `timestamp` as a number of seconds, the range
+    is also put on that column, so that the source can apply it.
     """
     use_table_settings(spark)
     reader = spark.read.format(fmt).options(**options)
     if fmt in ("json", "csv"):
         reader = reader.schema(", ".join(f"`{n}` string" for n in METRIC_SCHEMA.names))
-    return coerce_metrics(reader.load(source) if source else reader.load(), unit)
+    rows = reader.load(source) if source else reader.load()
+    held = rows.schema["timestamp"].dataType if "timestamp" in rows.columns else None
+    if unit == "s" and isinstance(held, T.NumericType) and "event_time" not in rows.columns:
+        rows = rows.where(within(rows, start, end))
+    typed = coerce_metrics(rows, unit)
+    return typed.where(within(typed, start, end))
 
 
 def metric_table(spark: SparkSession, source: str) -> DataFrame:
