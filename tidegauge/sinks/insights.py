@@ -142,16 +142,20 @@ def write_checked(
     """`write_insights` for the rows that meet the NOT NULL columns of the table.
 
     The others go to the folder `rejects` with the `reason`, by period like the insights;
-    without a folder they are an error. They are counted during the first write, and only
-    if there are any does a second pass collect them.
+    without a folder they are an error. The insights are cached between the two writes, so
+    the metrics behind them are read once; an executor that is lost with its part of the
+    cache costs only that part again.
     """
-    seen = Observation()
-    flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA)
-    counted = flagged.observe(seen, F.count("reason").alias("rejects"))
-    written = write_insights(counted.where(F.col("reason").isNull()), target, **options)
-    refused = observed(seen, "rejects")
-    if refused and rejects is None:
-        raise ValueError(f"{refused} insights lack a required column; name a folder for `rejects`")
-    if refused:
-        write_periods(with_period_key(flagged.where(F.col("reason").isNotNull())), rejects)
+    flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA).persist()
+    try:
+        seen = Observation()
+        counted = flagged.observe(seen, F.count("reason").alias("rejects"))
+        written = write_insights(counted.where(F.col("reason").isNull()), target, **options)
+        refused = observed(seen, "rejects")
+        if refused and rejects is None:
+            raise ValueError(f"{refused} insights lack a required column; name a folder for `rejects`")
+        if refused:
+            write_periods(with_period_key(flagged.where(F.col("reason").isNotNull())), rejects)
+    finally:
+        flagged.unpersist()
     return written

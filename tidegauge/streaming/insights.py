@@ -67,15 +67,10 @@ def start_insights(
     adaptive = spark.conf.get(ADAPTIVE)
 
     def save(batch: DataFrame, _: int) -> None:
-        # the rare second pass over the rejects must not run the aggregation again
-        closed = batch.persist()
-        try:
-            # a streaming session runs without AQE, but the rows of a finished micro-batch
-            # can be gathered with it
-            with setting(batch.sparkSession, ADAPTIVE, adaptive):
-                write_checked(closed, target, rejects, **options)
-        finally:
-            closed.unpersist()
+        # a streaming session runs without AQE, but the rows of a finished micro-batch can be
+        # gathered with it
+        with setting(batch.sparkSession, ADAPTIVE, adaptive):
+            write_checked(batch, target, rejects, **options)
 
     return (
         insights.writeStream.outputMode("append")
