@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -55,6 +56,53 @@ def test_ingest_survives_restarts_without_doubling(spark, tmp_path):
     assert rows(out, "device_id") == [("a",), ("b",), ("b",), ("c",)]
 
 
+def forget_last_commit(state):
+    """Leave the checkpoint as if the stream had died after the sink wrote its last batch."""
+    commits = [f for f in (state / "commits").iterdir() if f.name.isdigit()]
+    last = max(commits, key=lambda f: int(f.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+
+
+def test_ingest_stopped_midway_goes_on(spark, tmp_path):
+    source = tmp_path / "in"
+    for name in "1234":
+        drop_file(source, name, [metric(name, k) for k in range(10)])
+    stream = read_metric_stream(spark, str(source), "text", maxFilesPerTrigger="1")
+    query = ingest_metrics(
+        stream, str(tmp_path / "table"), str(tmp_path / "state"), {"processingTime": "0 seconds"}
+    )
+    while not query.recentProgress:
+        time.sleep(0.05)
+    query.stop()
+    table = ingest(spark, source, tmp_path)
+    assert scan_metrics(spark, table).groupBy("device_id").count().where("count = 10").count() == 4
+
+
+def test_replayed_batches_change_nothing(spark, tmp_path):
+    source = tmp_path / "in"
+    drop_file(source, "1", [metric("a", k * 60.0, id_=f"{k:03d}") for k in range(200)])
+    table = ingest(spark, source, tmp_path)
+    target = run_insights(spark, source, tmp_path)
+    held = run_tail(spark, source, tmp_path)
+    before = [
+        rows(scan_metrics(spark, table)),
+        rows(read_insights(spark, target)),
+        rows(read_live_tail(spark, held)),
+    ]
+    assert len(before[0]) == 200 and len(before[1]) == 3 and len(before[2]) == 3
+    for state in ("state", "insight-state", "tail-state"):
+        forget_last_commit(tmp_path / state)
+    ingest(spark, source, tmp_path)
+    run_insights(spark, source, tmp_path)
+    run_tail(spark, source, tmp_path)
+    assert before == [
+        rows(scan_metrics(spark, table)),
+        rows(read_insights(spark, target)),
+        rows(read_live_tail(spark, held)),
+    ]
+
+
 def test_writers_bound_the_files_of_a_batch(spark, tmp_path):
     source = tmp_path / "in"
     for name in "123456":

@@ -60,6 +60,9 @@ def test_statistics(spark):
         f"{k}_{m}" for m in ("iops", "latency", "capacity_used") for k in ("avg", "min", "max")
     ]
     assert rows(out) == [("a", 20.0, 10.0, 30.0, 2.0, 1.0, 3.0, 6.0, 5.0, 7.0)]
+    shown = device_statistics(df, display=True)
+    assert shown.columns[:4] == ["Device ID", "Avg IOPS", "Min IOPS", "Max IOPS"]
+    assert shown.columns[-1] == "Max Capacity" and rows(shown) == rows(out)
 
 
 def test_count(spark):

@@ -84,14 +84,19 @@ def hourly_trends(df: DataFrame) -> DataFrame:
     return means.withColumn("hour", F.timestamp_micros("hour"))
 
 
-def device_statistics(df: DataFrame) -> DataFrame:
-    """Mean, minimum and maximum of each measure per device."""
+def device_statistics(df: DataFrame, display: bool = False) -> DataFrame:
+    """Mean, minimum and maximum of each measure per device; `display` gives column titles."""
     kinds = (("avg", F.avg), ("min", F.min), ("max", F.max))
-    return (
+    numbers = (
         df.where(F.col("device_id").isNotNull())
         .groupBy("device_id")
         .agg(*[fn(m).cast("double").alias(f"{kind}_{m}") for m in MEASURES for kind, fn in kinds])
     )
+    if not display:
+        return numbers
+    # Display titles.
+    titles = [f"{kind} {m}" for m in ("IOPS", "Latency", "Capacity") for kind in ("Avg", "Min", "Max")]
+    return numbers.toDF("Device ID", *titles)
 
 
 def period_rank() -> Column:
