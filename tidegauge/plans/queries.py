@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import with_event_time
-from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES, METRIC_SCHEMA
+from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES
 from ..session import shared_dir
 from ..sinks import ensure_insights_table, insight_rows, jdbc_rows, write_insights
-from ..sources import latest_metrics, read_insights, read_quarantine, scan_metrics
+from ..sources import latest_metrics, metric_table, read_insights, read_quarantine, scan_metrics
 from ..streaming import (
     decode_messages,
     ingest_metrics,
@@ -77,9 +78,8 @@ def clipped_windows(spark, sf_dir):
 
 
 def range_scan(spark, sf_dir):
-    """[start, end) of the stored table, after ingesting all events into it."""
-    table = ingested(spark, sf_dir)
-    return scan_metrics(spark, table, ODD_START, ODD_END)
+    """[start, end) of the stored table that holds all events."""
+    return scan_metrics(spark, metrics_table(spark, sf_dir), ODD_START, ODD_END)
 
 
 def lookback_scan(spark, sf_dir):
@@ -92,7 +92,7 @@ def recent_metrics(spark, sf_dir):
 
 def recent_from_table(spark, sf_dir):
     """The same rows from the stored table, reading its newest days only."""
-    return latest_metrics(spark, ingested(spark, sf_dir), as_of=END)
+    return latest_metrics(spark, metrics_table(spark, sf_dir), as_of=END)
 
 
 def recent_display(spark, sf_dir):
@@ -260,6 +260,23 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+# Path of the stored metrics per application and input folder.
+STORED_METRICS: dict[tuple[str, str], str] = {}
+
+
+def metrics_table(spark: SparkSession, sf_dir: str) -> str:
+    """All events as a stored metrics table, ingested once for all queries that read it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        if key in STORED_METRICS:
+            metric_table(spark, STORED_METRICS[key])
+            return STORED_METRICS[key]
+    except AnalysisException:
+        pass  # the shared folder was cleared meanwhile
+    STORED_METRICS[key] = ingested(spark, sf_dir)
+    return STORED_METRICS[key]
+
+
 def stream_ingest(spark, sf_dir):
     return scan_metrics(spark, ingested(spark, sf_dir))
 
@@ -309,7 +326,7 @@ def live_lines(spark, sf_dir):
 def batch_lookback(spark, sf_dir):
     """The whole batch job: stored metrics in, insights of the last 30 days out."""
     target = shared_dir(spark, "insights")
-    table = ingested(spark, sf_dir)
+    table = metrics_table(spark, sf_dir)
     run_lookback(spark, table, target, END, hours_back=30 * 24, style="threshold")
     return flat(read_insights(spark, target))
 
@@ -317,7 +334,7 @@ def batch_lookback(spark, sf_dir):
 def batch_range(spark, sf_dir):
     """The whole batch job over an explicit range: one period."""
     target = shared_dir(spark, "insights")
-    run_range(spark, ingested(spark, sf_dir), target, ODD_START, ODD_END, style="threshold")
+    run_range(spark, metrics_table(spark, sf_dir), target, ODD_START, ODD_END, style="threshold")
     return flat(read_insights(spark, target))
 
 
