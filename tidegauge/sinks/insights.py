@@ -17,6 +17,11 @@ from ..schemas import (
 from ..session import ADAPTIVE, setting, use_table_settings
 
 
+# What a task costs here is the files it creates, not their bytes: AQE must not put many small
+# periods into one task while cores are idle.
+SPREAD = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+
+
 def with_period_key(df: DataFrame) -> DataFrame:
     """Add the write time and the two partition columns of a period."""
     start, end = F.unix_micros("period_start"), F.unix_micros("period_end")
@@ -49,9 +54,9 @@ def gathered(rows: DataFrame) -> DataFrame:
 def write_periods(rows: DataFrame, path: str, mode: str = "replace", **options) -> None:
     """Write rows with a period key to a folder, replacing the periods among them or adding."""
     writer = gathered(rows).write.options(**options).option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite" if mode == "replace" else "append").partitionBy(
-        *INSIGHT_PARTITIONS
-    ).parquet(path)
+    writer = writer.mode("overwrite" if mode == "replace" else "append")
+    with setting(rows.sparkSession, *SPREAD):
+        writer.partitionBy(*INSIGHT_PARTITIONS).parquet(path)
 
 
 def jdbc_rows(insights: DataFrame) -> DataFrame:
@@ -131,7 +136,8 @@ def write_insights(
     if "/" in target:
         write_periods(rows, target, mode, **options)
     else:
-        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        dynamic = setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
+        with dynamic, setting(spark, *SPREAD):
             gathered(rows).write.insertInto(target, overwrite=mode == "replace")
     return observed(seen, "rows") > 0
 
