@@ -262,9 +262,10 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
 
     Each seed is matched with the first text that has it, so matches grow with the texts, not
     with pairs of them, and a passage of a third of all texts is one match per seed and text.
-    The passages of a text that touch are one (`passage`, numbered per document, with its
-    bounds), whichever texts they were found in; it counts from PASSAGE words. `matched`
-    words align. The first text with a passage is the one others refer to.
+    The spans of a text that touch are one `passage`, numbered per document, whichever texts
+    they are like; it counts from PASSAGE words. One row per passage and other text: what
+    of the passage is like it, and in how many `spans`. The first text with a passage is the
+    one that others refer to.
 
     Null text has no words; texts under PASSAGE words have no passage; repeated rows are
     copies of the first; other columns play no part; an empty table gives no rows.
@@ -324,15 +325,24 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     one = Window.partitionBy("row", "passage")
     passages = (
         spans.withColumn("new", new)
-        .withColumn("passage", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("passage", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+        .groupBy("row", "passage", "other")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.min("other_start").alias("other_start"),
+            F.max("other_end").alias("other_end"),
+            F.count("*").cast("int").alias("spans"),
+        )
         .withColumn("passage_start", F.min("start").over(one))
         .withColumn("passage_end", F.max("end").over(one))
-        .where(F.col("passage_end") - F.col("passage_start") >= PASSAGE)
-        .drop("new")
+        .withColumn("others", F.sum(F.col("other_end") - F.col("other_start")).over(one))
+        # both ways: a short run that a monotonous text repeats is no passage of the other
+        .where((F.col("passage_end") - F.col("passage_start") >= PASSAGE) & (F.col("others") >= PASSAGE))
     )
     ids = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long"))
     others = ids.select(F.col("row").alias("other"), F.col("doc_id").alias("other_doc_id"))
     return passages.join(ids, "row").join(others, "other").select(
-        "doc_id", "start", "end", "other_doc_id", "other_start", "other_end", "matched",
-        F.col("passage").cast("int").alias("passage"), "passage_start", "passage_end",
+        "doc_id", "passage", "passage_start", "passage_end", "start", "end", "other_doc_id", "other_start", "other_end",
+        "spans",
     )
