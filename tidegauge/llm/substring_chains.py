@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import ROW, Workspace, numbered, whole_text
-from .hashing import common_places, shingles, sliding_min, word_hashes, words_of
+from .hashing import common_places, mixed, shingles, sliding_min, word_hashes, words_of
 
 #: Words of a seed; of each SPREAD neighbouring windows the least one is a seed, so that any
 #: run of SEED + SPREAD - 1 equal words holds one.
@@ -33,6 +33,21 @@ REQUESTS = 256
 NEAR = 8
 
 
+def run_labelled(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Marks joined with how often each just came before, at most SPREAD words earlier each time.
+
+    In a monotonous stretch all seeds are alike; so joined, the n-th matches the n-th of
+    another such stretch, and the two chain as far as the shorter one goes.
+    """
+    order = np.lexsort((places, marks))
+    ordered, at = marks[order], places[order]
+    new = np.r_[True, (ordered[1:] != ordered[:-1]) | (np.diff(at) > SPREAD)]
+    starts = np.flatnonzero(new)
+    times = np.empty(len(marks), np.uint64)
+    times[order] = np.arange(len(marks)) - np.repeat(starts, np.diff(np.r_[starts, len(marks)]))
+    return mixed(marks + times * np.uint64(0xD6E8FEB86659FD93))
+
+
 def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and place of each seed, and whether it is the text's first of that hash."""
     hashes = word_hashes(words_of(text))
@@ -44,7 +59,7 @@ def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     top = np.iinfo(np.uint64).max
     around = np.concatenate([np.full(SPREAD - 1, top), top - least, np.full(SPREAD - 1, top)])
     places = np.flatnonzero(top - sliding_min(around, SPREAD) == marks)
-    chosen = marks[places]
+    chosen = run_labelled(marks[places], places)
     first = np.zeros(len(places), bool)
     first[np.unique(chosen, return_index=True)[1]] = True
     return chosen.view(np.int64), places.astype(np.int32), first
