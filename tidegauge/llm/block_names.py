@@ -20,17 +20,17 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
-def named(rows: DataFrame, *content: str) -> DataFrame:
-    """`rows` with `name`: the least `place` of all rows with the same content.
+def named(space: Workspace, rows: DataFrame, *content: str) -> DataFrame:
+    """`rows` with `name`: the least `place` of all rows with the same content, which goes.
 
     Equal content, equal name, and no two contents share one, since the content itself is
-    compared. The least place is summed up before the shuffle, and the join back has one
-    row per content on one side, so that a content of a third of all rows is split.
+    compared. Places are summed up before the shuffle, and only contents that come twice
+    are stored and joined back; a content of a third of all rows is one row there, and
+    Spark splits the other side.
     """
-    contents = [F.coalesce(F.col(c), F.lit(-1)).alias(c) if c == "right" else F.col(c) for c in content]
-    names = rows.groupBy(*contents).agg(F.min("place").alias("name"))
-    keyed = rows.withColumn("right", F.coalesce("right", F.lit(-1))) if "right" in content else rows
-    return keyed.join(names, list(content))
+    names = rows.groupBy(*content).agg(F.min("place").alias("name"), F.count("*").alias("n_rows"))
+    names = space.save(names.where("n_rows > 1").drop("n_rows"))
+    return rows.join(names, list(content), "left").withColumn("name", F.coalesce("name", "place")).drop(*content)
 
 
 def block_level(docs: DataFrame, block: int) -> DataFrame:
@@ -58,10 +58,10 @@ def identities(space: Workspace, docs: DataFrame, block: int = BLOCK) -> DataFra
 
     Level 0 names blocks of `block` bytes by their content; each further level names pairs
     of neighbouring names by the two integers, an odd last one alone, until a document has
-    one name. Blocks are read and shuffled once on either side of one join; levels after
-    that hold integers only and halve each time.
+    one name. Blocks are shuffled once to be summed up and once to be joined; the levels
+    after that hold integers only and halve each time.
     """
-    level = space.save(named(block_level(docs, block), "block").drop("block"))
+    level = space.save(named(space, block_level(docs, block), "block"))
     rows = level.where("idx = 0").select(ROW, "doc_id", "text_sha256")
     depth, tops = 0, []
     while True:
@@ -74,9 +74,9 @@ def identities(space: Workspace, docs: DataFrame, block: int = BLOCK) -> DataFra
             F.min("place").alias("place"),
             F.max(F.ceil(F.col("n") / 2).cast("int")).alias("n"),
             F.max(F.when(side == 0, F.col("name"))).alias("left"),
-            F.max(F.when(side == 1, F.col("name"))).alias("right"),
+            F.coalesce(F.max(F.when(side == 1, F.col("name"))), F.lit(-1)).alias("right"),
         )
-        level = space.save(named(pairs, "left", "right").drop("left", "right"))
+        level = space.save(named(space, pairs, "left", "right"))
         depth += 1
     return rows.join(union(tops), ROW)
 
@@ -89,10 +89,10 @@ def exact_groups(spark: SparkSession, docs: DataFrame, block: int = BLOCK) -> Da
     stays, so a group always keeps exactly one row. Other columns play no part; an empty
     table gives no rows.
     """
-    rows = identities(Workspace(spark, "exact"), docs, block)
-    groups = rows.groupBy("level", "name").agg(
-        F.max(F.struct("doc_id", ROW)).alias("top"), F.count("*").alias("group_size")
-    )
+    space = Workspace(spark, "exact")
+    rows = space.save(identities(space, docs, block))
+    top = F.max(F.struct("doc_id", ROW)).alias("top")
+    groups = space.save(rows.groupBy("level", "name").agg(top, F.count("*").alias("group_size")))
     return rows.join(groups, ["level", "name"]).select(
         ROW,
         "doc_id",
