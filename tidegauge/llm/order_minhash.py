@@ -15,10 +15,10 @@ from .hashing import labelled, mixed, rising, shingles, word_hashes, words_of
 
 WORDS = 5
 SIMILARITY = 0.8
-#: A text of similarity s shares a band with a chance of about s^PICKED; of BANDS at least one
-#: with 1 - 0.488^20, over 0.9999990, at 0.8.
-PICKED = 3
-BANDS = 20
+#: A text of similarity s shares a band with a chance of about s^PICKED, so of BANDS at least one
+#: with 1 - 0.59^32, over 0.9999999, at 0.8.
+PICKED = 4
+BANDS = 32
 #: Rows of the band matrix at once, so that a very long text needs no more memory than its words.
 CHUNK = 2_000_000
 
@@ -103,40 +103,43 @@ def aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """`edges` with `linked`; a text compared with very many others is on the side Spark splits."""
+    """`edges` with `linked`; a text compared with very many others has many edges, which Spark splits."""
     side = lambda name: labels.select(F.col("node").alias(name), F.col("labels").alias(f"{name}_labels"))
     return edges.join(side("left"), "left").join(side("right"), "right").mapInArrow(
         aligned, "left long, right long, linked boolean"
     )
 
 
-def links(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified pairs (`left`, `right`) that join all texts found alike.
+def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """(`node`, `top`): every text that is like another, with one that stands for its class.
 
     Texts that share a band are compared with one of them, the one that shares most bands
-    with others, as the origin of a group of copies does. Those that are not like it stay in
-    the band and are compared with the next such text, until a band has one text left, or
-    two rounds in a row have linked nothing. Pairs grow with the texts of a band, not with
-    their square, and no band is cut short. Texts whose lengths rule the similarity out are
-    not compared.
+    with others, as the origin of a group of copies does. Those that end up outside its
+    class stay in the band and are compared with the next such text, until a band has one
+    text left or a round links nothing. Pairs grow with the texts of a band, not with their
+    square, and no band is cut short. Texts whose lengths rule the similarity out, and
+    texts of one class, are not compared.
     """
     bands = nodes.select("node", "size", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     live = space.save(bands.join(shared, "band"))
     weight = live.groupBy("node").agg(F.sum("n").alias("weight"))
-    waiting = space.save(live.drop("n").join(weight, "node"))
+    waiting = space.save(live.drop("n").join(weight, "node").withColumn("class", F.col("node")))
     members = waiting.select(F.col("node").alias(ROW)).distinct()
-    labels = space.save(texts.join(members, ROW).select(ROW, "text").mapInArrow(listed, "node long, labels binary"))
+    # a merge at any size: the texts are the larger side by far
+    of_members = texts.join(members.hint("merge"), ROW)
+    labels = space.save(of_members.select(ROW, "text").mapInArrow(listed, "node long, labels binary"))
     space.free(live)
-    found = []
-    idle = 0
-    while idle < 2 and not waiting.isEmpty():
-        top = F.max(F.struct("weight", (-F.col("node")).alias("before"), "size")).alias("top")
-        tops = waiting.groupBy("band").agg(top)
-        pairs = waiting.join(tops, "band").select(
-            "band", "node", "weight", "size", (-F.col("top.before")).alias("other"), F.col("top.size").alias("other_size")
+    found, tops = [], None
+    while True:
+        top = F.max(F.struct("weight", (-F.col("node")).alias("before"), "size", "class")).alias("top")
+        others = waiting.groupBy("band").agg(top).select(
+            "band",
+            (-F.col("top.before")).alias("other"),
+            F.col("top.size").alias("other_size"),
+            F.col("top.class").alias("other_class"),
         )
-        pairs = space.save(pairs.where(F.col("node") != F.col("other")))
+        pairs = space.save(waiting.join(others, "band").where("class <> other_class"))
         fits = F.least("size", "other_size") >= SIMILARITY * F.greatest("size", "other_size")
         edges = pairs.where(fits).select(
             F.greatest("node", "other").alias("left"), F.least("node", "other").alias("right")
@@ -144,18 +147,20 @@ def links(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame:
         for before in found:
             edges = edges.join(before, ["left", "right"], "left_anti")
         tested = space.save(verified(edges.distinct(), labels))
+        if tested.where("linked").isEmpty():
+            return tops
         found.append(tested)
-        idle = 0 if tested.where("linked").limit(1).count() else idle + 1
-        done = union(found).where("linked").select("left", "right").distinct()
+        tops = components(space, union(found).where("linked").select("left", "right"))
+        of_node = tops.withColumnRenamed("top", "new")
+        of_other = tops.select(F.col("node").alias("other"), F.col("top").alias("other_new"))
         waiting = space.save(
-            pairs.withColumn("left", F.greatest("node", "other"))
-            .withColumn("right", F.least("node", "other"))
-            .join(done, ["left", "right"], "left_anti")
-            .select("band", "node", "weight", "size")
+            pairs.join(of_node, "node", "left")
+            .join(of_other, "other", "left")
+            .withColumn("class", F.coalesce("new", "class"))
+            .where(F.col("class") != F.coalesce("other_new", "other_class"))
+            .select("band", "node", "weight", "size", "class")
         )
-        crowd = waiting.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-        waiting = waiting.join(crowd, "band", "left_semi")
-    return union(found).where("linked").select("left", "right") if found else None
+        space.free(pairs)
 
 
 def components(space: Workspace, pairs: DataFrame) -> DataFrame:
@@ -209,20 +214,19 @@ def near_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sketches = space.save(
         rows.select(ROW, F.col("doc_id").cast("long"), whole_text("text")).mapInArrow(sketched, shape)
     )
-    copies = sketches.groupBy("high", "low").agg(F.min("row").alias("node"))
+    copies = space.save(sketches.groupBy("high", "low").agg(F.min("row").alias("node")))
     members = space.save(sketches.select("row", "doc_id", "high", "low").join(copies, ["high", "low"]).drop("high", "low"))
     firsts = members.where("row = node").select("row")
     nodes = sketches.join(firsts, "row", "left_semi").select(F.col("row").alias("node"), "size", "bands")
-    pairs = links(space, nodes, texts)
-    tops = components(space, pairs) if pairs is not None else None
+    tops = classes(space, nodes, texts)
     if tops is None:
         classed = members.withColumn("top", F.col("node"))
     else:
         classed = members.join(tops, "node", "left").withColumn("top", F.coalesce("top", "node"))
     classed = space.save(classed.select("row", "doc_id", "top"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    classes = classed.groupBy("top").agg(first, F.count("*").alias("class_size"))
-    return classed.join(classes, "top").select(
+    summed = classed.groupBy("top").agg(first, F.count("*").alias("class_size"))
+    return classed.join(space.save(summed), "top").select(
         F.col("row").alias(ROW),
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
