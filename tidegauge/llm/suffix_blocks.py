@@ -29,6 +29,8 @@ RUN = 2048
 #: Runs of a bucket in one task at most; a larger bucket is split and its parts compared by fingerprint.
 PART = 4096
 BLOCK = 2_000_000
+#: Bytes at either end of a window by which the windows of such a bucket are told apart first.
+END = 128
 
 #: A difference cover modulo 64; every residue is a difference of two of them.
 COVER = (0, 1, 2, 5, 14, 16, 34, 42, 59)
@@ -99,6 +101,15 @@ def runs_of(data: bytes) -> tuple[np.ndarray, ...]:
     return bucket[first].view(np.int64), first + within * RUN, np.minimum(RUN, count - within * RUN), times
 
 
+def end_runs(data: bytes, first: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of a run with the same minimisers in the first and last END bytes of the windows."""
+    text = np.frombuffer(data, np.uint8)[first : first + count + WINDOW - 1]
+    least = sliding_min(mixed(Fingerprints(text).all(KMER)), END - KMER + 1)
+    ends = mixed(least[:count]) + least[WINDOW - END :][:count]
+    begins = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
+    return ends[begins].view(np.int64), first + begins, np.diff(np.r_[begins, count])
+
+
 class Block:
     """Texts of runs, one after the other, and the ranks of their difference-cover sample."""
 
@@ -259,53 +270,94 @@ def text_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of large buckets, cut by the ends of their windows."""
+    for batch in batches:
+        out = []
+        for row, data, runs in zip(*(batch[i].to_pylist() for i in range(3)), strict=True):
+            for run in runs:
+                for ends, first, count in zip(*end_runs(data, run["first"], run["count"]), strict=True):
+                    out.append((row, run["bucket"], ends, first, count, run["times"]))
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 6, kinds, strict=True)],
+            names=["row", "bucket", "ends", "first", "count", "times"],
+        )
+
+
 def cut_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each run; neighbouring runs of a bucket are one."""
     shape = pa.schema(
         [("bucket", pa.int64()), ("part", pa.int64()), ("split", pa.bool_()), ("row", pa.int64()),
          ("first", pa.int64()), ("count", pa.int32()), ("data", pa.binary())]
     )
     for batch in batches:
         for row, data, runs in zip(*(batch[i].to_pylist() for i in range(3)), strict=True):
-            out = [
-                {**run, "row": row, "data": data[run["first"] : run["first"] + run["count"] + WINDOW - 1]}
-                for run in runs
-            ]
-            yield pa.RecordBatch.from_pylist(out, schema=shape)
+            whole: list[dict] = []
+            for run in sorted(runs, key=lambda r: r["first"]):
+                last = whole[-1] if whole else None
+                if last and last["bucket"] == run["bucket"] and last["first"] + last["count"] == run["first"] and (
+                    last["count"] + run["count"] <= RUN
+                ):
+                    last["count"] += run["count"]
+                else:
+                    whole.append({**run, "row": row})
+            for run in whole:
+                run["data"] = data[run["first"] : run["first"] + run["count"] + WINDOW - 1]
+            yield pa.RecordBatch.from_pylist(whole, schema=shape)
+
+
+RUNS = "row long, bucket long, first long, count int, times int"
+
+
+def per_text(runs: DataFrame, *columns: str) -> DataFrame:
+    return runs.groupBy("row").agg(F.collect_list(F.struct(*columns)).alias("runs"))  # bounded by the text
+
+
+def shared_runs(space: Workspace, texts: DataFrame) -> DataFrame:
+    """Runs of windows that may come again, with the part of their bucket they are compared in.
+
+    A run alone in its bucket is not among them. The windows of a bucket of over PART runs
+    must share the minimisers of both their ends, too, which drops most of what a passage of
+    very many texts is followed and preceded by. Of what is left, a bucket still larger is
+    split by hash.
+    """
+    runs = space.save(texts.mapInArrow(text_runs, RUNS))
+    sizes = space.save(runs.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1"))
+    live = runs.join(sizes, "bucket")
+    small = live.where(F.col("n") <= PART)
+    large = live.where(F.col("n") > PART)
+    if not sizes.where(F.col("n") > PART).isEmpty():
+        cut = texts.join(per_text(large, "bucket", "first", "count", "times").hint("merge"), "row")
+        ends = space.save(cut.mapInArrow(told_apart, "row long, bucket long, ends long, first long, count int, times int"))
+        again = space.save(ends.groupBy("bucket", "ends").agg(F.sum("times").alias("m")).where("m > 1"))
+        left = space.save(ends.join(again, ["bucket", "ends"]).drop("ends", "m"))
+        large = left.join(space.save(left.groupBy("bucket").agg(F.count("*").alias("n"))), "bucket")
+    parts = F.ceil(F.col("n") / PART)
+    return (
+        small.unionByName(large)
+        .withColumn("part", F.pmod(F.xxhash64("row", "bucket"), parts))
+        .withColumn("split", parts > 1)
+        .select("row", "bucket", "part", "split", "first", "count")
+    )
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """Spans (`row`, `start`, `end`) of every repeated window, overlapping, in bytes of the input.
 
-    The bucket count is summed before its shuffle. A bucket of more than PART runs is split
-    by hash: each part compares its own windows and passes on one window per class with two
-    64-bit fingerprints, which are then counted over all parts, so that a passage in a third
-    of all documents is one fingerprint per part. No window is left out.
+    Parts of a split bucket compare their own windows and pass on one window per class with
+    two 64-bit fingerprints, which are then counted over all parts, so that a passage in a
+    third of all documents is one fingerprint per part. No window is left out.
     """
     space = Workspace(spark, "suffixes")
     data = F.encode(whole_text(text), "UTF-8").alias("data")
     texts = numbered(docs).select(F.col(ROW).alias("row"), data)
-    runs = space.save(texts.mapInArrow(text_runs, "row long, bucket long, first long, count int, times int"))
-    shared = runs.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / PART)
-    live = runs.join(shared, "bucket").select(
-        "row",
-        F.struct(
-            "bucket",
-            F.when(parts > 1, F.pmod(F.xxhash64("row", "first"), parts)).otherwise(0).cast("long").alias("part"),
-            (parts > 1).alias("split"),
-            "first",
-            "count",
-        ).alias("run"),
-    )
-    per_text = live.groupBy("row").agg(F.collect_list("run").alias("runs"))  # bounded by the text
-    cut = (
-        texts.join(per_text, "row")
-        .mapInArrow(
+    runs = per_text(shared_runs(space, texts), "bucket", "part", "split", "first", "count")
+    cut = space.save(
+        texts.join(runs.hint("merge"), "row").mapInArrow(
             cut_runs, "bucket long, part long, split boolean, row long, first long, count int, data binary"
         )
     )
-    cut = space.save(cut)
-    space.free(runs)
     found = space.save(
         cut.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(sorted_blocks, FOUND_SQL)
     )
