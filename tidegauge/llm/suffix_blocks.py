@@ -27,8 +27,8 @@ KMER = 32
 #: Windows of a run at most, so that a run of a monotonous text stays small.
 RUN = 2048
 #: Runs of a bucket in one task at most; a larger bucket is split and its parts compared by fingerprint.
-PART = 4096
-BLOCK = 2_000_000
+PART = 1536
+BLOCK = 1_000_000
 #: Bytes at either end of a window by which the windows of such a bucket are told apart first.
 END = 128
 
@@ -270,76 +270,82 @@ def text_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def told_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of large buckets, cut by the ends of their windows."""
+CUT = pa.schema(
+    [("row", pa.int64()), ("bucket", pa.int64()), ("ends", pa.int64()), ("part", pa.int64()), ("split", pa.bool_()),
+     ("first", pa.int64()), ("count", pa.int32()), ("times", pa.int32()), ("data", pa.binary())]
+)
+CUT_SQL = (
+    "row long, bucket long, ends long, part long, split boolean, first long, count int, times int, data binary"
+)
+RUNS = "row long, bucket long, first long, count int, times int"
+
+
+def with_data(runs: Iterable[dict], row: int, data: bytes) -> list[dict]:
+    return [{**r, "row": row, "data": data[r["first"] : r["first"] + r["count"] + WINDOW - 1]} for r in runs]
+
+
+def cut_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each run of a small bucket.
+
+    Runs of large buckets come without bytes, cut further where the minimisers of the
+    windows' ends change; a text that has such runs comes once as a whole, without bucket.
+    """
     for batch in batches:
-        out = []
         for row, data, runs in zip(*(batch[i].to_pylist() for i in range(3)), strict=True):
-            for run in runs:
+            out = with_data(({**r, "part": 0, "split": False} for r in runs if r["n"] <= PART), row, data)
+            large = [r for r in runs if r["n"] > PART]
+            for run in large:
                 for ends, first, count in zip(*end_runs(data, run["first"], run["count"]), strict=True):
-                    out.append((row, run["bucket"], ends, first, count, run["times"]))
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 6, kinds, strict=True)],
-            names=["row", "bucket", "ends", "first", "count", "times"],
-        )
+                    out.append({**run, "row": row, "ends": ends, "first": first, "count": count})
+            if large:
+                out.append({"row": row, "data": data})
+            yield pa.RecordBatch.from_pylist(out, schema=CUT)
 
 
-def cut_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each run; neighbouring runs of a bucket are one."""
-    shape = pa.schema(
-        [("bucket", pa.int64()), ("part", pa.int64()), ("split", pa.bool_()), ("row", pa.int64()),
-         ("first", pa.int64()), ("count", pa.int32()), ("data", pa.binary())]
-    )
+def cut_large(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of what is left of the runs of large buckets; neighbouring runs of a bucket are one."""
     for batch in batches:
         for row, data, runs in zip(*(batch[i].to_pylist() for i in range(3)), strict=True):
             whole: list[dict] = []
             for run in sorted(runs, key=lambda r: r["first"]):
                 last = whole[-1] if whole else None
-                if last and last["bucket"] == run["bucket"] and last["first"] + last["count"] == run["first"] and (
-                    last["count"] + run["count"] <= RUN
-                ):
+                next_to = last and (last["bucket"], last["first"] + last["count"]) == (run["bucket"], run["first"])
+                if next_to and last["count"] + run["count"] <= RUN:
                     last["count"] += run["count"]
                 else:
-                    whole.append({**run, "row": row})
-            for run in whole:
-                run["data"] = data[run["first"] : run["first"] + run["count"] + WINDOW - 1]
-            yield pa.RecordBatch.from_pylist(whole, schema=shape)
-
-
-RUNS = "row long, bucket long, first long, count int, times int"
+                    whole.append(run)
+            yield pa.RecordBatch.from_pylist(with_data(whole, row, data), schema=CUT)
 
 
 def per_text(runs: DataFrame, *columns: str) -> DataFrame:
     return runs.groupBy("row").agg(F.collect_list(F.struct(*columns)).alias("runs"))  # bounded by the text
 
 
-def shared_runs(space: Workspace, texts: DataFrame) -> DataFrame:
-    """Runs of windows that may come again, with the part of their bucket they are compared in.
+def live_runs(space: Workspace, texts: DataFrame) -> DataFrame:
+    """Runs of windows that may come again, with their bytes and the part of their bucket.
 
     A run alone in its bucket is not among them. The windows of a bucket of over PART runs
     must share the minimisers of both their ends, too, which drops most of what a passage of
-    very many texts is followed and preceded by. Of what is left, a bucket still larger is
-    split by hash.
+    very many texts is followed and preceded by; a bucket still larger is split by hash.
     """
     runs = space.save(texts.mapInArrow(text_runs, RUNS))
     sizes = space.save(runs.groupBy("bucket").agg(F.sum("times").alias("n")).where("n > 1"))
-    live = runs.join(sizes, "bucket")
-    small = live.where(F.col("n") <= PART)
-    large = live.where(F.col("n") > PART)
-    if not sizes.where(F.col("n") > PART).isEmpty():
-        cut = texts.join(per_text(large, "bucket", "first", "count", "times").hint("merge"), "row")
-        ends = space.save(cut.mapInArrow(told_apart, "row long, bucket long, ends long, first long, count int, times int"))
-        again = space.save(ends.groupBy("bucket", "ends").agg(F.sum("times").alias("m")).where("m > 1"))
-        left = space.save(ends.join(again, ["bucket", "ends"]).drop("ends", "m"))
-        large = left.join(space.save(left.groupBy("bucket").agg(F.count("*").alias("n"))), "bucket")
+    live = per_text(runs.join(sizes, "bucket"), "bucket", "n", "first", "count", "times")
+    # a merge at any size: the texts are the larger side by far
+    cut = space.save(texts.join(live.hint("merge"), "row").mapInArrow(cut_runs, CUT_SQL))
+    space.free(runs, sizes)
+    ends = cut.where("ends is not null").select("row", "bucket", "ends", "first", "count", "times")
+    again = space.save(ends.groupBy("bucket", "ends").agg(F.sum("times").alias("m")).where("m > 1"))
+    left = space.save(ends.join(again, ["bucket", "ends"]).drop("ends", "m"))
     parts = F.ceil(F.col("n") / PART)
-    return (
-        small.unionByName(large)
+    dealt = (
+        left.join(space.save(left.groupBy("bucket").agg(F.count("*").alias("n"))), "bucket")
         .withColumn("part", F.pmod(F.xxhash64("row", "bucket"), parts))
         .withColumn("split", parts > 1)
-        .select("row", "bucket", "part", "split", "first", "count")
     )
+    whole = cut.where("bucket is null").select("row", "data")
+    large = whole.join(per_text(dealt, "bucket", "part", "split", "first", "count"), "row").mapInArrow(cut_large, CUT_SQL)
+    return cut.where("ends is null and bucket is not null").unionByName(large)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
@@ -352,19 +358,13 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     space = Workspace(spark, "suffixes")
     data = F.encode(whole_text(text), "UTF-8").alias("data")
     texts = numbered(docs).select(F.col(ROW).alias("row"), data)
-    runs = per_text(shared_runs(space, texts), "bucket", "part", "split", "first", "count")
-    cut = space.save(
-        texts.join(runs.hint("merge"), "row").mapInArrow(
-            cut_runs, "bucket long, part long, split boolean, row long, first long, count int, data binary"
-        )
-    )
+    runs = live_runs(space, texts).select("bucket", "part", "split", "row", "first", "count", "data")
     found = space.save(
-        cut.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(sorted_blocks, FOUND_SQL)
+        runs.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(sorted_blocks, FOUND_SQL)
     )
-    space.free(cut)
     single = found.where("mark is null").select("row", "start", "end")
     marked = found.where("mark is not null")
-    across = marked.groupBy("mark", "mark2").agg(F.count("*").alias("n")).where("n > 1")
+    across = space.save(marked.groupBy("mark", "mark2").agg(F.count("*").alias("n")).where("n > 1"))
     return single.unionByName(marked.join(across, ["mark", "mark2"]).select("row", "start", "end"))
 
 
