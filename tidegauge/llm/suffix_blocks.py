@@ -27,10 +27,10 @@ KMER = 32
 #: Windows of a run at most, so that a run of a monotonous text stays small.
 RUN = 2048
 #: Runs of a bucket in one task at most; a larger bucket is split and its parts compared by fingerprint.
-PART = 1536
+PART = 4096
 BLOCK = 1_000_000
 #: Bytes at either end of a window by which the windows of such a bucket are told apart first.
-END = 128
+END = 64
 
 #: A difference cover modulo 64; every residue is a difference of two of them.
 COVER = (0, 1, 2, 5, 14, 16, 34, 42, 59)
@@ -70,7 +70,11 @@ class Fingerprints:
         weights = powers(base, size)
         self.scale = powers(pow(base, -1, 1 << 64), size)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * weights[:n], out=self.sums[1:])
+        terms = self.sums[1:]
+        terms[:] = data
+        terms += np.uint64(1)
+        terms *= weights[:n]
+        np.cumsum(terms, out=terms)
 
     def at(self, places: np.ndarray, length: int) -> np.ndarray:
         return (self.sums[places + length] - self.sums[places]) * self.scale[places]
@@ -118,10 +122,14 @@ class Block:
         self.prints = Fingerprints(data)
         self.data = data
         n = len(data) - 8
-        self.words = np.zeros(n, np.uint64)
+        self.words = np.empty(n, np.uint64)  # eight bytes from each place on
         for i in range(8):
-            self.words |= data[i : i + n].astype(np.uint64) << np.uint64(8 * i)
-        places = np.flatnonzero(np.isin(np.arange(n - DEPTH) % PERIOD, COVER))
+            own = self.words[i::8]
+            own[:] = data[i : i + 8 * len(own)].view("<u8")
+        sampled = np.zeros(n - DEPTH, bool)
+        for i in COVER:
+            sampled[i::PERIOD] = True
+        places = np.flatnonzero(sampled)
         self.rank = np.zeros(len(data), np.int64)
         names = self.named(places)
         step = PERIOD
@@ -210,26 +218,29 @@ def compared(rows: dict[str, list]) -> pa.RecordBatch:
     counts = np.array(rows["count"], np.int64)
     begins = np.cumsum(counts) - counts
     sizes = np.array([len(t) for t in rows["data"]], np.int64)
-    within = np.arange(counts.sum()) - np.repeat(begins, counts)
-    windows = np.repeat(np.cumsum(sizes) - sizes, counts) + within
-    place = np.repeat(np.array(rows["first"], np.int64), counts) + within
-    row = np.repeat(np.array(rows["row"], np.int64), counts)
+    run = np.repeat(np.arange(len(counts)), counts)
+    windows = np.arange(len(run)) + (np.cumsum(sizes) - sizes - begins)[run]
+
+    def place(chosen: np.ndarray) -> np.ndarray:
+        return (np.array(rows["first"], np.int64) - begins)[run[chosen]] + chosen
+
+    def row(chosen: np.ndarray) -> np.ndarray:
+        return np.array(rows["row"], np.int64)[run[chosen]]
 
     block = Block(rows["data"])
     names = block.classes(windows)
     repeated = np.bincount(names)[names] > 1
     opens, closes = spans_of(repeated, begins)
-    columns = [row[opens], place[opens], place[closes] + WINDOW]
-    split = np.repeat(np.array(rows["split"], bool), counts)
+    columns = [row(opens), place(opens), place(closes) + WINDOW]
     one = np.unique(names, return_index=True)[1]
-    one = one[split[one]]
+    one = one[np.array(rows["split"], bool)[run[one]]]
     other = Fingerprints(block.data, BASES[1])
     pad = np.zeros(len(opens), np.int64)
     marks = [block.prints.at(windows[one], WINDOW).view(np.int64), other.at(windows[one], WINDOW).view(np.int64)]
     valid = np.r_[np.zeros(len(opens), bool), np.ones(len(one), bool)]
     return pa.RecordBatch.from_arrays(
         [
-            *(pa.array(np.r_[a, b]) for a, b in zip(columns, (row[one], place[one], place[one] + WINDOW), strict=True)),
+            *(pa.array(np.r_[a, b]) for a, b in zip(columns, (row(one), place(one), place(one) + WINDOW), strict=True)),
             *(pa.array(np.r_[pad, m], mask=~valid) for m in marks),
         ],
         schema=FOUND,
@@ -257,7 +268,7 @@ def sorted_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def text_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         parts, rows = [], []
         for row, data in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
             parts.append(runs_of(data))
@@ -280,6 +291,13 @@ CUT_SQL = (
 RUNS = "row long, bucket long, first long, count int, times int"
 
 
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for functions that copy the texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_data(runs: Iterable[dict], row: int, data: bytes) -> list[dict]:
     return [{**r, "row": row, "data": data[r["first"] : r["first"] + r["count"] + WINDOW - 1]} for r in runs]
 
@@ -290,7 +308,7 @@ def cut_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Runs of large buckets come without bytes, cut further where the minimisers of the
     windows' ends change; a text that has such runs comes once as a whole, without bucket.
     """
-    for batch in batches:
+    for batch in in_slices(batches):
         for row, data, runs in zip(*(batch[i].to_pylist() for i in range(3)), strict=True):
             out = with_data(({**r, "part": 0, "split": False} for r in runs if r["n"] <= PART), row, data)
             large = [r for r in runs if r["n"] > PART]
@@ -372,7 +390,7 @@ def kept_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     shape = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary()), ("spans", pa.list_(span)),
                        ("kept", pa.binary())])
-    for batch in batches:
+    for batch in in_slices(batches):
         out = []
         for row, doc, data, found in zip(*(batch[i].to_pylist() for i in range(4)), strict=True):
             spans: list[dict] = []
