@@ -143,23 +143,38 @@ def nearness(a: str, b: str) -> int:
     return next((i for i in range(least) if a[i] != b[i]), least)
 
 
-LINE = "struct<text:string, key:long, main:boolean, out:boolean>"
+LINE = "struct<key:long, main:boolean, text:string>"
 PAGE = f"row long, page_id long, url string, host string, path string, lines array<{LINE}>"
 KINDS = pa.schema(
     [("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()),
-     ("lines", pa.list_(pa.struct([("text", pa.string()), ("key", pa.int64()), ("main", pa.bool_()), ("out", pa.bool_())])))]
+     ("lines", pa.list_(pa.struct([("key", pa.int64()), ("main", pa.bool_()), ("text", pa.string())])))]
 )
 
 
+def located(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places = [place_of(url) for url in batch[1].to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch[0], *(pa.array([p[i] for p in places], pa.string()) for i in (0, 1))], names=["row", "host", "path"]
+        )
+
+
 def parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as lines; the text of a line only if it can be part of the main text."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             out = []
             for row, page_id, url, page in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
                 host, path = place_of(url)
+                blocks = list(zip(*blocks_of(page or ""), strict=True))
+                marked = any(main and not out_ for _, main, out_ in blocks)
                 lines = [
-                    {"text": t, "key": zlib.crc32(t.encode()) << 20 | len(t) & 0xFFFFF, "main": m, "out": f}
-                    for t, m, f in zip(*blocks_of(page or ""), strict=True)
+                    {
+                        "key": zlib.crc32(text.encode()) << 20 | len(text) & 0xFFFFF,
+                        "main": main,
+                        "text": text if not out_ and (main or not marked) else None,
+                    }
+                    for text, main, out_ in blocks
                 ]
                 out.append({"row": row, "page_id": page_id, "url": url, "host": host, "path": path, "lines": lines})
             yield pa.RecordBatch.from_pylist(out, schema=KINDS)
@@ -174,8 +189,7 @@ def main_text(lines: list[dict], other: list[dict]) -> str:
     """
     keys = [line["key"] for line in lines]
     shared = set(common_places(keys, [line["key"] for line in other]))
-    marked = any(line["main"] and not line["out"] for line in lines)
-    own = [i for i, line in enumerate(lines) if not line["out"] and (line["main"] or not marked)]
+    own = [i for i, line in enumerate(lines) if line["text"] is not None]
     gone = [i for i in own if i in shared and not lines[i]["main"]]
     size = sum(len(lines[i]["text"]) for i in own)
     if 2 * sum(len(lines[i]["text"]) for i in gone) > size:
@@ -225,30 +239,39 @@ def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> Data
     keys of a sample of `sample` rows per task; the sample decides the sizes only. The last
     page of a bucket also goes to the next one and the first to the one before, so each
     page meets its neighbours in the whole order: a host of a third of all pages is many
-    buckets. Null html is empty and gives empty text, null or odd URLs are a host of their
-    own, repeated rows are compared as neighbours and found to be copies.
+    buckets. Bounds come from the URLs alone; pages are parsed and shuffled once. Null html
+    is empty and gives empty text, null or odd URLs are a host of their own, repeated rows
+    are compared as neighbours and found to be copies, an empty table gives no rows.
     """
     space = Workspace(spark, "pages")
     rows = numbered(pages).select(
         F.col(ROW).alias("row"), F.col("page_id").cast("long"), F.col("url").cast("string"), "html"
     )
-    stored = space.save(rows.mapInArrow(parsed, PAGE))
+    places = space.save(rows.select("row", "url").mapInArrow(located, "row long, host string, path string"))
     buckets = tasks(spark)
     key = F.struct("host", "path", "row")
-    drawn = stored.select(key.alias("k")).orderBy(F.xxhash64("k.row")).limit(sample * buckets).collect()
-    drawn = sorted((r["k"]["host"], r["k"]["path"], r["k"]["row"]) for r in drawn)
+    share = min(1.0, sample * buckets / max(1, places.count()))
+    drawn = places.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < int(share * 1_000_000)).collect()
+    drawn = sorted((r["host"], r["path"], r["row"]) for r in drawn)
     edges = [drawn[len(drawn) * i // buckets] for i in range(1, buckets)] if drawn else []
     bounds = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(r).alias("row")) for h, p, r in edges))
-    bucket = F.size(F.filter(bounds, lambda e: e <= F.struct("host", "path", "row"))) if edges else F.lit(0)
-    placed = stored.withColumn("bucket", bucket)
-    ends = placed.groupBy("bucket").agg(F.min(key).alias("first"), F.max(key).alias("last")).orderBy("bucket").collect()
-    first = {r["first"]["row"]: ends[i - 1]["bucket"] for i, r in enumerate(ends) if i}
-    last = {r["last"]["row"]: ends[i + 1]["bucket"] for i, r in enumerate(ends[:-1])}
-    halo = [(row, to) for side in (first, last) for row, to in side.items()]
-    copies = spark.createDataFrame(halo, "row long, to int")  # two rows per bucket at most
-    own = placed.withColumn("halo", F.lit(False))
-    along = placed.join(F.broadcast(copies), "row").withColumn("bucket", F.col("to")).drop("to").withColumn("halo", F.lit(True))
-    dealt = own.unionByName(along).repartition(buckets, "bucket").sortWithinPartitions("bucket", "host", "path", "row")
+    bucket = (F.size(F.filter(bounds, lambda e: e <= key)) if edges else F.lit(0)).alias("bucket")
+    ends = (
+        places.groupBy(bucket).agg(F.min(key).alias("first"), F.max(key).alias("last")).orderBy("bucket").collect()
+    )
+    halo = [(b["first"]["row"], a["bucket"]) for a, b in zip(ends, ends[1:])]
+    halo += [(a["last"]["row"], b["bucket"]) for a, b in zip(ends, ends[1:])]
+    copies = spark.createDataFrame(halo, "row long, other int")  # two rows per bucket at most
+    copies = copies.groupBy("row").agg(F.collect_list(F.struct(F.col("other").alias("bucket"), F.lit(True).alias("halo"))).alias("others"))
+    own = F.array(F.struct(bucket, F.lit(False).alias("halo")))
+    dealt = (
+        rows.mapInArrow(parsed, PAGE)
+        .join(F.broadcast(copies), "row", "left")
+        .withColumn("to", F.explode(F.when(F.col("others").isNull(), own).otherwise(F.concat(own, "others"))))
+        .select("row", "page_id", "url", "host", "path", "lines", "to.bucket", "to.halo")
+        .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket", "host", "path", "row")
+    )
     return dealt.mapInArrow(differenced, "page_id long, url string, text string")
 
 
