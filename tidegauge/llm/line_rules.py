@@ -171,7 +171,8 @@ def without_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def apply_rules(spark: SparkSession, docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The documents that pass, without their removed lines; the other columns stay as they are."""
     verdicts = judged(Workspace(spark, "rules"), docs, host, limits).where("kept")
-    passing = numbered(docs).withColumnRenamed(ROW, "row").join(verdicts.select("row", F.col("gone").alias("__gone")), "row")
+    gone = verdicts.select(F.col("row").alias(ROW), F.col("gone").alias("__gone"))
+    passing = numbered(docs).join(gone, ROW)
     others = [c for c in docs.columns if c != "text"]
     shaped = passing.select(*others, "text", "__gone")
     schema = shaped.drop("__gone").schema

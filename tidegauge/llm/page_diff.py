@@ -107,6 +107,8 @@ def blocks_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
                 if open_[depth][0] == tag:
                     if tag in INLINE and any(e[0] not in INLINE for e in open_[depth:]):
                         break  # a stray inline end tag closes no block
+                    if open_[-1][1:] != (open_[depth - 1][1:] if depth else (False, False)):
+                        flush()
                     del open_[depth:]
                     break
             continue
