@@ -8,7 +8,8 @@ from helpers import EPOCH_T0, T0, metric, plan_of, rows
 from test_streaming import drop_file, ingest
 from tidegauge.operators import metrics_from_rows
 from tidegauge.plans import run_lookback, run_range
-from tidegauge.session import shared_dir
+from tidegauge.session import setting, shared_dir
+from tidegauge.sinks import ensure_insights_table
 from tidegauge.sources import load_metrics, read_insights
 
 
@@ -44,8 +45,38 @@ def test_rejects_are_replaced_with_their_period_and_never_lost(spark, table, tmp
     for _ in range(2):
         run_range(spark, table, target, T0, EPOCH_T0 + 5400, rejects=rejects)
     assert spark.read.parquet(rejects).count() == 1
+    run_range(spark, table, target, T0, EPOCH_T0 + 5400)
+    assert spark.read.parquet(f"{target}-rejects").count() == 1
+
+
+def test_a_table_without_a_folder_for_rejects_is_left_as_it_was(spark, table):
+    ensure_insights_table(spark, "checked_insights")
     with pytest.raises(ValueError, match="1 insights"):
-        run_range(spark, table, target, T0, EPOCH_T0 + 5400)
+        run_range(spark, table, "checked_insights", T0, EPOCH_T0 + 5400)
+    assert spark.table("checked_insights").count() == 0
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_run_whose_insights_are_all_refused_keeps_them(spark, tmp_path, adaptive):
+    frame = metrics_from_rows(spark, [metric(d, s, latency=None) for d in "ab" for s in (0, 4000)])
+    target = str(tmp_path / "out")
+    with setting(spark, "spark.sql.adaptive.enabled", adaptive):
+        assert run_lookback(spark, frame, target, T0 + timedelta(hours=2), hours_back=2) is False
+    assert spark.read.parquet(f"{target}-rejects").count() == 4
+
+
+def test_a_rerun_leaves_what_the_data_now_say(spark, tmp_path):
+    target = str(tmp_path / "out")
+    as_of = T0 + timedelta(hours=3)
+    first = [metric("a", 0), metric("a", 3600), metric("a", 7200, latency=None)]
+    assert run_lookback(spark, metrics_from_rows(spark, first), target, as_of, hours_back=3)
+    other = metrics_from_rows(spark, [metric("a", 9 * 3600)])
+    assert run_lookback(spark, other, target, T0 + timedelta(hours=10), hours_back=1)
+    again = [metric("a", 0), metric("a", 7200, latency=2.0)]  # one hour withdrawn, one repaired
+    assert run_lookback(spark, metrics_from_rows(spark, again), target, as_of, hours_back=3)
+    hours = [r.period_start.hour for r in read_insights(spark, target).collect()]
+    assert sorted(hours) == [0, 2, 9]
+    assert not list((tmp_path / "out-rejects").rglob("*.parquet"))
 
 
 def test_metrics_may_be_a_frame(spark, tmp_path):

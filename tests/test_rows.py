@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 from helpers import EPOCH_T0, T0, insight, insights, metric, rows
-from tidegauge.operators import coerce_metrics, insight_columns, metrics_from_rows, split_valid
+from tidegauge.operators import coerce_metrics, flag_rows, insight_columns, metrics_from_rows, split_valid
 from tidegauge.schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, METRIC_SCHEMA
 
 
@@ -77,3 +77,20 @@ def test_insight_columns_orders_and_types(spark):
     shuffled = insights(spark, [insight("a")]).select(*reversed(INSIGHT_SCHEMA.names))
     out = insight_columns(shuffled.withColumn("max_iops", shuffled.max_iops.cast("int")))
     assert out.schema == INSIGHT_SCHEMA
+
+
+def test_milliseconds_become_seconds_and_pass_the_check(spark):
+    rows_ = [("a", "1704067200500", "5", "1.5", "2"), ("a", "soon", "5", "1.5", "2")]
+    loose = spark.createDataFrame(rows_, "device_id string, timestamp string, iops string, latency string, capacity_used string")
+    good, bad = split_valid(loose, unit="ms")
+    assert (good.count(), [r.reason for r in bad.collect()]) == (1, ["timestamp"])
+    row = coerce_metrics(good, unit="ms").first()
+    assert row.timestamp == 1704067200.5 and row.event_time.microsecond == 500000
+
+
+def test_fractions_and_numbers_that_are_none_are_refused(spark):
+    frame = spark.createDataFrame(
+        [("a", 1.0, 4200.7, 1.0, 2.0), ("a", 1.0, 4200.0, float("nan"), 2.0), ("a", 1.0, 1.0, 1.0, float("inf"))],
+        "device_id string, timestamp double, iops double, latency double, capacity_used double",
+    )
+    assert [r.reason for r in flag_rows(frame).collect()] == ["iops", "latency", "capacity_used"]

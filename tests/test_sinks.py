@@ -118,3 +118,10 @@ def test_newest_version_wins_and_copies_are_cut_before_the_shuffle(spark):
     out = newest_versions(stamped)
     assert rows(out, "device_id", "avg_iops") == [("a", 2.0), ("b", 5.0)]
     assert "WindowGroupLimit" in plan_of(out)
+
+
+def test_a_table_over_a_folder_shows_its_insights(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    write_insights(insights(spark, [insight("a", 0), insight("b", 1)]), path)
+    ensure_insights_table(spark, "placed_insights", path)
+    assert spark.table("placed_insights").count() == 2

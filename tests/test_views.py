@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 from helpers import EPOCH_T0, T0, insight, insights, metric, plan_of, rows
 from tidegauge.operators import (
     device_insights,
@@ -121,3 +123,10 @@ def test_lines(spark):
     assert [r.line for r in live_lines(tail, 1).collect()] == [
         "**00:00:01** - Device: dev02, IOPS: 4200, Latency: 11.25ms, Capacity: 640.5GB"
     ]
+
+
+def test_a_line_of_missing_measures(spark):
+    tail = metrics_from_rows(spark, [metric("a", 0, iops=None, latency=None)]).withColumn("received_at", F.col("event_time"))
+    assert [r.line for r in live_lines(tail).collect()] == [
+        "**00:00:00** - Device: a, IOPS: None, Latency: Nonems, Capacity: 500.0GB"
+    ]

@@ -57,10 +57,14 @@ def with_event_time(df: DataFrame, unit: str = "s") -> DataFrame:
     """Add `event_time` from the epoch column `timestamp`, unless the frame already has it."""
     if "event_time" in df.columns:
         return df
-    scale = {"s": F.col("timestamp"), "ms": F.col("timestamp") / 1000}
+    return df.withColumn("event_time", instant(in_seconds(F.col("timestamp"), unit)))
+
+
+def in_seconds(epoch: Column, unit: str) -> Column:
+    scale = {"s": epoch, "ms": epoch / 1000}
     if unit not in scale:
         raise ValueError(f"unit must be 's' or 'ms', not {unit!r}")
-    return df.withColumn("event_time", instant(scale[unit]))
+    return scale[unit]
 
 
 def within(df: DataFrame, start: Moment | None = None, end: Moment | None = None) -> Column:

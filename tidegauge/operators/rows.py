@@ -9,37 +9,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import reject_reason, typed, with_event_time
+from ..functions.clock import in_seconds
 from ..schemas import INSIGHT_SCHEMA, METRIC_REQUIRED, METRIC_SCHEMA
 
 
 def coerce_metrics(df: DataFrame, unit: str = "s", keep: Sequence[str] = ()) -> DataFrame:
     """Any loose metric frame as METRIC_SCHEMA plus `event_time` and the columns in `keep`.
 
-    Missing keys and values that do not convert become NULL, an empty `_id` too.
+    Missing keys and values that do not convert become NULL, an empty `_id` too. Epochs in
+    `unit` become seconds.
     """
-    columns = [typed(df, field) for field in METRIC_SCHEMA.fields]
+    columns = [
+        in_seconds(typed(df, field), unit).alias(field.name) if field.name == "timestamp" else typed(df, field)
+        for field in METRIC_SCHEMA.fields
+    ]
     columns[0] = F.nullif(columns[0], F.lit("")).alias("_id")
     if "event_time" in df.columns:
         columns.append(F.col("event_time").cast("timestamp").alias("event_time"))
-    return with_event_time(df.select(*columns, *keep), unit)
+    return with_event_time(df.select(*columns, *keep))
 
 
 def flag_rows(
     df: DataFrame,
     required: Sequence[str] = METRIC_REQUIRED,
     schema: T.StructType = METRIC_SCHEMA,
+    unit: str = "s",
 ) -> DataFrame:
     """The input with `reason`: the first failing column, NULL for a good row."""
-    return df.withColumn("reason", reject_reason(df, required, schema))
+    return df.withColumn("reason", reject_reason(df, required, schema, unit))
 
 
 def split_valid(
     df: DataFrame,
     required: Sequence[str] = METRIC_REQUIRED,
     schema: T.StructType = METRIC_SCHEMA,
+    unit: str = "s",
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with `reason`): two filters over one expression."""
-    flagged = flag_rows(df, required, schema)
+    """(valid rows, quarantined rows with `reason`): two filters over one expression.
+
+    Using both reads the source twice.
+    """
+    flagged = flag_rows(df, required, schema, unit)
     good = flagged.where(F.col("reason").isNull()).drop("reason")
     return good, flagged.where(F.col("reason").isNotNull())
 

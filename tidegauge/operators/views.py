@@ -51,21 +51,26 @@ def live_series(df: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def live_lines(tail: DataFrame, n: int = 10) -> DataFrame:
-    """The newest `n` arrivals as text lines, newest first."""
+    """The newest `n` arrivals as text lines, newest first; a missing value reads `None`."""
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+
+    # The texts of a line.
     use_table_settings(tail.sparkSession)
     newest = tail.orderBy(F.desc("received_at"), *newest_first()).limit(n)
     return newest.select(
         F.concat(
             F.lit("**"),
-            F.date_format("received_at", "HH:mm:ss"),
+            F.coalesce(F.date_format("received_at", "HH:mm:ss"), F.lit("None")),
             F.lit("** - Device: "),
-            F.col("device_id"),
+            shown("device_id"),
             F.lit(", IOPS: "),
-            F.col("iops").cast("string"),
+            shown("iops"),
             F.lit(", Latency: "),
-            F.col("latency").cast("string"),
+            shown("latency"),
             F.lit("ms, Capacity: "),
-            F.col("capacity_used").cast("string"),
+            shown("capacity_used"),
             F.lit("GB"),
         ).alias("line")
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Iterator
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,18 @@ def scan(spark: SparkSession, metrics: str | DataFrame, start, end) -> DataFrame
     return timed.where(within(timed, start, end))
 
 
+def moment_of(at) -> datetime:
+    return EPOCH + timedelta(microseconds=epoch_micros(at))
+
+
+def grid(start: datetime, end: datetime, minutes: float) -> Iterator[tuple[datetime, datetime]]:
+    """The periods of a run; the last one is clipped."""
+    while start < end:
+        after = min(end, start + timedelta(minutes=minutes))
+        yield start, after
+        start = after
+
+
 def run_range(
     spark: SparkSession,
     metrics: str | DataFrame,
@@ -36,7 +49,8 @@ def run_range(
     """Summarise an explicit range as one period, whatever its length."""
     rows = scan(spark, metrics, start, end)
     insights = process_metrics(rows, start, end, thresholds, style)
-    return write_checked(insights, target, rejects, **options)
+    period = (moment_of(start), moment_of(end))
+    return write_checked(insights, target, rejects, [period], **options)
 
 
 def run_lookback(
@@ -53,7 +67,7 @@ def run_lookback(
 ) -> bool:
     """Summarise the last `hours_back` hours before `as_of` in periods of `minutes`."""
     start = since(as_of, hours_back)
-    end = EPOCH + timedelta(microseconds=epoch_micros(as_of))
+    end = moment_of(as_of)
     rows = scan(spark, metrics, start, end)
     insights = window_metrics(rows, start, end, minutes, thresholds, style)
-    return write_checked(insights, target, rejects, **options)
+    return write_checked(insights, target, rejects, grid(start, end, minutes), **options)

@@ -65,15 +65,19 @@ insights AS (
 
 HOURLY = f"WITH {METRICS}, {insights(START_US, END_US, 60)}"
 
-FLAT_COLUMNS = f"""
+def flat_columns(latency: float = 10.0, iops: int = 500, capacity: float = 800.0) -> str:
+    return f"""
        device_id, period_start, period_end,
        {each("avg_{m}", "avg_{m}")},
        max_iops, max_latency, max_capacity_used, min_iops, min_latency, min_capacity_used,
        metrics_count,
        concat_ws('|',
-         CASE WHEN avg_latency > 10.0 THEN '{LATENCY_ALERT}' END,
-         CASE WHEN avg_iops < 500 THEN '{IOPS_ALERT}' END,
-         CASE WHEN avg_capacity_used > 800.0 THEN '{CAPACITY_ALERT}' END) AS alerts"""
+         CASE WHEN avg_latency > {latency} THEN 'High average latency detected: > {latency}ms' END,
+         CASE WHEN avg_iops < {iops} THEN 'Low average IOPS detected: < {iops}' END,
+         CASE WHEN avg_capacity_used > {capacity} THEN 'High capacity usage detected: > {capacity}GB' END) AS alerts"""
+
+
+FLAT_COLUMNS = flat_columns()
 
 ALERTS = f"""
 alerts AS (
@@ -168,6 +172,28 @@ SELECT device_id,
        min(latency) AS min_latency, max(latency) AS max_latency,
        min(capacity_used) AS min_capacity_used, max(capacity_used) AS max_capacity_used
 FROM metrics GROUP BY device_id""",
+    "strict_limits": f"{HOURLY} SELECT {flat_columns(5.0, 4000, 500.0)} FROM insights",
+    "empty_range": f"{FLAT} WHERE period_end <= TIMESTAMP '2024-01-01 00:00:00'",
+    "all_rejected_insights": f"""WITH {METRICS},
+unmeasured AS (SELECT * REPLACE (cast(NULL AS double) AS latency) FROM metrics),
+{insights(START_US, END_US, 60, "unmeasured")}
+SELECT {FLAT_COLUMNS}, 'avg_latency' AS reason FROM insights""",
+    "insights_repaired": f"""WITH {METRICS},
+left_over AS (SELECT * FROM metrics WHERE cast(_id AS bigint) % 7 <> 3),
+{insights(START_US, END_US, 60, "left_over")} SELECT {FLAT_COLUMNS} FROM insights""",
+    "device_kpis_display": f"""{HOURLY}, ends AS (
+  SELECT device_id, count(*) AS periods,
+         arg_max(avg_latency, period_end) AS l1, arg_min(avg_latency, period_end) AS l0,
+         arg_max(avg_iops, period_end) AS i1, arg_min(avg_iops, period_end) AS i0,
+         arg_max(avg_capacity_used, period_end) AS c1, arg_min(avg_capacity_used, period_end) AS c0
+  FROM insights GROUP BY device_id
+)
+SELECT device_id, round_even(l1, 2) AS latest_latency,
+       CASE WHEN periods > 1 THEN round_even(l1 - l0, 2) END AS delta_latency,
+       round_even(i1, 0) AS latest_iops, CASE WHEN periods > 1 THEN round_even(i1 - i0, 0) END AS delta_iops,
+       round_even(c1, 2) AS latest_capacity,
+       CASE WHEN periods > 1 THEN round_even(c1 - c0, 2) END AS delta_capacity
+FROM ends""",
     "device_kpis": f"""{HOURLY}, ends AS (
   SELECT device_id, count(*) AS periods,
          arg_max(avg_latency, period_end) AS l1, arg_min(avg_latency, period_end) AS l0,

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import with_event_time
-from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES
+from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES, Thresholds
 from ..session import shared_dir
 from ..sinks import ensure_insights_table, insight_rows, jdbc_rows, write_insights
-from ..sources import latest_metrics, metric_table, read_insights, read_quarantine, scan_metrics
+from ..sources import latest_metrics, read_insights, read_quarantine, scan_metrics
 from ..streaming import (
     decode_messages,
     ingest_metrics,
@@ -79,7 +78,7 @@ def clipped_windows(spark, sf_dir):
 
 def range_scan(spark, sf_dir):
     """[start, end) of the stored table that holds all events."""
-    return scan_metrics(spark, metrics_table(spark, sf_dir), ODD_START, ODD_END)
+    return scan_metrics(spark, ingested(spark, sf_dir), ODD_START, ODD_END)
 
 
 def lookback_scan(spark, sf_dir):
@@ -92,7 +91,7 @@ def recent_metrics(spark, sf_dir):
 
 def recent_from_table(spark, sf_dir):
     """The same rows from the stored table, reading its newest days only."""
-    return latest_metrics(spark, metrics_table(spark, sf_dir), as_of=END)
+    return latest_metrics(spark, ingested(spark, sf_dir), as_of=END)
 
 
 def recent_display(spark, sf_dir):
@@ -260,23 +259,6 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-# Path of the stored metrics per application and input folder.
-STORED_METRICS: dict[tuple[str, str], str] = {}
-
-
-def metrics_table(spark: SparkSession, sf_dir: str) -> str:
-    """All events as a stored metrics table, ingested once for all queries that read it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    try:
-        if key in STORED_METRICS:
-            metric_table(spark, STORED_METRICS[key])
-            return STORED_METRICS[key]
-    except AnalysisException:
-        pass  # the shared folder was cleared meanwhile
-    STORED_METRICS[key] = ingested(spark, sf_dir)
-    return STORED_METRICS[key]
-
-
 def stream_ingest(spark, sf_dir):
     return scan_metrics(spark, ingested(spark, sf_dir))
 
@@ -326,7 +308,7 @@ def live_lines(spark, sf_dir):
 def batch_lookback(spark, sf_dir):
     """The whole batch job: stored metrics in, insights of the last 30 days out."""
     target = shared_dir(spark, "insights")
-    table = metrics_table(spark, sf_dir)
+    table = ingested(spark, sf_dir)
     run_lookback(spark, table, target, END, hours_back=30 * 24, style="threshold")
     return flat(read_insights(spark, target))
 
@@ -334,11 +316,54 @@ def batch_lookback(spark, sf_dir):
 def batch_range(spark, sf_dir):
     """The whole batch job over an explicit range: one period."""
     target = shared_dir(spark, "insights")
-    run_range(spark, metrics_table(spark, sf_dir), target, ODD_START, ODD_END, style="threshold")
+    run_range(spark, ingested(spark, sf_dir), target, ODD_START, ODD_END, style="threshold")
     return flat(read_insights(spark, target))
 
 
+def strict_limits(spark, sf_dir):
+    """Hourly insights under other thresholds than the default ones."""
+    limits = Thresholds(high_latency=5.0, low_iops=4000, high_capacity=500.0)
+    return flat(op.window_metrics(metrics(spark, sf_dir), START, END, thresholds=limits, style="threshold"))
+
+
+def empty_range(spark, sf_dir):
+    """A day without events: nothing is written and nothing comes out."""
+    rows = metrics(spark, sf_dir)
+    if run_lookback(spark, rows, shared_dir(spark, "insights"), START, hours_back=24):
+        raise AssertionError("a write of nothing says so")
+    return flat(op.window_metrics(rows, "2023-12-31 00:00:00", START, style="threshold"))
+
+
+def all_rejected_insights(spark, sf_dir):
+    """No event has a latency: every insight is refused, and all are kept with the reason."""
+    rows = metrics(spark, sf_dir).withColumn("latency", F.lit(None).cast("double"))
+    target = shared_dir(spark, "insights")
+    run_lookback(spark, rows, target, END, hours_back=30 * 24, style="threshold")
+    refused = spark.read.parquet(f"{target}-rejects")
+    return flat(refused.drop("created_at", "period_date", "period_key"))
+
+
+def insights_repaired(spark, sf_dir):
+    """A run over rows of which some lack a measure, then one after repair and withdrawal."""
+    rows = metrics(spark, sf_dir)
+    number = F.col("_id").cast("long")
+    gaps = rows.withColumn("latency", F.when(number % 5 != 0, F.col("latency")))
+    target = shared_dir(spark, "insights")
+    for each in (gaps, rows.where(number % 7 != 3)):
+        run_lookback(spark, each, target, END, hours_back=30 * 24, style="threshold")
+    return flat(read_insights(spark, target))
+
+
+def device_kpis_display(spark, sf_dir):
+    return op.device_kpis(windows(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "strict_limits": strict_limits,
+    "empty_range": empty_range,
+    "all_rejected_insights": all_rejected_insights,
+    "insights_repaired": insights_repaired,
+    "device_kpis_display": device_kpis_display,
     "window_insights": window_insights,
     "device_summary": device_summary,
     "clipped_windows": clipped_windows,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Iterable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import utc_date
+from ..functions import epoch_micros, utc_date
+from ..functions.clock import utc_day
 from ..operators.rows import flag_rows, insight_columns
 from ..schemas import (
     INSIGHT_PARTITIONS,
@@ -78,7 +81,7 @@ def jdbc_write_options(
 
 
 def ensure_insights_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create the insights table unless it exists.
+    """Create the insights table unless it exists; over a folder it shows the insights there.
 
     The key of a row is (device_id, period_start, period_end), so there is no serial id.
     Spark does not enforce NOT NULL on parquet; `operators.split_valid` does that work.
@@ -93,17 +96,10 @@ def ensure_insights_table(spark: SparkSession, name: str, location: str | None =
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(INSIGHT_PARTITIONS)}){where}"
     )
-
-
-def observed(seen: Observation, name: str) -> int:
-    """A count taken during a finished write.
-
-    Spark drops the counter together with a plan it finds to be empty; that is a zero.
-    """
-    try:
-        return seen.get[name]
-    except Py4JJavaError:
-        return 0
+    if location:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+        if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+            spark.catalog.recoverPartitions(name)
 
 
 def write_insights(
@@ -121,47 +117,89 @@ def write_insights(
     Alerts cross as JSON text; a PostgreSQL JSONB column takes it with the connection
     property `stringtype="unspecified"`.
 
-    Rows are counted while they are written, not by a second run of the plan.
+    A period is replaced as a whole: give all its devices. The rows are cached for the
+    count, so that the plan behind them runs once.
     """
+    if mode not in ("replace", "append"):
+        raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
+    rows = insights.persist()
+    try:
+        if rows.isEmpty():
+            return False
+        store(rows, target, mode, table, **options)
+    finally:
+        rows.unpersist()
+    return True
+
+
+def store(insights: DataFrame, target: str, mode: str = "replace", table: str = "device_insights", **options) -> None:
     spark = use_table_settings(insights.sparkSession)
-    seen = Observation()
-    counted = F.count(F.lit(1)).alias("rows")
     if target.startswith("jdbc:"):
-        sink = jdbc_rows(insights).observe(seen, counted).write.format("jdbc").mode("append")
+        sink = jdbc_rows(insights).write.format("jdbc").mode("append")
         sink.option("url", target).options(**jdbc_write_options(table, **options)).save()
-        return observed(seen, "rows") > 0
-    if mode not in ("replace", "append"):
-        raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
-    rows = insight_rows(insights).observe(seen, counted)
+        return
+    rows = insight_rows(insights)
     if "/" in target:
         write_periods(rows, target, mode, **options)
     else:
         dynamic = setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic")
         with dynamic, setting(spark, *SPREAD):
             gathered(rows).write.insertInto(target, overwrite=mode == "replace")
-    return observed(seen, "rows") > 0
+
+
+def rejects_folder(target: str, rejects: str | None) -> str | None:
+    """Where refused rows go: beside a folder by default; tables and databases need a name."""
+    if rejects is None and "/" in target and not target.startswith("jdbc:"):
+        return f"{target.rstrip('/')}-rejects"
+    return rejects
+
+
+def clear_periods(spark: SparkSession, path: str, periods: Iterable[tuple[datetime, datetime]], keep: set[str]) -> None:
+    """Remove the stored periods of a run that it has not written this time."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for start, end in periods if files.exists(root) else ():
+        key = f"{epoch_micros(start)}-{epoch_micros(end)}"
+        if key not in keep:
+            files.delete(jvm.org.apache.hadoop.fs.Path(root, f"period_date={utc_day(end)}/period_key={key}"), True)
 
 
 def write_checked(
-    insights: DataFrame, target: str, rejects: str | None = None, **options
+    insights: DataFrame,
+    target: str,
+    rejects: str | None = None,
+    periods: Iterable[tuple[datetime, datetime]] = (),
+    **options,
 ) -> bool:
     """`write_insights` for the rows that meet the NOT NULL columns of the table.
 
     The others go to the folder `rejects` with the `reason`, by period like the insights;
-    without a folder they are an error. The insights are cached between the two writes, so
+    for a target folder that is `<target>-rejects` unless named. Both kinds are counted
+    before anything is written: refused rows without a folder for them are an error that
+    leaves the target as it was. The insights are cached for the count and both writes, so
     the metrics behind them are read once; an executor that is lost with its part of the
     cache costs only that part again.
+
+    `periods` are all periods of the run: in a target folder and its rejects, those that
+    this run has no rows for are removed, so that a rerun leaves what the data now say.
     """
+    spark = use_table_settings(insights.sparkSession)
+    rejects = rejects_folder(target, rejects)
     flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA).persist()
+    good, bad = flagged.where(F.col("reason").isNull()), flagged.where(F.col("reason").isNotNull())
     try:
-        seen = Observation()
-        counted = flagged.observe(seen, F.count("reason").alias("rejects"))
-        written = write_insights(counted.where(F.col("reason").isNull()), target, **options)
-        refused = observed(seen, "rejects")
+        rows, refused = flagged.agg(F.count("*"), F.count("reason")).first()
         if refused and rejects is None:
             raise ValueError(f"{refused} insights lack a required column; name a folder for `rejects`")
+        if rows > refused:
+            store(good, target, **options)
         if refused:
-            write_periods(with_period_key(flagged.where(F.col("reason").isNotNull())), rejects)
+            write_periods(with_period_key(bad), rejects)
+        periods = list(periods) if "/" in target and not target.startswith("jdbc:") else []
+        for part, folder in ((good, target), (bad, rejects)) if periods else ():
+            written = with_period_key(part).select("period_key").distinct().collect()  # within `periods`
+            clear_periods(spark, folder, periods, {r["period_key"] for r in written})
     finally:
         flagged.unpersist()
-    return written
+    return rows > refused

@@ -36,7 +36,11 @@ def ingest_metrics(
     executors. No shuffle: a task writes what it read. Files per batch are tasks times days
     in the batch, so choose the trigger interval for the file size wanted; where a topic has
     many thin partitions, `writers` spreads their rows evenly over that many tasks first.
+    The sink's `retention` is refused: it drops old files from the log by which the table is
+    read, and history with them.
     """
+    if any(name.lower() == "retention" for name in options):
+        raise ValueError("retention hides old metrics; use a longer trigger interval or `writers`")
     use_table_settings(decoded.sparkSession)
     rows = ingest_rows(decoded)
     if writers:

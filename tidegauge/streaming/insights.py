@@ -13,6 +13,7 @@ from ..operators.rows import insight_columns
 from ..schemas import MEASURES, Thresholds
 from ..session import ADAPTIVE, ROCKSDB, setting, use_table_settings
 from ..sinks import write_checked
+from ..sinks.insights import rejects_folder
 
 
 def stream_insights(
@@ -58,8 +59,12 @@ def start_insights(
     """Start writing a stream of insights with `sinks.write_checked`.
 
     All devices of a window leave the watermark in the same micro-batch, so replacing whole
-    periods makes a replayed batch harmless.
+    periods makes a replayed batch harmless. Refused insights never stop the stream: they go
+    to `rejects`, by default `<target>-rejects`; a table or database needs the folder named.
+    The session's state store provider is set to RocksDB.
     """
+    if rejects_folder(target, rejects) is None:
+        raise ValueError("name a folder for `rejects`")
     spark = use_table_settings(insights.sparkSession)
     # open windows live on disk with a durable copy in the checkpoint, not on the heap
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

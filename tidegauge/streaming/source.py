@@ -63,8 +63,12 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         read, spare = F.col(f"quick.{name}"), F.col(f"text.{name}")
         return F.coalesce(read, spare.try_cast("double") if name in NUMBERS else spare)
 
-    # the parser ignores what follows the object, which would hide a message cut or glued
-    unfinished = ~F.rtrim("raw", F.lit(" \t\r\n")).endswith("}")
+    # the parser ignores what follows the object, which would hide a message cut or glued; as
+    # an element of an array it must be alone, which only a brace before the end can deny
+    trimmed = F.rtrim("raw", F.lit(" \t\r\n"))
+    elements = F.from_json(F.concat(F.lit("["), trimmed, F.lit("]")), "array<map<string,string>>", JSON_OPTIONS)
+    alone = (F.instr(trimmed, "}") == F.length(trimmed)) | (F.coalesce(F.size(elements), F.lit(0)) == 1)
+    unfinished = ~trimmed.endswith("}") | ~alone
     no_object = F.col("text").isNull() | F.col("text._malformed").isNotNull()
     unread = F.coalesce(
         *[F.when(F.col(f"text.{n}").isNotNull() & field(n).isNull(), n) for n in NUMBERS]

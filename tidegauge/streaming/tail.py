@@ -17,9 +17,11 @@ HELD_SCHEMA = T.StructType(
         T.StructField("event_time", T.TimestampType()),
         T.StructField("received_at", T.TimestampType()),
         T.StructField("batch", T.LongType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("run_start", T.LongType()),
     ]
 )
-TAIL_COLUMNS = HELD_SCHEMA.names[:-1]
+TAIL_COLUMNS = HELD_SCHEMA.names[:-3]
 
 
 def slot(path: str, batch: int) -> str:
@@ -41,7 +43,8 @@ def live_tail(
 
     Each micro-batch keeps its own newest `n` rows, adds the `n` held before, and writes the
     newest `n` of both as one small file. Batches alternate between two folders: the one
-    being rewritten is never the one a reader or a replayed batch needs.
+    being rewritten is never the one a reader or a replayed batch needs. A run with a new
+    checkpoint counts its batches from 0; here they go on from the last one held.
     """
     spark = use_table_settings(stream.sparkSession)
     rows = stream if "received_at" in stream.columns else stream.withColumn(
@@ -55,11 +58,18 @@ def live_tail(
         empty.write.mode("append").parquet(slot(path, number))
 
     def hold(batch: DataFrame, number: int) -> None:
-        held = batch.sparkSession.read.schema(HELD_SCHEMA).parquet(slot(path, number - 1))
+        session = batch.sparkSession
+        slots = session.read.schema(HELD_SCHEMA).parquet(slot(path, 0), slot(path, 1))
+        own = F.col("run") == checkpoint
+        begun, last = slots.agg(F.max(F.when(own, F.col("run_start"))), F.max("batch")).first()
+        start = begun if begun is not None else 0 if last is None else last + 1
+        number += start
+        held = session.read.schema(HELD_SCHEMA).parquet(slot(path, number - 1))
         both = newest(batch.select(*TAIL_COLUMNS), n).unionByName(held.select(*TAIL_COLUMNS))
-        newest(both, n).withColumn("batch", F.lit(number).cast("long")).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(slot(path, number))
+        stamps = {"batch": number, "run_start": start}
+        kept = newest(both, n).withColumns({k: F.lit(v).cast("long") for k, v in stamps.items()})
+        kept = kept.withColumn("run", F.lit(checkpoint)).select(*HELD_SCHEMA.names)
+        kept.coalesce(1).write.mode("overwrite").parquet(slot(path, number))
 
     return (
         rows.writeStream.outputMode("append")
