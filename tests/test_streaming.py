@@ -15,6 +15,7 @@ from tidegauge.sources import latest_metrics, read_insights, read_quarantine, sc
 from tidegauge.sources.metrics import metric_table
 from tidegauge.streaming import (
     decode_messages,
+    flag_ahead,
     ingest_metrics,
     kafka_options,
     live_tail,
@@ -307,3 +308,21 @@ def test_an_option_that_hides_history_is_refused(spark, tmp_path):
     stream = read_metric_stream(spark, str(tmp_path / "in"), "text")
     with pytest.raises(ValueError):
         ingest_metrics(stream, str(tmp_path / "t"), str(tmp_path / "s"), ONCE, Retention="1s")
+
+
+def test_a_clock_that_runs_ahead_closes_no_window(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "insights")
+    drop_file(source, "1", [metric("fast", 3e9)])
+
+    def run():
+        stream = read_metric_stream(spark, str(source), "text")
+        start_insights(stream_insights(stream), target, str(tmp_path / "state"), ONCE).awaitTermination()
+
+    run()
+    for hour in range(5):
+        drop_file(source, f"h{hour}", [metric("a", 3600 * hour)])
+        run()
+    # the watermark is at 3:50
+    assert read_insights(spark, target).count() == 3
+    assert [r.reason for r in flag_ahead(decode_messages(spark.createDataFrame(
+        [(json.dumps(metric("fast", 3e9)),)], "value string"))).collect()] == ["ahead"]

@@ -1,5 +1,5 @@
 """Whole jobs, and the queries over the given tables."""
 
-from .batch import run_lookback, run_range
+from .batch import close_windows, run_lookback, run_range
 
-__all__ = ["run_lookback", "run_range"]
+__all__ = ["close_windows", "run_lookback", "run_range"]

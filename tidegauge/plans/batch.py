@@ -6,13 +6,14 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import epoch_micros, since, with_event_time, within
 from ..functions.clock import EPOCH
 from ..operators import process_metrics, window_metrics
 from ..schemas import Thresholds
 from ..sinks import write_checked
-from ..sources import scan_metrics
+from ..sources import read_insights, scan_metrics
 
 
 def scan(spark: SparkSession, metrics: str | DataFrame, start, end) -> DataFrame:
@@ -71,3 +72,35 @@ def run_lookback(
     rows = scan(spark, metrics, start, end)
     insights = window_metrics(rows, start, end, minutes, thresholds, style)
     return write_checked(insights, target, rejects, grid(start, end, minutes), **options)
+
+
+def close_windows(
+    spark: SparkSession,
+    metrics: str | DataFrame,
+    target: str,
+    as_of,
+    hours_back: float | None = None,
+    minutes: float = 60,
+    thresholds: Thresholds = Thresholds(),
+    style: str = "value",
+    rejects: str | None = None,
+    **options,
+) -> bool:
+    """Bring the insights of a stopped stream up to `as_of` from the stored metrics.
+
+    Without `hours_back`, from the last stored period on: the windows the stream left open.
+    With it, all windows of so many hours, which also repairs those that missed late rows.
+    Windows stay aligned to the clock, and whole periods are replaced.
+    """
+    end, width = moment_of(as_of), timedelta(minutes=minutes)
+    if hours_back is None:
+        last = read_insights(spark, target, ordered=False).agg(F.max(F.unix_micros("period_end"))).first()[0]
+        if last is None:
+            raise ValueError("no insights yet: name `hours_back`")
+        start = EPOCH + timedelta(microseconds=last)
+    else:
+        start = since(as_of, hours_back)
+    start = EPOCH + (start - EPOCH) // width * width
+    end = EPOCH - (EPOCH - end) // width * width
+    insights = window_metrics(scan(spark, metrics, start, end), start, end, minutes, thresholds, style)
+    return write_checked(insights, target, rejects, grid(start, end, minutes), **options)

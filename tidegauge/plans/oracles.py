@@ -172,6 +172,7 @@ SELECT device_id,
        min(latency) AS min_latency, max(latency) AS max_latency,
        min(capacity_used) AS min_capacity_used, max(capacity_used) AS max_capacity_used
 FROM metrics GROUP BY device_id""",
+    "stream_insights_closed": FLAT,
     "strict_limits": f"{HOURLY} SELECT {flat_columns(5.0, 4000, 500.0)} FROM insights",
     "empty_range": f"{FLAT} WHERE period_end <= TIMESTAMP '2024-01-01 00:00:00'",
     "all_rejected_insights": f"""WITH {METRICS},

@@ -21,7 +21,7 @@ from ..streaming import (
     start_insights,
     stream_insights,
 )
-from . import run_lookback, run_range
+from . import close_windows, run_lookback, run_range
 from .given_tables import as_messages, devices, given, loose_metrics, metrics, stream_of_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +281,15 @@ def stream_insights_query(spark, sf_dir):
     return flat(read_insights(spark, target))
 
 
+def stream_insights_closed(spark, sf_dir):
+    """The same stream, then a batch run of the windows it left open: all insights."""
+    target, checkpoint = shared_dir(spark, "insights"), shared_dir(spark, "insight-state")
+    summed = stream_insights(stream_of_metrics(spark, sf_dir), style="threshold")
+    start_insights(summed, target, checkpoint, ONCE).awaitTermination()
+    close_windows(spark, metrics(spark, sf_dir), target, END, style="threshold")
+    return flat(read_insights(spark, target))
+
+
 def held_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = shared_dir(spark, "tail"), shared_dir(spark, "tail-state")
     arrivals = stream_of_metrics(spark, sf_dir).withColumn("received_at", F.col("event_time"))
@@ -401,6 +410,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
     "stream_insights": stream_insights_query,
+    "stream_insights_closed": stream_insights_closed,
     "live_tail": live_tail_query,
     "live_lines": live_lines,
     "batch_lookback": batch_lookback,

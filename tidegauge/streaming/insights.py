@@ -14,6 +14,7 @@ from ..schemas import MEASURES, Thresholds
 from ..session import ADAPTIVE, ROCKSDB, setting, use_table_settings
 from ..sinks import write_checked
 from ..sinks.insights import rejects_folder
+from .source import flag_ahead
 
 
 def stream_insights(
@@ -22,18 +23,20 @@ def stream_insights(
     watermark: str = "10 minutes",
     thresholds: Thresholds = Thresholds(),
     style: str = "value",
+    max_ahead: str = "1 day",
 ) -> DataFrame:
     """Per-device summaries of event-time windows, with alerts.
 
     Windows are aligned to the clock and never clipped, unlike the batch operator, whose
     periods start where the run starts. In append mode a window comes out once, when the
     watermark has passed its end, and rows later than that are dropped. Rejected rows
-    (`reason` not NULL) are left out. State is one fixed-width row per device and open
+    (`reason` not NULL) and rows more than `max_ahead` ahead of the clock, which would close
+    all windows, are left out. `plans.close_windows` repairs from the stored metrics what a
+    stream left open or dropped; the query's progress counts the dropped rows
+    (`numRowsDroppedByWatermark`). State is one fixed-width row per device and open
     window, and rows are pre-aggregated before they reach it.
     """
-    rows = with_event_time(stream)
-    if "reason" in rows.columns:
-        rows = rows.where(F.col("reason").isNull())
+    rows = flag_ahead(with_event_time(stream), max_ahead).where(F.col("reason").isNull())
     summed = (
         rows.select("device_id", "event_time", *MEASURES)
         .withWatermark("event_time", watermark)

@@ -121,3 +121,13 @@ def read_live_stream(
         options = options | {"startingOffsets": "latest"}
     messages = read_messages(spark, source, fmt, **options)
     return decode_messages(messages.withColumn("received_at", F.current_timestamp()))
+
+
+def flag_ahead(decoded: DataFrame, max_ahead: str = "1 day") -> DataFrame:
+    """`reason` is `ahead` for good rows whose time lies further than that ahead of the clock.
+
+    One such row would move a watermark past all others. The ingest quarantines them.
+    """
+    reason = F.col("reason") if "reason" in decoded.columns else F.lit(None).cast("string")
+    ahead = F.col("event_time") > F.current_timestamp() + F.expr(f"INTERVAL {max_ahead}")
+    return decoded.withColumn("reason", F.coalesce(reason, F.when(ahead, "ahead")))
