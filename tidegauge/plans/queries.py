@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import with_event_time
 from ..schemas import INSIGHT_REQUIRED, INSIGHT_SCHEMA, MEASURES, Thresholds
-from ..session import shared_dir
+from ..session import scratch_dir
 from ..sinks import ensure_insights_table, insight_rows, jdbc_rows, write_insights
 from ..sources import latest_metrics, read_insights, read_quarantine, scan_metrics
 from ..streaming import (
@@ -58,7 +58,7 @@ def windows(spark: SparkSession, sf_dir: str, style: str = "threshold") -> DataF
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Written once and read back, for operators that go over their input more than once."""
-    path = shared_dir(df.sparkSession, purpose)
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -130,14 +130,14 @@ def insight_series(spark, sf_dir):
 
 def insights_lookback(spark, sf_dir):
     """Insights of the last day, from the stored insights table."""
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     write_insights(windows(spark, sf_dir), target)
     return flat(read_insights(spark, target, LOOKBACK_HOURS, END))
 
 
 def insights_rerun(spark, sf_dir):
     """The stored table after writing all periods twice: nothing is doubled."""
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     for _ in range(2):
         write_insights(windows(spark, sf_dir), target)
     return flat(read_insights(spark, target))
@@ -145,7 +145,7 @@ def insights_rerun(spark, sf_dir):
 
 def insights_table(spark, sf_dir):
     """The same through a catalog table, created if it is not there."""
-    location = shared_dir(spark, "insights-table")
+    location = scratch_dir(spark, "insights-table")
     name = location.rsplit("/", 1)[-1].replace("-", "_")
     ensure_insights_table(spark, name, location)
     for _ in range(2):
@@ -253,7 +253,7 @@ def capacity_forecast(spark, sf_dir):
 
 def ingested(spark: SparkSession, sf_dir: str) -> str:
     """Stream all events as JSON messages into a metrics table; its path."""
-    path, checkpoint = shared_dir(spark, "metrics"), shared_dir(spark, "ingest-state")
+    path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "ingest-state")
     messages = as_messages(stream_of_metrics(spark, sf_dir))
     ingest_metrics(decode_messages(messages), path, checkpoint, ONCE).awaitTermination()
     return path
@@ -265,7 +265,7 @@ def stream_ingest(spark, sf_dir):
 
 def stream_quarantine(spark, sf_dir):
     """Event bodies are no metrics: all of them are refused, and none is lost."""
-    path, checkpoint = shared_dir(spark, "metrics"), shared_dir(spark, "ingest-state")
+    path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "ingest-state")
     shape = given(spark, sf_dir, "events").schema
     events = spark.readStream.schema(shape).parquet(f"{sf_dir.rstrip('/')}/{{events}}.parquet")
     bodies = events.select(F.col("props").alias("value"))
@@ -275,7 +275,7 @@ def stream_quarantine(spark, sf_dir):
 
 def stream_insights_query(spark, sf_dir):
     """Hourly insights of a stream of all events: the windows the watermark has closed."""
-    target, checkpoint = shared_dir(spark, "insights"), shared_dir(spark, "insight-state")
+    target, checkpoint = scratch_dir(spark, "insights"), scratch_dir(spark, "insight-state")
     summed = stream_insights(stream_of_metrics(spark, sf_dir), style="threshold")
     start_insights(summed, target, checkpoint, ONCE).awaitTermination()
     return flat(read_insights(spark, target))
@@ -283,7 +283,7 @@ def stream_insights_query(spark, sf_dir):
 
 def stream_insights_closed(spark, sf_dir):
     """The same stream, then a batch run of the windows it left open: all insights."""
-    target, checkpoint = shared_dir(spark, "insights"), shared_dir(spark, "insight-state")
+    target, checkpoint = scratch_dir(spark, "insights"), scratch_dir(spark, "insight-state")
     summed = stream_insights(stream_of_metrics(spark, sf_dir), style="threshold")
     start_insights(summed, target, checkpoint, ONCE).awaitTermination()
     close_windows(spark, metrics(spark, sf_dir), target, END, style="threshold")
@@ -291,7 +291,7 @@ def stream_insights_closed(spark, sf_dir):
 
 
 def held_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = shared_dir(spark, "tail"), shared_dir(spark, "tail-state")
+    path, checkpoint = scratch_dir(spark, "tail"), scratch_dir(spark, "tail-state")
     arrivals = stream_of_metrics(spark, sf_dir).withColumn("received_at", F.col("event_time"))
     live_tail(arrivals, path, checkpoint, trigger=ONCE).awaitTermination()
     return read_live_tail(spark, path)
@@ -316,7 +316,7 @@ def live_lines(spark, sf_dir):
 
 def batch_lookback(spark, sf_dir):
     """The whole batch job: stored metrics in, insights of the last 30 days out."""
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     table = ingested(spark, sf_dir)
     run_lookback(spark, table, target, END, hours_back=30 * 24, style="threshold")
     return flat(read_insights(spark, target))
@@ -324,7 +324,7 @@ def batch_lookback(spark, sf_dir):
 
 def batch_range(spark, sf_dir):
     """The whole batch job over an explicit range: one period."""
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     run_range(spark, ingested(spark, sf_dir), target, ODD_START, ODD_END, style="threshold")
     return flat(read_insights(spark, target))
 
@@ -338,7 +338,7 @@ def strict_limits(spark, sf_dir):
 def empty_range(spark, sf_dir):
     """A day without events: nothing is written and nothing comes out."""
     rows = metrics(spark, sf_dir)
-    if run_lookback(spark, rows, shared_dir(spark, "insights"), START, hours_back=24):
+    if run_lookback(spark, rows, scratch_dir(spark, "insights"), START, hours_back=24):
         raise AssertionError("a write of nothing says so")
     return flat(op.window_metrics(rows, "2023-12-31 00:00:00", START, style="threshold"))
 
@@ -346,7 +346,7 @@ def empty_range(spark, sf_dir):
 def all_rejected_insights(spark, sf_dir):
     """No event has a latency: every insight is refused, and all are kept with the reason."""
     rows = metrics(spark, sf_dir).withColumn("latency", F.lit(None).cast("double"))
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     run_lookback(spark, rows, target, END, hours_back=30 * 24, style="threshold")
     refused = spark.read.parquet(f"{target}-rejects")
     return flat(refused.drop("created_at", "period_date", "period_key"))
@@ -357,7 +357,7 @@ def insights_repaired(spark, sf_dir):
     rows = metrics(spark, sf_dir)
     number = F.col("_id").cast("long")
     gaps = rows.withColumn("latency", F.when(number % 5 != 0, F.col("latency")))
-    target = shared_dir(spark, "insights")
+    target = scratch_dir(spark, "insights")
     for each in (gaps, rows.where(number % 7 != 3)):
         run_lookback(spark, each, target, END, hours_back=30 * 24, style="threshold")
     return flat(read_insights(spark, target))

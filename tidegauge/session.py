@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -73,3 +74,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A `shared_dir` that is removed when the application ends; a lazy result may read it until then."""
+    path = shared_dir(spark, purpose)
+    atexit.register(remove_dir, spark, path)
+    return path
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
