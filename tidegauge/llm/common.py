@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import itertools
 import shutil
 import tempfile
@@ -12,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import setting, shared_dir
+from ..session import remove_dir, scratch_dir, setting
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROW = "__row"
@@ -60,9 +59,8 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:
         self.spark = spark
-        self.folder = shared_dir(spark, purpose)
+        self.folder = scratch_dir(spark, purpose)
         self.count = itertools.count()
-        atexit.register(self.close)
 
     def save(self, rows: DataFrame) -> DataFrame:
         path = f"{self.folder}/{next(self.count)}"
@@ -74,17 +72,7 @@ class Workspace:
 
     def free(self, *saved: DataFrame) -> None:
         for one in saved:
-            self._delete(one.stored_at)
-
-    def close(self) -> None:
-        if self.spark.sparkContext._jsc is not None and not self.spark.sparkContext._jsc.sc().isStopped():
-            self._delete(self.folder)
-
-    def _delete(self, path: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
+            remove_dir(self.spark, one.stored_at)
 
 
 def union(parts: Iterable[DataFrame]) -> DataFrame:
