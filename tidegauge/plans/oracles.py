@@ -19,6 +19,14 @@ def each(value: str, name: str, digits: int = 6) -> str:
     )
 
 
+def even(value: str, digits: int) -> str:
+    """Rounded on the shortest decimal text of a double, ties to even."""
+    scaled = f"(cast(cast({value} AS varchar) AS decimal(28,18)) * {10**digits})"
+    over = f"{scaled} - floor({scaled})"
+    up = f"CASE WHEN {over} > 0.5 OR ({over} = 0.5 AND floor({scaled}) % 2 <> 0) THEN 1 ELSE 0 END"
+    return f"cast(floor({scaled}) + {up} AS double) / {10**digits}"
+
+
 METRICS = """
 metrics AS (
   SELECT cast(event_id AS varchar) AS _id,
@@ -189,11 +197,11 @@ left_over AS (SELECT * FROM metrics WHERE cast(_id AS bigint) % 7 <> 3),
          arg_max(avg_capacity_used, period_end) AS c1, arg_min(avg_capacity_used, period_end) AS c0
   FROM insights GROUP BY device_id
 )
-SELECT device_id, round_even(l1, 2) AS latest_latency,
-       CASE WHEN periods > 1 THEN round_even(l1 - l0, 2) END AS delta_latency,
-       round_even(i1, 0) AS latest_iops, CASE WHEN periods > 1 THEN round_even(i1 - i0, 0) END AS delta_iops,
-       round_even(c1, 2) AS latest_capacity,
-       CASE WHEN periods > 1 THEN round_even(c1 - c0, 2) END AS delta_capacity
+SELECT device_id, {even("l1", 2)} AS latest_latency,
+       CASE WHEN periods > 1 THEN {even("l1 - l0", 2)} END AS delta_latency,
+       {even("i1", 0)} AS latest_iops, CASE WHEN periods > 1 THEN {even("i1 - i0", 0)} END AS delta_iops,
+       {even("c1", 2)} AS latest_capacity,
+       CASE WHEN periods > 1 THEN {even("c1 - c0", 2)} END AS delta_capacity
 FROM ends""",
     "device_kpis": f"""{HOURLY}, ends AS (
   SELECT device_id, count(*) AS periods,

@@ -22,6 +22,7 @@ from ..session import ADAPTIVE, setting, use_table_settings
 
 # What a task costs here is the files it creates, not their bytes: AQE must not put many small
 # periods into one task while cores are idle.
+PARTS = 4
 SPREAD = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
 
 
@@ -45,12 +46,12 @@ def gathered(rows: DataFrame) -> DataFrame:
     """Rows of a period together, so that it gets few files, sorted by device within them.
 
     The rebalance also splits a period that is too large for one task. Spark ignores it
-    without AQE; rows are then hashed by period.
+    without AQE; rows are then hashed by period and one of PARTS parts of the devices.
     """
     if rows.sparkSession.conf.get(ADAPTIVE) == "true":
         together = rows.hint("rebalance", *INSIGHT_PARTITIONS)
     else:
-        together = rows.repartition(*INSIGHT_PARTITIONS)
+        together = rows.repartition(*INSIGHT_PARTITIONS, F.pmod(F.xxhash64("device_id"), F.lit(PARTS)))
     return together.sortWithinPartitions(*INSIGHT_PARTITIONS, "device_id")
 
 
