@@ -20,9 +20,10 @@ from ..schemas import (
 from ..session import ADAPTIVE, setting, use_table_settings
 
 
+# Tasks per period where AQE cannot split one.
+PARTS = 4
 # What a task costs here is the files it creates, not their bytes: AQE must not put many small
 # periods into one task while cores are idle.
-PARTS = 4
 SPREAD = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
 
 
