@@ -183,7 +183,6 @@ def chained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(out, schema=shape)
 
 
-REQUEST = "row, number, side, low, high"
 PIECES = "row long, number int, side int, low int, words array<int>"
 
 
