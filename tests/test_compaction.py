@@ -1,0 +1,115 @@
+"""Merging the batches of past days while ingest goes on."""
+
+from datetime import timedelta
+
+import pytest
+
+from helpers import T0, metric
+from test_streaming import drop_file, forget_last_commit, ingest
+from tidegauge.operators import window_metrics
+from tidegauge.sinks import write_insights
+from tidegauge.sources import latest_metrics, read_insights, read_quarantine, scan_metrics
+from tidegauge.streaming import compact, compact_metrics
+
+DAY = 86400.0
+AFTER = T0 + timedelta(days=2)
+
+
+def ids(spark, table):
+    return sorted(r[0] for r in scan_metrics(spark, table).select("_id").collect())
+
+
+def three_batches(spark, tmp_path):
+    """Days 0, 1 and 2 in each of three batches, and a message without a time."""
+    for number in range(3):
+        drop_file(tmp_path / "in", str(number), [metric("a", day * DAY + number, id_=f"{day}{number}") for day in range(3)] + ["junk"])
+        table = ingest(spark, tmp_path / "in", tmp_path)
+    return table
+
+
+ALL = sorted(f"{day}{number}" for day in range(3) for number in range(3))
+
+
+def batches_of(spark, table, day):
+    return compact.batches(spark, table)[f"quality=valid/event_date=2024-01-0{day + 1}"]
+
+
+def test_past_days_are_merged_and_the_newest_batch_is_left(spark, tmp_path):
+    table = three_batches(spark, tmp_path)
+    assert ids(spark, table) == ALL
+    assert compact_metrics(spark, table, AFTER) == 3  # two days, and the messages without one
+    assert ids(spark, table) == ALL
+    assert [len(batches_of(spark, table, day)) for day in range(3)] == [2, 2, 3]
+    assert read_quarantine(spark, table).count() == 3
+    assert compact_metrics(spark, table, AFTER) == 0
+
+
+def test_a_replay_after_a_merge_doubles_nothing(spark, tmp_path):
+    table = three_batches(spark, tmp_path)
+    compact_metrics(spark, table, AFTER)
+    forget_last_commit(tmp_path / "state")
+    ingest(spark, tmp_path / "in", tmp_path)
+    assert ids(spark, table) == ALL
+
+
+def test_late_rows_join_the_merged_ones(spark, tmp_path):
+    table = three_batches(spark, tmp_path)
+    compact_metrics(spark, table, AFTER)
+    for number in (3, 4):
+        drop_file(tmp_path / "in", str(number), [metric("late", number, id_=f"0{number}")])
+        ingest(spark, tmp_path / "in", tmp_path)
+    assert compact_metrics(spark, table, AFTER) >= 1
+    assert ids(spark, table) == sorted([*ALL, "03", "04"])
+    assert len(batches_of(spark, table, 0)) == 2
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
+    table = three_batches(spark, tmp_path)
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "table").symlink_to(table)
+    drop_file(tmp_path / "other" / "in", "0", [metric("b", 5, id_="new")])
+    ingest(spark, tmp_path / "other" / "in", tmp_path / "other")
+    assert ids(spark, table) == sorted([*ALL, "new"])
+
+
+@pytest.mark.parametrize("stop", ["write_text", "exchange", "remove_dir"])
+def test_a_merge_that_was_stopped_is_finished_by_the_next(spark, tmp_path, monkeypatch, stop):
+    table = three_batches(spark, tmp_path)
+    calls = []
+
+    def fail(spark_, path, *rest):
+        calls.append(path)
+        if stop != "remove_dir" or len(calls) == 3:
+            raise RuntimeError("stopped")
+        return original(spark_, path, *rest)
+
+    original = getattr(compact, stop)
+    with monkeypatch.context() as patched:
+        patched.setattr(compact, stop, fail)
+        with pytest.raises(RuntimeError):
+            compact_metrics(spark, table, AFTER)
+    if stop != "remove_dir":
+        assert ids(spark, table) == ALL
+    compact_metrics(spark, table, AFTER)
+    assert ids(spark, table) == ALL
+    assert read_quarantine(spark, table).count() == 3
+    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_merge")]
+
+
+def test_an_empty_table_has_nothing_to_merge(spark, tmp_path):
+    assert compact_metrics(spark, str(tmp_path / "none"), AFTER) == 0
+
+
+def test_only_the_days_of_a_range_are_listed(spark, tmp_path):
+    table = three_batches(spark, tmp_path)
+    out = scan_metrics(spark, table, T0 + timedelta(days=1), T0 + timedelta(days=1, hours=1))
+    assert {f.rsplit("event_date=")[1][:10] for f in out.inputFiles()} == {"2024-01-02"}
+    assert scan_metrics(spark, table, T0 + timedelta(days=9)).count() == 0
+    assert [r._id for r in latest_metrics(spark, table, T0 + timedelta(days=2), 2).collect()] == ["22", "21"]
+    target = str(tmp_path / "insights")
+    hourly = window_metrics(scan_metrics(spark, table), T0, T0 + timedelta(days=3), style="threshold")
+    write_insights(hourly, target)
+    last = read_insights(spark, target, 3, T0 + timedelta(days=2, hours=3), ordered=False)
+    assert {f.rsplit("period_date=")[1][:10] for f in last.inputFiles()} == {"2024-01-03"}
+    assert last.count() == 1 and read_insights(spark, target).count() == 3
+    assert read_insights(spark, target, 1, T0 + timedelta(days=30)).count() == 0

@@ -281,6 +281,7 @@ SELECT device_id, {near("slope")} AS slope_per_hour, {near("latest")} AS latest_
             WHEN slope > 0 THEN {near("(800.0 - latest) / slope", 2)} END AS hours_to_threshold
 FROM lines WHERE periods >= 2""",
     "stream_ingest": ALL_METRICS,
+    "stream_compacted": ALL_METRICS,
     "stream_quarantine": """SELECT 'device_id' AS reason, props AS raw, count(*) AS messages
 FROM events GROUP BY props""",
     "stream_insights": f"""{FLAT}

@@ -14,6 +14,7 @@ from ..session import scratch_dir
 from ..sinks import ensure_insights_table, insight_rows, jdbc_rows, write_insights
 from ..sources import latest_metrics, read_insights, read_quarantine, scan_metrics
 from ..streaming import (
+    compact_metrics,
     decode_messages,
     ingest_metrics,
     live_tail,
@@ -263,6 +264,18 @@ def stream_ingest(spark, sf_dir):
     return scan_metrics(spark, ingested(spark, sf_dir))
 
 
+def stream_compacted(spark, sf_dir):
+    """All events in four micro-batches, of which those of past days are merged afterwards."""
+    path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "ingest-state")
+    folder = scratch_dir(spark, "messages")
+    messages = as_messages(metrics(spark, sf_dir))
+    messages.repartition(4).write.parquet(folder)
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    ingest_metrics(decode_messages(stream), path, checkpoint, ONCE).awaitTermination()
+    compact_metrics(spark, path, END)
+    return scan_metrics(spark, path)
+
+
 def stream_quarantine(spark, sf_dir):
     """Event bodies are no metrics: all of them are refused, and none is lost."""
     path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "ingest-state")
@@ -408,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "enriched_insights": enriched_insights,
     "capacity_forecast": capacity_forecast,
     "stream_ingest": stream_ingest,
+    "stream_compacted": stream_compacted,
     "stream_quarantine": stream_quarantine,
     "stream_insights": stream_insights_query,
     "stream_insights_closed": stream_insights_closed,

@@ -20,8 +20,9 @@ METRIC_SCHEMA = T.StructType(
 )
 
 # Layout of the raw metrics table on disk. `quality` ("valid" / "quarantined") and
-# `event_date` are the partition columns, so one streaming sink holds both the good
-# rows and the rejected ones and a time scan opens only the days it needs.
+# `event_date` are the first partition columns, so one stream writes both the good
+# rows and the rejected ones and a time scan opens only the days it needs. `batch` names
+# the micro-batch, so that a replayed one replaces what it wrote before.
 METRIC_TABLE_SCHEMA = T.StructType(
     METRIC_SCHEMA.fields
     + [
@@ -30,9 +31,10 @@ METRIC_TABLE_SCHEMA = T.StructType(
         T.StructField("raw", T.StringType()),
         T.StructField("quality", T.StringType()),
         T.StructField("event_date", T.DateType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
-METRIC_PARTITIONS = ("quality", "event_date")
+METRIC_PARTITIONS = ("quality", "event_date", "batch")
 
 INSIGHT_SCHEMA = T.StructType(
     [

@@ -83,9 +83,24 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     if context._jsc is None or context._jsc.sc().isStopped():
         return
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = file_system(spark, path)
+    files.delete(target, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder, in order; none if it does not exist."""
+    files, target = file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())

@@ -10,6 +10,7 @@ from ..functions import moment, since
 from ..functions.clock import utc_day
 from ..schemas import INSIGHT_SCHEMA, INSIGHT_TABLE_SCHEMA
 from ..session import use_table_settings
+from .days import read_days
 
 
 def jdbc_read_options(
@@ -59,7 +60,8 @@ def read_insights(
     """Insights whose period ended in the last `hours` before `as_of`, newest first.
 
     `source` is a folder, a catalog table or a `jdbc:` URL (`table`, `partitions` and
-    `properties` go to the driver). Without `hours` everything is read. `latest_only` drops
+    `properties` go to the driver). With `hours`, only the days of a folder that they touch are
+    listed; without, everything is read and sorted unless `ordered=False`. `latest_only` drops
     rows that a later run of the same period replaced; by default it does so for JDBC, where
     every rerun appends. Columns held as text are converted, alerts from JSON.
     """
@@ -71,7 +73,8 @@ def read_insights(
         options = jdbc_read_options(table, begin, as_of, partitions, **properties)
         stored = spark.read.format("jdbc").option("url", source).options(**options).load()
     elif "/" in source:
-        stored = spark.read.schema(INSIGHT_TABLE_SCHEMA).parquet(source)
+        first = None if begin is None else utc_day(begin)
+        stored = read_days(spark, source, INSIGHT_TABLE_SCHEMA, "period_date", first)
     else:
         stored = spark.table(source)
 

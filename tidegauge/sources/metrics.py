@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros, within
-from ..functions.clock import EPOCH
+from ..functions.clock import EPOCH, utc_day
 from ..operators.rows import coerce_metrics
 from ..operators.views import recent_metrics
 from ..schemas import METRIC_SCHEMA, METRIC_TABLE_SCHEMA
 from ..session import use_table_settings
+from .days import read_days
 
 METRIC_COLUMNS = METRIC_SCHEMA.names + ["event_time"]
 
@@ -57,16 +58,18 @@ def metric_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.table(source)
 
 
-def valid_rows(table: DataFrame, start=None, end=None) -> DataFrame:
+def scan_metrics(spark: SparkSession, source: str, start=None, end=None) -> DataFrame:
+    """Valid metrics of `[start, end)`. Lists and opens only the days the range touches."""
+    if "/" in source and (start is not None or end is not None):
+        use_table_settings(spark)
+        days = (None if at is None else utc_day(at) for at in (start, end))
+        table = read_days(spark, source, METRIC_TABLE_SCHEMA, "event_date", *days, below="quality=valid")
+    else:
+        table = metric_table(spark, source)
     kept = table.where((F.col("quality") == "valid") & within(table, start, end))
     return kept.select(*METRIC_COLUMNS)
 
 
-def scan_metrics(spark: SparkSession, source: str, start=None, end=None) -> DataFrame:
-    """Valid metrics of `[start, end)`. Opens only the days the range touches."""
-    return valid_rows(metric_table(spark, source), start, end)
-
-
 def read_quarantine(spark: SparkSession, source: str) -> DataFrame:
     """Rejected messages: what could be read of them, the reason and the raw text."""
     table = metric_table(spark, source).where(F.col("quality") == "quarantined")
@@ -76,17 +79,15 @@ def read_quarantine(spark: SparkSession, source: str) -> DataFrame:
 def latest_metrics(spark: SparkSession, source: str, as_of, limit: int = 50) -> DataFrame:
     """The `limit` newest metrics of the stored table, from its newest days only.
 
-    Newer rows lie in newer day partitions, so the answer is exact as soon as the days read
-    hold `limit` rows. The number of days doubles from `as_of` backwards until they do or
-    the epoch is reached; each probe counts rows of those days and stops at `limit`. The
-    files are listed once for all probes.
+    The answer is exact as soon as the time read holds `limit` rows. It grows from an hour
+    before `as_of`, fourfold each time, until it does or the epoch is reached; each probe
+    lists and opens the days of its range only, and stops counting at `limit`.
     """
-    table = metric_table(spark, source)
     newest = EPOCH + timedelta(microseconds=epoch_micros(as_of))
-    days = 1
-    while (begin := newest - timedelta(days=days)) > EPOCH:
-        rows = valid_rows(table, start=begin)
+    hours = 1
+    while (begin := newest - timedelta(hours=hours)) > EPOCH:
+        rows = scan_metrics(spark, source, start=begin)
         if rows.limit(limit).count() >= limit:
             return recent_metrics(rows, limit)
-        days *= 2
-    return recent_metrics(valid_rows(table), limit)
+        hours *= 4
+    return recent_metrics(scan_metrics(spark, source), limit)

@@ -1,11 +1,13 @@
 """Structured Streaming: ingest, running insights, live tail."""
 
+from .compact import compact_metrics
 from .ingest import ingest_metrics, ingest_rows
 from .insights import start_insights, stream_insights
 from .source import decode_messages, flag_ahead, kafka_options, read_live_stream, read_metric_stream
 from .tail import live_tail, read_live_tail
 
 __all__ = [
+    "compact_metrics",
     "decode_messages",
     "flag_ahead",
     "ingest_metrics",

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import utc_date
 from ..schemas import METRIC_PARTITIONS, METRIC_TABLE_SCHEMA
-from ..session import use_table_settings
+from ..session import file_system, use_table_settings
 
 
 def ingest_rows(decoded: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def ingest_rows(decoded: DataFrame) -> DataFrame:
         F.when(F.col("reason").isNull(), "valid").otherwise("quarantined").alias("quality"),
         utc_date(F.col("event_time")).alias("event_date"),
     )
-    return placed.select(*METRIC_TABLE_SCHEMA.names)
+    return placed.select(*METRIC_TABLE_SCHEMA.names[:-1])
 
 
 def ingest_metrics(
@@ -31,26 +31,36 @@ def ingest_metrics(
 ) -> StreamingQuery:
     """Start appending a decoded stream to the table at `path`.
 
-    One file sink takes valid and quarantined rows, so the source is read once, and the sink
-    log plus the checkpoint make each message land exactly once across restarts and lost
-    executors. No shuffle: a task writes what it read. Files per batch are tasks times days
-    in the batch, so choose the trigger interval for the file size wanted; where a topic has
-    many thin partitions, `writers` spreads their rows evenly over that many tasks first.
-    The sink's `retention` is refused: it drops old files from the log by which the table is
-    read, and history with them.
+    One write per micro-batch takes valid and quarantined rows, so the source is read once.
+    Its folders carry the id of the stream and the number of the batch, and a replayed batch
+    replaces them: each message lands exactly once across restarts and lost executors, and
+    there is no log of files that grows with the table. A new checkpoint is a new id. Files
+    per batch are tasks times days in the batch. By default at most as many tasks as there are cores
+    write what they read, without a shuffle; `writers` spreads the rows evenly over that many tasks
+    instead. `compact_metrics` merges the batches of past days; `options` go to the file
+    writer, which has no `retention`.
     """
     if any(name.lower() == "retention" for name in options):
-        raise ValueError("retention hides old metrics; use a longer trigger interval or `writers`")
-    use_table_settings(decoded.sparkSession)
-    rows = ingest_rows(decoded)
-    if writers:
-        rows = rows.repartition(writers)
+        raise ValueError("no metrics are dropped; there is no retention")
+    spark = use_table_settings(decoded.sparkSession)
+    files, root = file_system(spark, path)
+    if files.exists(file_system(spark, f"{path}/_spark_metadata")[1]):
+        raise ValueError(f"{path} is read by the log of a file sink, which would hide new rows; copy it to a new table")
+    files.mkdirs(root)
+
+    def append(batch: DataFrame, number: int) -> None:
+        context = batch.sparkSession.sparkContext
+        stream = context.getLocalProperty("sql.streaming.queryId")
+        spread = batch.repartition(writers) if writers else batch.coalesce(context.defaultParallelism)
+        named = spread.withColumn("batch", F.lit(f"{stream}-{number}"))
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
+        writer.partitionBy(*METRIC_PARTITIONS).parquet(path)
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*METRIC_PARTITIONS)
+        ingest_rows(decoded)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .options(**options)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start(path)
+        .foreachBatch(append)
+        .start()
     )
