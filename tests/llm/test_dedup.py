@@ -117,6 +117,36 @@ def test_near_classes_are_those_of_all_pairs(spark, documents):
     assert set(kept.values()) == {1}
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_a_group_that_drifts_apart_loses_no_link(spark, documents, monkeypatch, block):
+    """Texts that are like a member of a class, but not like the one that stands for it."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    origin = prose(500, 90)
+    texts = [edited(origin, 1000 + i, 1 + i % 4) for i in range(120)]
+    texts += [edited(texts[i], 2000 + i, 2) for i in range(0, 120, 3)]
+    labels = [order_minhash.labels_of(t).astype("<u4") for t in texts]
+    bits = [order_minhash.parities(one) for one in labels]
+    top = list(range(len(texts)))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for i, a in enumerate(labels):
+        for j, b in enumerate(labels[:i]):
+            differ = int(np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)).sum())
+            if order_minhash.similarity(a, b) >= 0.8:
+                assert 9 * differ <= len(a) + len(b)
+                top[find(i)] = find(j)
+    got = {r.doc_id: r.class_id for r in near_groups(spark, documents(list(enumerate(texts)))).collect()}
+    least = {}
+    for i in range(len(texts)):
+        least.setdefault(find(i), i)
+    assert 5 < len(least) < len(texts) - 20
+    assert got == {i: least[find(i)] for i in range(len(texts))}
+
+
 def test_near_copies_leave_one_of_each_class(spark, documents):
     text = prose(1, 200)
     docs = documents([(5, text), (3, edited(text, 1, 2)), (9, prose(2, 200)), (4, text)])

@@ -19,6 +19,10 @@ SIMILARITY = 0.8
 #: with 1 - 0.59^32, over 0.9999999, at 0.8.
 PICKED = 4
 BANDS = 32
+#: Bits that tell by their differences how many labelled shingles two texts do not share, at least.
+BITS = 1024
+#: Texts of a band that one task compares with as many others by their bits.
+BLOCK = 1000
 #: Rows of the band matrix at once, so that a very long text needs no more memory than its words.
 CHUNK = 2_000_000
 
@@ -65,11 +69,23 @@ def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def parities(labels: np.ndarray) -> np.ndarray:
+    """Whether an odd number of labels falls to each bit, as 64-bit words.
+
+    A label that only one of two texts has changes one bit, so that two texts differ in no
+    more bits than labels.
+    """
+    odd = np.bincount(labels & np.uint32(BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled shingles in text order, 32 bits of each, as bytes."""
+    """Labelled shingles in text order, 32 bits of each, as bytes; and their parities."""
     for batch in batches:
-        labels = [labels_of(t).astype("<u4").tobytes() for t in batch[1].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch[0], pa.array(labels, pa.binary())], names=["node", "labels"])
+        labels = [labels_of(t).astype("<u4") for t in batch[1].to_pylist()]
+        kept = pa.array([one.tobytes() for one in labels], pa.binary())
+        bits = pa.array([parities(one) for one in labels], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch[0], kept, bits], names=["node", "labels", "bits"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -118,7 +134,9 @@ def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame |
     class stay in the band and are compared with the next such text, until a band has one
     text left or a round links nothing. Pairs grow with the texts of a band, not with their
     square, and no band is cut short. Texts whose lengths rule the similarity out, and
-    texts of one class, are not compared.
+    texts of one class, are not compared. What these rounds cannot see, a link between a
+    text and one that had already found its class, `unseen` looks for at the end, so that
+    the classes are those of all pairs that share a band.
     """
     bands = nodes.select("node", "size", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
@@ -128,8 +146,7 @@ def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame |
     members = waiting.select(F.col("node").alias(ROW)).distinct()
     # a merge at any size: the texts are the larger side by far
     of_members = texts.join(members.hint("merge"), ROW)
-    labels = space.save(of_members.select(ROW, "text").mapInArrow(listed, "node long, labels binary"))
-    space.free(live)
+    labels = space.save(of_members.select(ROW, "text").mapInArrow(listed, "node long, labels binary, bits array<long>"))
     found, tops = [], None
     while True:
         top = F.max(F.struct("weight", (-F.col("node")).alias("before"), "size", "class")).alias("top")
@@ -148,7 +165,7 @@ def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame |
             edges = edges.join(before, ["left", "right"], "left_anti")
         tested = space.save(verified(edges.distinct(), labels))
         if tested.where("linked").isEmpty():
-            return tops
+            break
         found.append(tested)
         tops = components(space, union(found).where("linked").select("left", "right"))
         of_node = tops.withColumnRenamed("top", "new")
@@ -161,6 +178,53 @@ def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame |
             .select("band", "node", "weight", "size", "class")
         )
         space.free(pairs)
+    found.append(space.save(verified(unseen(space, live, tops, labels), labels)))
+    if found[-1].where("linked").isEmpty():
+        return tops
+    return components(space, union(found).where("linked").select("left", "right"))
+
+
+def unseen(space: Workspace, live: DataFrame, tops: DataFrame | None, labels: DataFrame) -> DataFrame:
+    """Pairs (`left`, `right`) that share a band, are of different classes and may be alike.
+
+    Texts of similarity s share all but (1 - s) / (1 + s) of their labelled shingles, and
+    differ in no more bits. Pairs are held against that inside the join, which puts out what
+    passes, about one in 250 where a group drifts apart. Bands of one class need nothing;
+    the others are cut into blocks, and each pair of blocks is a key of its own, so that
+    no task gets a whole band.
+    """
+    classed = live.drop("n").withColumn("class", F.col("node"))
+    if tops is not None:
+        classed = live.drop("n").join(tops, "node", "left").withColumn("class", F.coalesce("top", "node")).drop("top")
+    mixed_bands = (
+        classed.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low <> high")
+        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = space.save(
+        classed.join(mixed_bands, "band").join(labels.select("node", "bits"), "node").withColumn("block", block)
+    )
+
+    def side(name: str, own: str, other: str, others) -> DataFrame:
+        columns = [F.col(c).alias(f"{name}_{c}") for c in ("size", "class", "bits")]
+        return rows.withColumn(other, F.explode(others)).select("band", F.col("block").alias(own), other, F.col("node").alias(name), *columns)
+
+    lefts = side("left", "i", "j", F.sequence(F.col("block"), F.col("blocks") - 1))
+    rights = side("right", "j", "i", F.sequence(F.lit(0), F.col("block"))).withColumnsRenamed({"band": "b", "i": "k", "j": "l"})
+    sizes = F.col("left_size"), F.col("right_size")
+    differ = sum(
+        (F.bit_count(F.col("left_bits")[at].bitwiseXOR(F.col("right_bits")[at])) for at in range(BITS // 64)), F.lit(0)
+    )
+    alike = (
+        (F.col("left_class") != F.col("right_class"))
+        & (F.least(*sizes) >= SIMILARITY * F.greatest(*sizes))
+        & (differ * (1 + SIMILARITY) <= (sizes[0] + sizes[1]) * (1 - SIMILARITY) + 1e-6)
+        & ((F.col("i") < F.col("j")) | (F.col("left") < F.col("right")))
+    )
+    same = (F.col("band") == F.col("b")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l"))
+    pairs = lefts.join(rights, same & alike)
+    return pairs.select(F.greatest("left", "right").alias("left"), F.least("left", "right").alias("right")).distinct()
 
 
 def components(space: Workspace, pairs: DataFrame) -> DataFrame:
