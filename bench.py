@@ -1,7 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default sf0.1) and BENCH_CPUS choose the data and the cores. With `--loop` the
-default batch run, 24 hourly periods, is also timed the way a job per slice would do it.
+default batch run, 24 hourly periods, is also timed the way a job per slice would do it; with
+`--rows N`, hourly insights of the events repeated as other devices up to N rows.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegauge.operators import process_metrics, window_metrics
 from tidegauge.plans import run_lookback
-from tidegauge.plans.queries import END, QUERIES, ingested
+from tidegauge.plans.given_tables import metrics
+from tidegauge.plans.queries import END, QUERIES, START, ingested
 from tidegauge.session import build_session, shared_dir
 from tidegauge.sources import scan_metrics
 
@@ -105,6 +108,16 @@ def main() -> None:
                 run(process_metrics(scan_metrics(spark, table, begin, upto), begin, upto))
 
         result["one_pass"], result["loop"] = best(one_pass), best(loop)
+    if "--rows" in sys.argv:
+        # the events again and again, as other devices, until there are that many
+        events = metrics(spark, SF_DIR)
+        again = -(-int(sys.argv[sys.argv.index("--rows") + 1]) // events.count())
+        copies = events.repartition(int(CPUS)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(again))))
+        path = shared_dir(spark, "many")
+        copies.withColumn("device_id", F.concat_ws("-", "device_id", "copy")).drop("copy").write.parquet(path)
+        many = spark.read.parquet(path)
+        result["rows"] = many.count()
+        result["many_rows"] = best(lambda: run(window_metrics(many, START, END)))
     print(json.dumps(result))
     spark.stop()
 
