@@ -17,6 +17,7 @@ from tidegauge.llm.substring_chains import chains_of, fuzzy_passages
 from tidegauge.llm.suffix_blocks import COVER, PERIOD, WINDOW, remove_repeats, repeat_report
 
 WORDS = [f"w{i}" for i in range(400)]
+LARGE = [f"w{i}" for i in range(20000)]
 
 
 def prose(seed, n, words=WORDS):
@@ -266,6 +267,32 @@ def test_fuzzy_passages_are_found_and_clean_texts_left(spark, documents):
         assert r.passage_end - r.passage_start >= 50
 
 
+@pytest.mark.parametrize("percent", [10, 15, 20])
+def test_passages_of_many_edits_are_those_of_brute_force(spark, documents, percent):
+    rows, planted = [], []
+    for i in range(60):
+        pick = random.Random(1000 * percent + i)
+        words = prose(9000 + i, 100, LARGE).split()
+        other = list(words)
+        # half with every so many words replaced, half with words replaced at random
+        for at in range(4, 100, 100 // percent) if i % 2 else pick.sample(range(100), percent):
+            other[at] = f"x{pick.randrange(10**6)}"
+        assert len(common_places(words, other)) >= 80  # brute force: the whole passage is alike
+        planted.append((2 * i, 2 * i + 1))
+        rows.append((2 * i, f"{prose(20000 + i, 40, LARGE)} {' '.join(words)} {prose(30000 + i, 40, LARGE)}"))
+        rows.append((2 * i + 1, f"{prose(40000 + i, 60, LARGE)} {' '.join(other)}"))
+    got = fuzzy_passages(spark, documents(rows, files=1).coalesce(1)).collect()
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in got} == {frozenset(p) for p in planted}
+
+
+def test_a_passage_that_comes_again_in_its_text_is_found(spark, documents):
+    passage = prose(71, 80, LARGE)
+    rows = [(1, f"{prose(1, 40, LARGE)} {passage} {prose(2, 40, LARGE)} {edited(passage, 3, 8)}"), (2, prose(5, 300, LARGE))]
+    got = fuzzy_passages(spark, documents(rows)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in got} == {(1, 1)}
+    assert all(r.start >= 160 and 40 <= r.other_start < r.other_end <= 120 for r in got)
+
+
 def test_chains_are_the_best_by_all_chains():
     pick = random.Random(2)
     for _ in range(30):

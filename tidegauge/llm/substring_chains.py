@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ROW, Workspace, numbered, whole_text
+from .common import ROW, Workspace, numbered, union, whole_text
 from .hashing import common_places, mixed, shingles, sliding_min, word_hashes, words_of
 
-#: Words of a seed; of each SPREAD neighbouring windows the least one is a seed, so that any
-#: run of SEED + SPREAD - 1 equal words holds one.
+#: Words of a short seed. Every window is one: of a passage of n words with 20 % of them
+#: replaced, n / 5 - 3 windows at least are left, 7 of 50 words.
+SHORT = 4
+#: Words of a long seed; of each SPREAD neighbouring windows the least one is a seed. They
+#: tie a passage to its source where its short windows are common elsewhere. A chain covers
+#: SEED words at least, so chance matches of single short windows are none.
 SEED = 8
 SPREAD = 16
 #: Least words of a passage, and least share of them that must align.
@@ -25,6 +29,10 @@ IDENTITY = 0.8
 #: Words between two seeds of a chain at most; words a passage can reach beyond its seeds.
 GAP = 64
 MARGIN = 40
+#: Matches that follow one another word by word are thinned to one in so many.
+THIN = 16
+#: Slices of the seeds, by hash, that are shuffled one after the other: disk holds one of them.
+SLICES = 2
 #: What a word between two seeds costs a chain, of the SEED a seed is worth.
 COST = 0.1
 #: Passages of one text that are on the way together at most.
@@ -48,35 +56,74 @@ def run_labelled(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mixed(marks + times * np.uint64(0xD6E8FEB86659FD93))
 
 
-def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and place of each seed, and whether it is the text's first of that hash."""
+def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each seed, and twice its place, odd for long seeds."""
     hashes = word_hashes(words_of(text))
     if len(hashes) < PASSAGE:
-        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, bool)
+        return np.empty(0, np.int64), np.empty(0, np.int32)
+    windows = shingles(hashes, SHORT)
     marks = shingles(hashes, SEED)
     least = sliding_min(marks, SPREAD)
     # a mark is chosen if it is least of one of its windows: the greatest minimum around it
     top = np.iinfo(np.uint64).max
     around = np.concatenate([np.full(SPREAD - 1, top), top - least, np.full(SPREAD - 1, top)])
     places = np.flatnonzero(top - sliding_min(around, SPREAD) == marks)
-    chosen = run_labelled(marks[places], places)
-    first = np.zeros(len(places), bool)
-    first[np.unique(chosen, return_index=True)[1]] = True
-    return chosen.view(np.int64), places.astype(np.int32), first
+    every = np.arange(len(windows))
+    chosen = np.concatenate([run_labelled(windows, every), run_labelled(marks[places], places)])
+    return chosen.view(np.int64), np.concatenate([2 * every, 2 * places + 1]).astype(np.int32)
 
 
-SEEDS = "row long, marks array<long>, places array<int>, firsts array<boolean>"
+SEEDS = "row long, mark long, at int"
 
 
-def seeded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_())]
+def seeded(part: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Seeds of one of the SLICES."""
+    slices = SLICES
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                marks, at = seeds_of(text)
+                own = marks % slices == part
+                if own.any():
+                    columns = [np.full(own.sum(), row, np.int64), marks[own], at[own]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "mark", "at"])
+
+    return run
+
+
+MATCHES = "row long, other long, place int, other_place int"
+
+
+def matched_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each seed and the first one of its hash; seeds come sorted by hash, row and place.
+
+    A long seed gives two matches, its first and its last SHORT words. Only the first seed of
+    the hash is held, however many there are.
+    """
+    head = None
     for batch in batches:
-        rows = [(row, *seeds_of(text)) for row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-        rows = [r for r in rows if len(r[1])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 4, kinds, strict=True)],
-            names=["row", "marks", "places", "firsts"],
-        )
+        if not batch.num_rows:
+            continue
+        row, mark, at = (batch[c].to_numpy() for c in ("row", "mark", "at"))
+        new = np.r_[head is None or mark[0] != head[0], mark[1:] != mark[:-1]]
+        # of what goes on from the batch before, the first is at -1
+        first = np.maximum.accumulate(np.where(new, np.arange(len(mark)), -1))
+        pair = np.flatnonzero(~new)
+        before = first[pair] < 0
+        other = np.where(before, head[1] if head else 0, row[first[pair]])
+        other_at = np.where(before, head[2] if head else 0, at[first[pair]])
+        if first[-1] >= 0:
+            head = mark[-1], row[first[-1]], at[first[-1]]
+        long = at[pair] & 1 == 1
+        place, other_place = at[pair] >> 1, other_at >> 1
+        columns = [
+            np.concatenate([row[pair], row[pair][long]]),
+            np.concatenate([other, other[long]]),
+            np.concatenate([place, place[long] + (SEED - SHORT)]).astype(np.int32),
+            np.concatenate([other_place, other_place[long] + (SEED - SHORT)]).astype(np.int32),
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "other", "place", "other_place"])
 
 
 class Fenwick:
@@ -141,9 +188,26 @@ def chains_of(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return chains
 
 
+def thinned(row: np.ndarray, other: np.ndarray, place: np.ndarray, other_place: np.ndarray) -> np.ndarray:
+    """Which matches to chain: not those inside a run, word by word in both texts, but for one in THIN.
+
+    What is equal between two of a run is found again when they are aligned.
+    """
+    step = (np.diff(row) == 0) & (np.diff(other) == 0) & (np.diff(place) == 1) & (np.diff(other_place) == 1)
+    return ~(np.r_[False, step] & np.r_[step, False]) | (place % THIN == 0)
+
+
+def covered(chain: list[tuple[int, int]]) -> int:
+    """Words of a chain's seeds, with what is between two of a run."""
+    out = SHORT
+    for (x, y), (u, v) in zip(chain, chain[1:]):
+        out += u - x if u - x == v - y and u - x <= THIN else min(SHORT, u - x, v - y)
+    return out
+
+
 def promising(chains: list[tuple[int, list[tuple[int, int]]]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """The chains of a text that can be part of a passage, each as long as it may become."""
-    reach = sorted((chain[0][0] - MARGIN, chain[-1][0] + SEED + MARGIN, n) for n, (_, chain) in enumerate(chains))
+    reach = sorted((chain[0][0] - MARGIN, chain[-1][0] + SHORT + MARGIN, n) for n, (_, chain) in enumerate(chains))
     group: list[int] = []
     begin = end = None
     for low, high, n in [*reach, (float("inf"), 0, -1)]:
@@ -161,19 +225,23 @@ CHAINS = "row long, number int, other long, places array<int>, other_places arra
 
 
 def chained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains per text from its matches, which come together, sorted by row and other row."""
+    """Chains per text from its matches, which come sorted by row, other row and places."""
     shape = pa.schema([("row", pa.int64()), ("number", pa.int32()), ("other", pa.int64()),
                        ("places", pa.list_(pa.int32())), ("other_places", pa.list_(pa.int32()))])
 
     def flow() -> Iterator[tuple]:
         for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            columns = [c.to_numpy() for c in batch.columns]
+            keep = thinned(*columns)
+            yield from zip(*(c[keep].tolist() for c in columns), strict=True)
 
     out: list[dict] = []
     for row, own in groupby(flow(), key=itemgetter(0)):
         chains = []
         for other, matches in groupby(own, key=itemgetter(1)):
-            chains += [(other, c) for c in chains_of([m[2:] for m in matches])]
+            pairs = [m[2:] for m in matches]
+            if len(pairs) > 1:
+                chains += [(other, c) for c in chains_of(pairs) if covered(c) >= SEED]
         for number, (other, chain) in enumerate(promising(chains)):
             places, others = (list(c) for c in zip(*chain, strict=True))
             out.append({"row": row, "number": number, "other": other, "places": places, "other_places": others})
@@ -206,50 +274,77 @@ def extended(a: list[int], b: list[int]) -> tuple[int, int, int]:
     """Words to go on in both texts, and how many of them match, from an end of a chain.
 
     Equal words first; after a difference, the shortest way (a word more, less or other) to
-    three equal words goes on, up to three words off the diagonal.
+    three equal words goes on, up to three words off the diagonal; then to two that stand on it.
     """
     i = j = matched = 0
+    ways = sorted(((x, y) for x in range(4) for y in range(4) if x or y), key=lambda w: (max(w), sum(w)))
+    ways = [(x, y, 3) for x, y in ways] + [(x, x, 2) for x in range(1, 4)]
     while True:
         while i < len(a) and j < len(b) and a[i] == b[j]:
             i, j, matched = i + 1, j + 1, matched + 1
-        ways = sorted(((x, y) for x in range(4) for y in range(4) if x or y), key=lambda w: (max(w), sum(w)))
-        for x, y in ways:
-            if len(a) - i - x >= 3 and a[i + x : i + x + 3] == b[j + y : j + y + 3]:
+        for x, y, n in ways:
+            if len(a) - i - x >= n and a[i + x : i + x + n] == b[j + y : j + y + n]:
                 i, j = i + x, j + y
                 break
         else:
             return i, j, matched
 
 
-def passage(
-    a: list[int], low_a: int, b: list[int], low_b: int, places: list[int], others: list[int]
-) -> tuple[int, int, int, int, int]:
-    """Start and end in both texts and aligned words of a chain, with what goes on at its ends.
-
-    The words between two seeds are aligned by a longest common subsequence; a gap is a band
-    of GAP words at most.
-    """
-    x = [p - low_a for p in places]
-    y = [p - low_b for p in others]
-    back = extended(a[: x[0]][::-1], b[: y[0]][::-1])
-    forth = extended(a[x[-1] + SEED :], b[y[-1] + SEED :])
-    matched = back[2] + forth[2] + SEED
+def steps_of(a: list[int], b: list[int], x: list[int], y: list[int]) -> np.ndarray:
+    """Words aligned from the first seed of a chain up to each, by a longest common subsequence
+    between two seeds; a gap is a band of GAP words at most."""
+    out = [0]
     for i in range(1, len(x)):
         step_x, step_y = x[i] - x[i - 1], y[i] - y[i - 1]
         if step_x == step_y and a[x[i - 1] : x[i]] == b[y[i - 1] : y[i]]:
-            matched += step_x
-        elif min(step_x, step_y) <= SEED:  # seeds overlap in one of the texts
-            matched += min(step_x, step_y)
+            out.append(step_x)
+        elif min(step_x, step_y) <= SHORT:  # seeds overlap in one of the texts
+            out.append(min(step_x, step_y))
         else:
-            between = common_places(a[x[i - 1] + SEED : x[i]], b[y[i - 1] + SEED : y[i]])
-            matched += SEED + len(between)
-    return (
-        places[0] - back[0],
-        places[-1] + SEED + forth[0],
-        others[0] - back[1],
-        others[-1] + SEED + forth[1],
-        matched,
-    )
+            out.append(SHORT + len(common_places(a[x[i - 1] + SHORT : x[i]], b[y[i - 1] + SHORT : y[i]])))
+    return np.cumsum(out)
+
+
+def longest(x: np.ndarray, y: np.ndarray, upto: np.ndarray) -> tuple[int, int]:
+    """First and last seed of the longest part of a chain of which IDENTITY aligns."""
+    best, ends = -1, (0, 0)
+    for i in range(len(x)):
+        size = np.maximum(x[i:] - x[i], y[i:] - y[i]) + SHORT
+        j = int(np.flatnonzero(upto[i:] - upto[i] + SHORT >= IDENTITY * size)[-1])
+        if x[i + j] - x[i] > best:
+            best, ends = x[i + j] - x[i], (i, i + j)
+    return ends
+
+
+def alike(
+    a: list[int], low_a: int, b: list[int], low_b: int, places: list[int], others: list[int]
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """Start and end in both texts and aligned words of the parts of a chain of which IDENTITY aligns.
+
+    That is the whole chain with what goes on at its ends, or its longest part; what is left
+    on either side of that, over NEAR words away, is tried in turn.
+    """
+    x, y = np.array(places) - low_a, np.array(others) - low_b
+    upto = steps_of(a, b, x.tolist(), y.tolist())
+    todo = [(0, len(x))]
+    while todo:
+        low, high = todo.pop()
+        i, j = low, high - 1
+        for part in ("whole", "longest"):
+            if part == "longest":
+                i, j = (low + n for n in longest(x[low:high], y[low:high], upto[low:high]))
+            start, end, other_start, other_end = x[i], x[j] + SHORT, y[i], y[j] + SHORT
+            matched = upto[j] - upto[i] + SHORT
+            back, forth = extended(a[:start][::-1], b[:other_start][::-1]), extended(a[end:], b[other_end:])
+            longer = start - back[0], end + forth[0], other_start - back[1], other_end + forth[1], matched + back[2] + forth[2]
+            spans = [longer, (start, end, other_start, other_end, matched)]
+            found = next((s for s in spans if s[4] >= IDENTITY * max(s[1] - s[0], s[3] - s[2])), None)
+            if found is not None:
+                break
+        yield tuple(int(v) for v in (found[0] + low_a, found[1] + low_a, found[2] + low_b, found[3] + low_b, found[4]))
+        left = low + int(np.searchsorted(x[low:i], found[0] - NEAR - SHORT))
+        right = j + 1 + int(np.searchsorted(x[j + 1 : high], found[1] + NEAR, side="right"))
+        todo += [(p, q) for p, q in ((low, left), (right, high)) if q > p and x[q - 1] + SHORT - x[p] >= SEED]
 
 
 SPANS = "row long, other long, start int, end int, other_start int, other_end int, matched int"
@@ -260,11 +355,8 @@ def aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            start, end, other_start, other_end, matched = passage(
-                r["words"], r["low"], r["other_words"], r["other_low"], r["places"], r["other_places"]
-            )
-            if matched >= IDENTITY * max(end - start, other_end - other_start):
-                rows.append((r["row"], r["other"], start, end, other_start, other_end, matched))
+            found = alike(r["words"], r["low"], r["other_words"], r["other_low"], r["places"], r["other_places"])
+            rows += [(r["row"], r["other"], *span) for span in found]
         kinds = [pa.int64()] * 2 + [pa.int32()] * 5
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 7, kinds, strict=True)], names=names
@@ -274,8 +366,9 @@ def aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """Passages that repeat, in words of the texts: `doc_id` [`start`, `end`) is like `other_doc_id` [...).
 
-    Each seed is matched with the first text that has it, so matches grow with the texts, not
-    with pairs of them, and a passage of a third of all texts is one match per seed and text.
+    Each seed is matched with the first place that has it, in another text or in the same, so
+    matches grow with the texts, not with pairs of them, and a passage of a third of all texts
+    is one match per seed and text.
     The spans of a text that touch are one `passage`, numbered per document, whichever texts
     they are like; it counts from PASSAGE words. One row per passage and other text: what
     of the passage is like it, and in how many `spans`. The first text with a passage is the
@@ -287,22 +380,14 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     space = Workspace(spark, "chains")
     rows = numbered(docs)
     texts = rows.select(F.col(ROW).alias("row"), whole_text(text).alias("text"))
-    stored = space.save(texts.mapInArrow(seeded, SEEDS))
-    seeds = stored.select("row", F.explode(F.arrays_zip("marks", "places", "firsts")).alias("s")).select(
-        "row", F.col("s.marks").alias("mark"), F.col("s.places").alias("place"), F.col("s.firsts").alias("first")
-    )
-    own = F.when(F.col("first"), F.col("row"))
-    shared = (
-        seeds.groupBy("mark")
-        .agg(F.min(own).alias("other"), F.max(own).alias("last"), F.min_by("place", own).alias("other_place"))
-        .where("other < last")
-        .drop("last")
-    )
-    matches = seeds.join(shared, "mark").where("row <> other").select("row", "other", "place", "other_place")
+    found = []
+    for part in range(SLICES):
+        seeds = texts.mapInArrow(seeded(part), SEEDS).repartition("mark").sortWithinPartitions("mark", "row", "at")
+        found.append(space.save(seeds.mapInArrow(matched_first, MATCHES)))
     chains = space.save(
-        matches.repartition("row").sortWithinPartitions("row", "other").mapInArrow(chained, CHAINS)
+        union(found).repartition("row").sortWithinPartitions("row", "other", "place", "other_place").mapInArrow(chained, CHAINS)
     )
-    space.free(stored)
+    space.free(*found)
 
     def request(target: str, places: str, side: int) -> DataFrame:
         return chains.select(
@@ -312,7 +397,7 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
                 "number",
                 F.lit(side).alias("side"),
                 (F.element_at(places, 1) - MARGIN).alias("low"),
-                (F.element_at(places, -1) + SEED + MARGIN).alias("high"),
+                (F.element_at(places, -1) + SHORT + MARGIN).alias("high"),
             ).alias("request"),
         )
 
