@@ -84,6 +84,18 @@ def test_frequent_lines_go_and_depleted_documents_too(spark, documents):
     assert texts[3] == f"{prose(3, 60)}\n{prose(503, 20)}" and line in texts[200]
 
 
+def test_documents_with_all_lines_shared_but_one_count_each(spark, documents):
+    block = [prose(6000 + i, 8) for i in range(5)]
+    rows = [(i, "\n".join([block[0], prose(7000 + i, 90), *block[1:]]), "a") for i in range(60)]
+    rows += [(100 + i, rows[0][1].upper().replace(" ", "  "), "a") for i in range(60)]  # copies count once
+    rows += [(200, prose(1, 90), "a")]
+    docs = documents(rows)
+    got = {r.doc_id: r.n_removed_words for r in quality_report(spark, docs, limits=Limits(documents=59, share=0.0)).collect()}
+    assert all(n == 40 for d, n in got.items() if d < 200) and got[200] == 0
+    got = quality_report(spark, docs, limits=Limits(documents=60, share=0.0)).collect()
+    assert not any(r.n_removed_words for r in got)
+
+
 # classifier --------------------------------------------------------------------------------
 
 

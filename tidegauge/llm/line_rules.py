@@ -31,7 +31,7 @@ class Limits:
 
 
 def line_key(line: str) -> int:
-    """Hash of a line without case and with single spaces."""
+    """Hash of a line, or of a whole text, without case and with single spaces."""
     value = xxhash.xxh3_64_intdigest(" ".join(line.lower().split()))
     return value - (1 << 64) if value >> 63 else value
 
@@ -76,15 +76,15 @@ def line_words(text: str) -> tuple[list[int], list[int]]:
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-SHAPE = f"row long, doc_id long, host string, {', '.join(f'{c} long' for c in COUNTS)}, lines array<long>, words array<int>"
+SHAPE = f"row long, doc_id long, host string, content long, {', '.join(f'{c} long' for c in COUNTS)}, lines array<long>, words array<int>"
 
 
 def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32())]
-    names = ["row", "doc_id", "host", *COUNTS, "lines", "words"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.list_(pa.int32())]
+    names = ["row", "doc_id", "host", "content", *COUNTS, "lines", "words"]
     for batch in batches:
         rows = [
-            (row, doc, host, *base_counts(text), *line_words(text))
+            (row, doc, host, line_key(text), *base_counts(text), *line_words(text))
             for row, doc, host, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
         ]
         columns = zip(*rows, strict=True) if rows else [()] * len(names)
@@ -96,18 +96,14 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent_lines(stats: DataFrame, limits: Limits) -> DataFrame:
     """(`host`, `line`) in too many distinct documents.
 
-    Copies are no distinct documents: a document counts for a line by the least key of its
-    other lines, so that copies and near copies that share most lines count once, while a
-    line pasted into unrelated documents counts for each of them. A document of one line
-    counts by that line. Distinct counts are summed up in two steps, first per document
-    kind, so a line of a third of all documents is no hot group.
+    Copies are no distinct documents: a document is told by its whole text without case and
+    with single spaces, so copies count once and different texts never collapse, whatever
+    lines they share. Distinct counts are summed up in two steps, first per document, so a
+    line of a third of all documents is no hot group.
     """
-    ordered = F.array_sort("lines")
-    least, second = F.get(ordered, F.lit(0)), F.get(ordered, F.lit(1))
-    lines = stats.select("host", least.alias("least"), second.alias("second"), F.explode("lines").alias("line"))
-    kind = F.when(F.col("line") != F.col("least"), F.col("least")).otherwise(F.coalesce("second", "least"))
-    per_line = lines.groupBy("host", "line").agg(F.countDistinct(kind).alias("documents"))
-    hosts = stats.groupBy("host").agg(F.countDistinct(least).alias("of_host"))
+    lines = stats.select("host", "content", F.explode("lines").alias("line"))
+    per_line = lines.groupBy("host", "line").agg(F.countDistinct("content").alias("documents"))
+    hosts = stats.where(F.size("lines") > 0).groupBy("host").agg(F.countDistinct("content").alias("of_host"))
     many = per_line.where(F.col("documents") > limits.documents)
     return (
         many.join(hosts, "host")
@@ -135,7 +131,7 @@ def judged(space: Workspace, docs: DataFrame, host: str, limits: Limits) -> Data
     )
     depleted = F.coalesce("gone_words", F.lit(0)) > limits.depleted * F.col("n_words")
     return (
-        stats.drop("lines", "words", "host")
+        stats.drop("lines", "words", "host", "content")
         .join(gone, "row", "left")
         .withColumn("base_failed", base)
         .withColumn("kept", ~base & ~depleted)
