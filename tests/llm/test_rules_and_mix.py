@@ -96,6 +96,17 @@ def test_documents_with_all_lines_shared_but_one_count_each(spark, documents):
     assert not any(r.n_removed_words for r in got)
 
 
+def test_a_line_that_a_host_shares_goes_whatever_its_size(spark, documents):
+    line, rows = prose(4243, 12), []
+    for size in (3, 10, 50, 700):
+        rows += [(1000 * size + i, f"{prose(1000 * size + i, 70)}\n{line}", f"h{size}") for i in range(size)]
+    rows += [(10**6 + i, prose(10**6 + i, 70) + f"\n{line}" * (i < 3), "few") for i in range(50)]
+    got = quality_report(spark, documents(rows)).collect()
+    assert all(r.kept for r in got)
+    removed = {r.doc_id for r in got if r.n_removed_words == 12}
+    assert removed == {d for d, _, host in rows if host in ("h10", "h50", "h700")}
+
+
 # classifier --------------------------------------------------------------------------------
 
 

@@ -19,11 +19,11 @@ SPACES = b" \t\n\v\f\r"
 
 @dataclass(frozen=True)
 class Limits:
-    """A line goes if it is in more than `documents` distinct documents of its host and in more
-    than `share` of them; a document goes if lines with over `depleted` of its words went, or
-    by the base rules."""
+    """A line goes if it is in more than `share` of the distinct documents of its host, and in
+    more than `documents` of them, a floor for hosts of few; a document goes if lines with over
+    `depleted` of its words went, or by the base rules."""
 
-    documents: int = 50
+    documents: int = 3
     share: float = 0.005
     depleted: float = 0.5
     least_words: int = 50
