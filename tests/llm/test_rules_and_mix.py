@@ -333,6 +333,14 @@ def test_copies_of_a_page_keep_their_text(spark, tmp_path):
     assert set(got.values()) == {f"{prose(1, 50)} {prose(2, 50)}"}
 
 
+def test_a_large_template_goes_from_short_pages_and_their_copies(spark, tmp_path):
+    template = "".join(f"<div>{prose(800 + i, 20)}</div>" for i in range(10))
+    rows = [(10 * i + j, f"http://a.example/p{i}?v={j}", f"{template}<p>{prose(i, 25)}</p>{template}", 1, 1)
+            for i in range(12) for j in range(4)]
+    got = texts_of(spark, tmp_path, rows)
+    assert got == {10 * i + j: prose(i, 25) for i in range(12) for j in range(4)}
+
+
 def visible(source):
     return [t for t, _, out in zip(*blocks_of(source), strict=True) if not out]
 

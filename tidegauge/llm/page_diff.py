@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ROW, Workspace, numbered, tasks
@@ -145,6 +145,9 @@ def nearness(a: str, b: str) -> int:
     return next((i for i in range(least) if a[i] != b[i]), least)
 
 
+#: A page with at most one in so many characters of its own is a copy.
+COPY = 50
+
 LINE = "struct<key:long, main:boolean, text:string>"
 PAGE = f"row long, page_id long, url string, host string, path string, lines array<{LINE}>"
 KINDS = pa.schema(
@@ -157,7 +160,8 @@ def located(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         places = [place_of(url) for url in batch[1].to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch[0], *(pa.array([p[i] for p in places], pa.string()) for i in (0, 1))], names=["row", "host", "path"]
+            [batch[0], *(pa.array([p[i] for p in places], pa.string()) for i in (0, 1)), batch[2]],
+            names=["row", "host", "path", "content"],
         )
 
 
@@ -186,18 +190,22 @@ def main_text(lines: list[dict], other: list[dict]) -> str:
     """Main text of a page, given the lines of the page it is compared with.
 
     Lines shared with the other page, in the order of a longest common subsequence, are the
-    site's. Lines inside a main element are the page's own, and so are all lines of pages
-    that share most of what is left: those are copies, which say nothing about the site.
+    site's, however many; the other page is no copy. Lines inside a main element are the
+    page's own.
     """
     keys = [line["key"] for line in lines]
     shared = set(common_places(keys, [line["key"] for line in other]))
     own = [i for i, line in enumerate(lines) if line["text"] is not None]
-    gone = [i for i in own if i in shared and not lines[i]["main"]]
-    size = sum(len(lines[i]["text"]) for i in own)
-    if 2 * sum(len(lines[i]["text"]) for i in gone) > size:
-        gone = []
-    struck = set(gone)
-    return " ".join(lines[i]["text"] for i in own if i not in struck)
+    return " ".join(lines[i]["text"] for i in own if i not in shared or lines[i]["main"])
+
+
+def is_copy(keys: set[int], other: set[int]) -> bool:
+    """Whether one of two pages has almost nothing, by characters, that the other has not."""
+
+    def own(a: set[int], b: set[int]) -> bool:
+        return COPY * sum(k & 0xFFFFF for k in a - b) <= sum(k & 0xFFFFF for k in a)
+
+    return own(keys, other) or own(other, keys)
 
 
 RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
@@ -206,32 +214,62 @@ RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.s
 def differenced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages in order of host, path and row, each compared with the nearer of its neighbours.
 
-    Pages of other buckets come along as neighbours only (`halo`) and give no row.
+    Copies of one another that stand together are a run; the neighbours of its pages are the
+    last page before it and the first after it. Pages of other buckets come along as
+    neighbours only (`halo`) and give no row.
     """
-    before, now = None, None
+    run: list[dict] = []
+    prior: dict | None = None
+    keys: set[int] = set()
     out: list[dict] = []
 
-    def judge(page: dict, sides: list[dict | None]) -> None:
-        if page["halo"]:
-            return
-        there = [s for s in sides if s is not None and s["host"] == page["host"] and s["row"] != page["row"]]
-        near = max(there, key=lambda s: nearness(s["path"], page["path"]), default=None)
-        out.append(
-            {"page_id": page["page_id"], "url": page["url"], "text": main_text(page["lines"], near["lines"] if near else [])}
-        )
+    def judge(after: dict | None) -> None:
+        for page in run:
+            if not page["halo"]:
+                near = max((s for s in (prior, after) if s), key=lambda s: nearness(s["path"], page["path"]), default=None)
+                text = main_text(page["lines"], near["lines"] if near else [])
+                out.append({"page_id": page["page_id"], "url": page["url"], "text": text})
 
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             for page in batch.slice(at, 500).to_pylist():
+                own = {line["key"] for line in page["lines"]}
                 # a new bucket begins where the order falls back; its halo brings what it needs
-                if now is not None:
-                    judge(now, [before, page if page["bucket"] == now["bucket"] else None])
-                before, now = (now if now is not None and now["bucket"] == page["bucket"] else None), page
+                same = bool(run) and all(page[c] == run[0][c] for c in ("bucket", "host"))
+                if same and is_copy(own, keys):
+                    if page["lines"] == run[-1]["lines"]:
+                        page["lines"] = run[-1]["lines"]  # held once
+                    run.append(page)
+                    continue
+                judge(page if same else None)
+                prior = run[-1] if same else None
+                run, keys = [page], own
             yield pa.RecordBatch.from_pylist(out, schema=RESULT)
             out.clear()
-    if now is not None:
-        judge(now, [before, None])
-        yield pa.RecordBatch.from_pylist(out, schema=RESULT)
+    judge(None)
+    yield pa.RecordBatch.from_pylist(out, schema=RESULT)
+
+
+def neighbours(ends: list[Row]) -> list[tuple[int, int]]:
+    """(row, bucket) of the pages that a bucket needs of those before and after it.
+
+    Those are the nearest page, and the nearest of other content, as the nearest may be a copy.
+    """
+    out = []
+    for i, to in enumerate(ends):
+        for side, others in (("last", ends[:i][::-1]), ("first", ends[i + 1 :])):
+            nearest = None
+            for other in others:
+                page, different = other[side], other[f"{side}_other"]
+                if nearest is None:
+                    nearest = page
+                    out.append((page["row"], to["bucket"]))
+                elif page["content"] != nearest["content"]:
+                    different = page
+                if different is not None and different["content"] != nearest["content"]:
+                    out.append((different["row"], to["bucket"]))
+                    break
+    return out
 
 
 def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> DataFrame:
@@ -239,9 +277,10 @@ def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> Data
 
     Pages are ordered by host, path and row and cut into buckets of about equal size by the
     keys of a sample of `sample` rows per task; the sample decides the sizes only. The last
-    page of a bucket also goes to the next one and the first to the one before, so each
-    page meets its neighbours in the whole order: a host of a third of all pages is many
-    buckets. Bounds come from the URLs alone; pages are parsed and shuffled once. Null html
+    page of a bucket, and the last of other content than that, also go to the next one, and
+    the first ones to the one before, so each page meets its neighbours in the whole order:
+    a host of a third of all pages is many buckets. Bounds come from the URLs alone, other
+    content is told by the pages without tags; pages are parsed and shuffled once. Null html
     is empty and gives empty text, null or odd URLs are a host of their own, repeated rows
     are compared as neighbours and found to be copies, an empty table gives no rows.
     """
@@ -249,7 +288,10 @@ def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> Data
     rows = numbered(pages).select(
         F.col(ROW).alias("row"), F.col("page_id").cast("long"), F.col("url").cast("string"), "html"
     )
-    places = space.save(rows.select("row", "url").mapInArrow(located, "row long, host string, path string"))
+    content = F.xxhash64(F.regexp_replace("html", "<[^>]*>", "")).alias("content")
+    places = space.save(
+        rows.select("row", "url", content).mapInArrow(located, "row long, host string, path string, content long")
+    )
     buckets = tasks(spark)
     key = F.struct("host", "path", "row")
     share = min(1.0, sample * buckets / max(1, places.count()))
@@ -258,12 +300,19 @@ def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> Data
     edges = [drawn[len(drawn) * i // buckets] for i in range(1, buckets)] if drawn else []
     bounds = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(r).alias("row")) for h, p, r in edges))
     bucket = (F.size(F.filter(bounds, lambda e: e <= key)) if edges else F.lit(0)).alias("bucket")
+    page = F.struct("host", "path", "row", "content")
+    ends = places.groupBy(bucket).agg(F.min(page).alias("first"), F.max(page).alias("last"))
+    others = (F.when(F.col("content") != F.col(f"{side}.content"), page) for side in ("first", "last"))
+    first_other, last_other = others
     ends = (
-        places.groupBy(bucket).agg(F.min(key).alias("first"), F.max(key).alias("last")).orderBy("bucket").collect()
+        places.withColumn("bucket", bucket)
+        .join(F.broadcast(ends), "bucket")  # a row per bucket
+        .groupBy("bucket", "first", "last")
+        .agg(F.min(first_other).alias("first_other"), F.max(last_other).alias("last_other"))
+        .orderBy("bucket")
+        .collect()
     )
-    halo = [(b["first"]["row"], a["bucket"]) for a, b in zip(ends, ends[1:])]
-    halo += [(a["last"]["row"], b["bucket"]) for a, b in zip(ends, ends[1:])]
-    copies = spark.createDataFrame(halo, "row long, other int")  # two rows per bucket at most
+    copies = spark.createDataFrame(neighbours(ends), "row long, other int")  # four rows per bucket at most
     copies = copies.groupBy("row").agg(F.collect_list(F.struct(F.col("other").alias("bucket"), F.lit(True).alias("halo"))).alias("others"))
     own = F.array(F.struct(bucket, F.lit(False).alias("halo")))
     dealt = (
