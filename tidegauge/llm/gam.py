@@ -229,9 +229,9 @@ def learned(features: DataFrame, labels: DataFrame, label: str, how: Settings) -
         .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("label"))
     )
     usable = features.where(~held_out()).join(marks, "doc_id").select("doc_id", "row", "label", *FEATURES)
-    share = 1.05 * how.rows / max(1, usable.count())
+    share = min(1.0, 1.05 * how.rows / max(1, usable.count()))
     drawn = (
-        usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        usable.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) <= int(share * 2**53))
         .orderBy(F.xxhash64("doc_id"), "row")
         .limit(how.rows)
         .toPandas()

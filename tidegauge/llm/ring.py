@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 from .common import ROW, numbered, whole_text
 
 RING_BITS = 64
+#: A slice of over so many times the mean is ranked in cells.
+HEAVY = 4
 
 SEATS = T.StructType(
     [
@@ -84,6 +86,12 @@ def seats(ring: Ring, counts: dict[int, int]) -> list[tuple[int, int, int, int,
     return placed
 
 
+def heavy_cells(counts: dict[int, int]) -> dict[int, int]:
+    """Slices of over HEAVY times the mean, and into how many cells each is split to be ranked."""
+    lot = max(1, HEAVY * sum(counts.values()) // max(1, len(counts)))
+    return {piece: -(-n // lot) for piece, n in counts.items() if n > lot}
+
+
 def ring_shards(spark: SparkSession, rows: DataFrame, key: str = "doc_id", ring: Ring = Ring()) -> DataFrame:
     """`rows` with `shard` and `slot`, its place in the shard (gapless from 0).
 
@@ -93,6 +101,11 @@ def ring_shards(spark: SparkSession, rows: DataFrame, key: str = "doc_id", ring:
     table bounded by slices, nodes and shards. A slice holds 1/2^slice_bits of the rows:
     raise `slice_bits` with the data.
 
+    A slice of over HEAVY times the mean, as a key with a third of all rows makes it, is split
+    into cells by row number; a rank is then the rank in the cell and the sizes of the cells
+    before it, so that no task ranks a whole hot key. There are at most 2^slice_bits / HEAVY
+    cells more than slices.
+
     Null keys are spread by row number. Repeated keys share a ring place and take
     neighbouring slots; an empty table gives no rows; other columns are kept.
     """
@@ -103,16 +116,27 @@ def ring_shards(spark: SparkSession, rows: DataFrame, key: str = "doc_id", ring:
     )
     counts = {r["__slice"]: r["count"] for r in placed.groupBy("__slice").count().collect()}
     plan = spark.createDataFrame(seats(ring, counts), SEATS)
-    order = Window.partitionBy("__slice").orderBy("__place", ROW)
-    ranked = placed.withColumn("__rank", F.row_number().over(order) - 1)
+    cells = heavy_cells(counts)
+    split = F.broadcast(spark.createDataFrame(list(cells.items()), "__slice long, __cells int"))
+    cell = F.coalesce(F.pmod(F.xxhash64(F.lit("cell"), ROW), F.col("__cells")), F.lit(0)).cast("int")
+    dealt = placed.join(split, "__slice", "left").withColumn("__cell", cell)
+    sizes = dealt.where("__cells is not null").groupBy("__slice", "__cell").count().collect() if cells else []
+    before, ahead = [], dict.fromkeys(cells, 0)
+    for piece, at, n in sorted(sizes):
+        before.append((piece, at, ahead[piece]))
+        ahead[piece] += n
+    offsets = F.broadcast(spark.createDataFrame(before, "__slice long, __cell int, __before long"))
+    order = Window.partitionBy("__slice", "__cell").orderBy("__place", ROW)
+    ranked = dealt.withColumn("__own", F.row_number().over(order) - 1).join(offsets, ["__slice", "__cell"], "left")
     seat = F.broadcast(plan)  # at most slices + nodes x shards rows
     rank = F.col("__rank")
     return (
-        ranked.join(seat, "__slice")
+        ranked.withColumn("__rank", F.col("__own") + F.coalesce("__before", F.lit(0)))
+        .join(seat, "__slice")
         .where((rank >= F.col("__first")) & (rank < F.col("__upto")))
         .withColumn("shard", F.col("__shard"))
         .withColumn("slot", F.col("__first_slot") + rank - F.col("__first"))
-        .drop("__place", "__rank", ROW, *SEATS.names)
+        .drop("__place", "__rank", "__own", "__before", "__cell", "__cells", ROW, *SEATS.names)
     )
 
 
