@@ -202,6 +202,7 @@ def windows_removed(texts):
 @pytest.mark.parametrize("part", [suffix_blocks.PART, 3])
 def test_repeats_are_those_of_all_windows(spark, documents, monkeypatch, part):
     monkeypatch.setattr(suffix_blocks, "PART", part)  # in the plan; tasks cut as usual
+    monkeypatch.setattr(suffix_blocks, "STRETCH", 16 * suffix_blocks.RUN if part > 3 else 64)  # so a text is many parts
     shared = prose(50, 150)
     rows = [(i, prose(i, 60) + shared + prose(1000 + i, 50 + i)) for i in range(12)]
     rows += [(20, None), (21, ""), (22, "a" * 399), (23, "b" * 400), (24, "c" * 401), (25, "ab" * 900), (26, prose(3, 300))]

@@ -28,6 +28,8 @@ KMER = 32
 RUN = 2048
 #: Runs of a bucket in one task at most; a larger bucket is split and its parts compared by fingerprint.
 PART = 4096
+#: Bytes of a text whose runs go to one part; a long monotonous text goes to many.
+STRETCH = 16 * RUN
 BLOCK = 1_000_000
 #: Bytes at either end of a window by which the windows of such a bucket are told apart first.
 END = 64
@@ -358,7 +360,7 @@ def live_runs(space: Workspace, texts: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("n") / PART)
     dealt = (
         left.join(space.save(left.groupBy("bucket").agg(F.count("*").alias("n"))), "bucket")
-        .withColumn("part", F.pmod(F.xxhash64("row", "bucket"), parts))
+        .withColumn("part", F.pmod(F.xxhash64("row", "bucket", F.floor(F.col("first") / STRETCH)), parts))
         .withColumn("split", parts > 1)
     )
     whole = cut.where("bucket is null").select("row", "data")
