@@ -17,7 +17,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return "NULL"
     if isinstance(value, (list, tuple)) or hasattr(value, "tolist") and getattr(value, "ndim", 0):
         return str([plain(v) for v in value])
