@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import bisect
-from collections.abc import Hashable, Sequence
+import functools
+from collections.abc import Hashable, Iterator, Sequence
 
 import numpy as np
 import xxhash
@@ -35,6 +36,79 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode().split()
 
 
+#: Bytes of text whose words are hashed at once, cut between words.
+STRETCH = 1 << 17
+#: Odd, so that its powers have inverses modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+@functools.cache
+def powers(base: int) -> np.ndarray:
+    """Powers of `base` modulo 2^64, for the bytes of a stretch and its last word."""
+    out = np.full(2 * STRETCH, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def stretch_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of at most two STRETCH bytes start, and their hashes."""
+    codes = np.frombuffer(data, np.uint8)
+    word = np.zeros(len(codes) + 2, bool)
+    np.logical_not(SPACE[codes], out=word[1:-1])
+    edge = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(powers(BASE)[: len(codes)] * (codes.astype(np.uint64) + np.uint64(1)), out=sums[1:])
+    value = (sums[ends] - sums[starts]) * powers(pow(BASE, -1, 1 << 64))[starts]
+    return starts, mixed(value + (ends - starts).astype(np.uint64) * MULTIPLIER)
+
+
+def long_hashes(data: bytes) -> np.ndarray:
+    """Hashes of the words of a text of any length, stretch by stretch."""
+    out, at = [], 0
+    while at < len(data):
+        end = at + STRETCH
+        while end < len(data) and not SPACE[data[end]]:
+            end += 1
+        if end - at <= 2 * STRETCH:
+            out.append(stretch_hashes(data[at:end])[1])
+        else:  # ends in a word of over a stretch
+            out += [stretch_hashes(w)[1] if len(w) <= STRETCH else word_hashes([w]) for w in data[at:end].split()]
+        at = end
+    return np.concatenate(out)
+
+
+def hashed_words(texts: Sequence[str]) -> Iterator[np.ndarray]:
+    """For each text, a 64-bit hash of each lower-case word between ASCII white space, in order.
+
+    The hash is the polynomial of the word's bytes, by differences of running sums over many
+    texts at once, so that no word becomes an object of its own.
+    """
+    held: list[bytes] = []
+
+    def flush() -> Iterator[np.ndarray]:
+        starts, hashes = stretch_hashes(b"\n".join(held))
+        ends = np.searchsorted(starts, np.cumsum([len(d) + 1 for d in held]))
+        yield from np.split(hashes, ends[:-1])
+        held.clear()
+
+    size = 0
+    for text in texts:
+        data = text.lower().encode()
+        if held and size + len(data) > STRETCH:
+            yield from flush()
+            size = 0
+        if len(data) > STRETCH:
+            yield long_hashes(data)
+            continue
+        held.append(data)
+        size += len(data) + 1
+    if held:
+        yield from flush()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 

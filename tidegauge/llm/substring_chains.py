@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ROW, Workspace, numbered, union, whole_text
-from .hashing import common_places, mixed, shingles, sliding_min, word_hashes, words_of
+from .common import ROW, Workspace, numbered, tasks, whole_text
+from .hashing import common_places, hashed_words, mixed, shingles, sliding_min
 
-#: Words of a short seed. Every window is one: of a passage of n words with 20 % of them
-#: replaced, n / 5 - 3 windows at least are left, 7 of 50 words.
+#: Words of a short seed. A window is one if the least of its word hashes is its first or its
+#: last, as that of about every other window is, and of any SHORT windows in a row one at least.
 SHORT = 4
 #: Words of a long seed; of each SPREAD neighbouring windows the least one is a seed. They
 #: tie a passage to its source where its short windows are common elsewhere. A chain covers
@@ -31,8 +30,14 @@ GAP = 64
 MARGIN = 40
 #: Matches that follow one another word by word are thinned to one in so many.
 THIN = 16
-#: Slices of the seeds, by hash, that are shuffled one after the other: disk holds one of them.
-SLICES = 2
+#: Seeds a task gathers before it deals them to buckets, and those of a bucket at most, but for
+#: seeds that are very common, which a bucket takes in turn.
+CHUNK = 1_000_000
+BUCKET = 4_000_000
+#: Row numbers of different files are further apart than this, or fall.
+FAR = 1 << 20
+#: Bytes of text per seed, about: to tell the number of buckets.
+BYTES = 10
 #: What a word between two seeds costs a chain, of the SEED a seed is worth.
 COST = 0.1
 #: Passages of one text that are on the way together at most.
@@ -47,7 +52,10 @@ def run_labelled(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
     In a monotonous stretch all seeds are alike; so joined, the n-th matches the n-th of
     another such stretch, and the two chain as far as the shorter one goes.
     """
-    order = np.lexsort((places, marks))
+    ordered = np.sort(marks)
+    if (ordered[1:] != ordered[:-1]).all():
+        return mixed(marks)
+    order = np.argsort(marks, kind="stable")  # places rise
     ordered, at = marks[order], places[order]
     new = np.r_[True, (ordered[1:] != ordered[:-1]) | (np.diff(at) > SPREAD)]
     starts = np.flatnonzero(new)
@@ -56,74 +64,157 @@ def run_labelled(marks: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mixed(marks + times * np.uint64(0xD6E8FEB86659FD93))
 
 
-def seeds_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each seed, and twice its place, odd for long seeds."""
-    hashes = word_hashes(words_of(text))
+def seeds_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each seed of a text's words, and twice its place, odd for long seeds."""
     if len(hashes) < PASSAGE:
-        return np.empty(0, np.int64), np.empty(0, np.int32)
-    windows = shingles(hashes, SHORT)
+        return np.empty(0, np.uint64), np.empty(0, np.int32)
+    least = sliding_min(hashes, SHORT)
+    ends = np.flatnonzero((hashes[: 1 - SHORT] == least) | (hashes[SHORT - 1 :] == least))
+    windows = shingles(hashes, SHORT)[ends]
     marks = shingles(hashes, SEED)
     least = sliding_min(marks, SPREAD)
     # a mark is chosen if it is least of one of its windows: the greatest minimum around it
     top = np.iinfo(np.uint64).max
     around = np.concatenate([np.full(SPREAD - 1, top), top - least, np.full(SPREAD - 1, top)])
     places = np.flatnonzero(top - sliding_min(around, SPREAD) == marks)
-    every = np.arange(len(windows))
-    chosen = np.concatenate([run_labelled(windows, every), run_labelled(marks[places], places)])
-    return chosen.view(np.int64), np.concatenate([2 * every, 2 * places + 1]).astype(np.int32)
+    chosen = np.concatenate([run_labelled(windows, ends), run_labelled(marks[places], places)])
+    return chosen, np.concatenate([2 * ends, 2 * places + 1]).astype(np.int32)
+
+
+def dealt(columns: list[np.ndarray], bucket: np.ndarray, first: int) -> pa.RecordBatch:
+    """A row per bucket: the bucket's part of all columns, one after the other, as bytes."""
+    bucket = bucket.astype(np.uint16 if bucket.max() < 1 << 16 else np.uint32)  # short ones are sorted by digits
+    order = np.argsort(bucket, kind="stable")
+    buckets, starts = np.unique(bucket[order], return_index=True)
+    columns = [c[order] for c in columns]
+    ends = np.r_[starts[1:], len(order)]
+    data = [b"".join(c[i:j].tobytes() for c in columns) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets.astype(np.int32)), pa.array(np.full(len(buckets), first, np.int64)), pa.array(data, pa.binary())],
+        names=["bucket", "first", "data"],
+    )
+
+
+def columns_of(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The columns that `dealt` put together."""
+    n = len(data) // sum(np.dtype(k).itemsize for k in kinds)
+    out, at = [], 0
+    for kind in kinds:
+        out.append(np.frombuffer(data, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
 
+DEALT = "bucket int, first long, data binary"
+SEED_KINDS = ("<u8", "<i8", "<i4")
+MATCH_KINDS = ("<i8", "<i8", "<i4", "<i4")
 
-SEEDS = "row long, mark long, at int"
 
+def seeded(buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Seeds of the texts, packed by bucket of their hash: (mark, row, place) of about CHUNK of them at once.
 
-def seeded(part: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Seeds of one of the SLICES."""
-    slices = SLICES
+    Rows rise within what is packed, and `first` is the first of them, so in order of `first`
+    the seeds of a bucket are in order of rows.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, int, np.ndarray]] = []
+        size, last = 0, -1
+
+        def flush() -> pa.RecordBatch:
+            marks, at = (np.concatenate([h[i] for h in held]) for i in (0, 2))
+            rows = np.repeat([h[1] for h in held], [len(h[0]) for h in held])
+            first = held[0][1]
+            held.clear()
+            return dealt([marks, rows, at], (marks >> np.uint64(32)) % np.uint64(buckets), first)
+
         for batch in batches:
-            for row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                marks, at = seeds_of(text)
-                own = marks % slices == part
-                if own.any():
-                    columns = [np.full(own.sum(), row, np.int64), marks[own], at[own]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "mark", "at"])
+            for row, hashes in zip(batch[0].to_pylist(), hashed_words(batch[1].to_pylist()), strict=True):
+                if held and (size > CHUNK or not 0 < row - last < FAR):
+                    yield flush()
+                    size = 0
+                marks, at = seeds_of(hashes)
+                if len(marks):
+                    held.append((marks, row, at))
+                    size += len(marks)
+                last = row
+        if held:
+            yield flush()
 
     return run
 
 
-MATCHES = "row long, other long, place int, other_place int"
+class Firsts:
+    """The first seed of each hash of a bucket, whose seeds come in order of rows, a part at a time."""
+
+    def __init__(self) -> None:
+        self.marks = np.empty(0, np.uint64)
+        self.rows, self.places = np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def matches(self, marks: np.ndarray, rows: np.ndarray, places: np.ndarray, more: bool) -> tuple[np.ndarray, ...]:
+        """Row, place, and row and place of the first seed of the hash, for each seed that is not the first."""
+        order = np.argsort(marks, kind="stable")
+        marks, rows, places = marks[order], rows[order], places[order]
+        new = np.r_[True, marks[1:] != marks[:-1]]
+        starts = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        first_rows, first_places, names = rows[starts], places[starts], marks[starts]
+        if len(self.marks):
+            at = np.minimum(np.searchsorted(self.marks, names), len(self.marks) - 1)
+            known = self.marks[at] == names
+            first_rows, first_places = (
+                np.where(known, old[at], own) for old, own in ((self.rows, first_rows), (self.places, first_places))
+            )
+            new[starts[known]] = False
+        pair = np.flatnonzero(~new)
+        if more:
+            fresh = np.flatnonzero(new[starts])
+            names = np.concatenate([self.marks, names[fresh]])
+            order = np.argsort(names, kind="stable")
+            self.marks = names[order]
+            self.rows = np.concatenate([self.rows, first_rows[fresh]])[order]
+            self.places = np.concatenate([self.places, first_places[fresh]])[order]
+        return rows[pair], places[pair], first_rows[group[pair]], first_places[group[pair]]
+
+
+def by_bucket(batches: Iterable[pa.RecordBatch], kinds: tuple[str, ...], most: float) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """Columns of each bucket, and whether more of the bucket follows; at most about `most` rows at once."""
+    held: list[list[np.ndarray]] = []
+    bucket, size = None, 0
+    for batch in batches:
+        for own, data in zip(batch["bucket"].to_pylist(), batch["data"], strict=True):
+            if held and (own != bucket or size > most):
+                yield [np.concatenate(c) for c in zip(*held, strict=True)], own == bucket
+                held, size = [], 0
+            held.append(columns_of(data.as_buffer(), kinds))
+            bucket, size = own, size + len(held[-1][0])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)], False
 
 
-def matched_first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each seed and the first one of its hash; seeds come sorted by hash, row and place.
+def matched_first(buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each seed and the first one of its hash, packed by bucket of its row.
 
-    A long seed gives two matches, its first and its last SHORT words. Only the first seed of
-    the hash is held, however many there are.
+    A long seed gives two matches, its first and its last SHORT words. Of a hash that is very
+    common only the first seed is held, however many there are.
     """
-    head = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        row, mark, at = (batch[c].to_numpy() for c in ("row", "mark", "at"))
-        new = np.r_[head is None or mark[0] != head[0], mark[1:] != mark[:-1]]
-        # of what goes on from the batch before, the first is at -1
-        first = np.maximum.accumulate(np.where(new, np.arange(len(mark)), -1))
-        pair = np.flatnonzero(~new)
-        before = first[pair] < 0
-        other = np.where(before, head[1] if head else 0, row[first[pair]])
-        other_at = np.where(before, head[2] if head else 0, at[first[pair]])
-        if first[-1] >= 0:
-            head = mark[-1], row[first[-1]], at[first[-1]]
-        long = at[pair] & 1 == 1
-        place, other_place = at[pair] >> 1, other_at >> 1
-        columns = [
-            np.concatenate([row[pair], row[pair][long]]),
-            np.concatenate([other, other[long]]),
-            np.concatenate([place, place[long] + (SEED - SHORT)]).astype(np.int32),
-            np.concatenate([other_place, other_place[long] + (SEED - SHORT)]).astype(np.int32),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "other", "place", "other_place"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts = Firsts()
+        for columns, more in by_bucket(batches, SEED_KINDS, BUCKET):
+            row, at, other, other_at = firsts.matches(*columns, more)
+            if not more:
+                firsts = Firsts()
+            if not len(row):
+                continue
+            long = at & 1 == 1
+            place, other_place = at >> 1, other_at >> 1
+            row, other = np.concatenate([row, row[long]]), np.concatenate([other, other[long]])
+            place = np.concatenate([place, place[long] + (SEED - SHORT)]).astype(np.int32)
+            other_place = np.concatenate([other_place, other_place[long] + (SEED - SHORT)]).astype(np.int32)
+            yield dealt([row, other, place, other_place], mixed(row.view(np.uint64)) % np.uint64(buckets), 0)
+
+    return run
 
 
 class Fenwick:
@@ -188,23 +279,65 @@ def chains_of(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return chains
 
 
-def thinned(row: np.ndarray, other: np.ndarray, place: np.ndarray, other_place: np.ndarray) -> np.ndarray:
-    """Which matches to chain: not those inside a run, word by word in both texts, but for one in THIN.
+def steps(row: np.ndarray, other: np.ndarray, place: np.ndarray, other_place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Whether each match is of the same two texts as the one before, and its steps in both."""
+    same = (np.diff(row) == 0) & (np.diff(other) == 0)
+    return same, np.diff(place), np.diff(other_place)
+
 
-    What is equal between two of a run is found again when they are aligned.
+def chainable(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The matches to chain, by row, other row and places: each once, and with another one near it.
+
+    Of a run, word by word in both texts, one in THIN will do, with both its ends: what is
+    equal between two of a run is found again when they are aligned.
     """
-    step = (np.diff(row) == 0) & (np.diff(other) == 0) & (np.diff(place) == 1) & (np.diff(other_place) == 1)
-    return ~(np.r_[False, step] & np.r_[step, False]) | (place % THIN == 0)
+    row, other, place, other_place = columns
+    order = np.lexsort((place.astype(np.int64) << 32 | other_place, other, row))
+    columns = [c[order] for c in columns]
+    same, dx, dy = steps(*columns)
+    again = np.r_[False, same & (dx == 0) & (dy == 0)]
+    columns = [c[~again] for c in columns]
+    same, dx, dy = steps(*columns)
+    run = same & (dx == dy) & (dx <= SHORT)  # of windows in a row one at least is a seed
+    inner = np.r_[False, run] & np.r_[run, False]
+    turn = np.r_[False, columns[2][1:] // THIN != columns[2][:-1] // THIN]
+    columns = [c[~inner | turn] for c in columns]
+    same, dx, _ = steps(*columns)
+    near = same & (dx <= GAP)
+    return [c[np.r_[False, near] | np.r_[near, False]] for c in columns]
 
 
 def covered(chain: list[tuple[int, int]]) -> int:
     """Words of a chain's seeds, with what is between two of a run."""
     out = SHORT
     for (x, y), (u, v) in zip(chain, chain[1:]):
-        out += u - x if u - x == v - y and u - x <= THIN else min(SHORT, u - x, v - y)
+        out += u - x if u - x == v - y and u - x <= THIN + SHORT else min(SHORT, u - x, v - y)
     return out
 
 
+def chains_by_row(columns: list[np.ndarray]) -> Iterator[tuple[int, list[tuple[int, list[tuple[int, int]]]]]]:
+    """(row, its chains with other texts). Matches that rise in both texts without a long gap are one chain."""
+    columns = chainable(columns)
+    if not len(columns[0]):
+        return
+    same, dx, dy = steps(*columns)
+    rising = same & (dx > 0) & (dy > 0) & (dx <= GAP) & (dy <= GAP) & (COST * (dx + dy) < SEED)
+    starts = np.flatnonzero(np.r_[True, ~same])
+    ends = np.r_[starts[1:], len(columns[0])]
+    broken = np.r_[0, np.cumsum(same & ~rising)]
+    plain = broken[ends - 1] == broken[starts]
+    row, other, place, other_place = (c.tolist() for c in columns)
+    chains: list[tuple[int, list[tuple[int, int]]]] = []
+    at = row[0]
+    for i, j, whole in zip(starts.tolist(), ends.tolist(), plain.tolist(), strict=True):
+        if row[i] != at:
+            yield at, chains
+            chains, at = [], row[i]
+        pairs = list(zip(place[i:j], other_place[i:j], strict=True))
+        chains += [(other[i], c) for c in ([pairs] if whole else chains_of(pairs)) if covered(c) >= SEED]
+    yield at, chains
+
+
 def promising(chains: list[tuple[int, list[tuple[int, int]]]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """The chains of a text that can be part of a passage, each as long as it may become."""
     reach = sorted((chain[0][0] - MARGIN, chain[-1][0] + SHORT + MARGIN, n) for n, (_, chain) in enumerate(chains))
@@ -225,30 +358,19 @@ CHAINS = "row long, number int, other long, places array<int>, other_places arra
 
 
 def chained(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains per text from its matches, which come sorted by row, other row and places."""
+    """Chains per text from its matches; a task holds the matches of one bucket of texts."""
     shape = pa.schema([("row", pa.int64()), ("number", pa.int32()), ("other", pa.int64()),
                        ("places", pa.list_(pa.int32())), ("other_places", pa.list_(pa.int32()))])
-
-    def flow() -> Iterator[tuple]:
-        for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns]
-            keep = thinned(*columns)
-            yield from zip(*(c[keep].tolist() for c in columns), strict=True)
-
-    out: list[dict] = []
-    for row, own in groupby(flow(), key=itemgetter(0)):
-        chains = []
-        for other, matches in groupby(own, key=itemgetter(1)):
-            pairs = [m[2:] for m in matches]
-            if len(pairs) > 1:
-                chains += [(other, c) for c in chains_of(pairs) if covered(c) >= SEED]
-        for number, (other, chain) in enumerate(promising(chains)):
-            places, others = (list(c) for c in zip(*chain, strict=True))
-            out.append({"row": row, "number": number, "other": other, "places": places, "other_places": others})
-        if len(out) >= 2000:
-            yield pa.RecordBatch.from_pylist(out, schema=shape)
-            out = []
-    yield pa.RecordBatch.from_pylist(out, schema=shape)
+    for columns, _ in by_bucket(batches, MATCH_KINDS, float("inf")):
+        out: list[dict] = []
+        for row, chains in chains_by_row(columns):
+            for number, (other, chain) in enumerate(promising(chains)):
+                places, others = (list(c) for c in zip(*chain, strict=True))
+                out.append({"row": row, "number": number, "other": other, "places": places, "other_places": others})
+            if len(out) >= 2000:
+                yield pa.RecordBatch.from_pylist(out, schema=shape)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=shape)
 
 
 PIECES = "row long, number int, side int, low int, words array<int>"
@@ -259,8 +381,9 @@ def cut_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
     for batch in batches:
         rows = []
-        for text, requests in zip(*(batch[c].to_pylist() for c in ("text", "requests")), strict=True):
-            words = word_hashes(words_of(text)).astype(np.uint32).view(np.int32)
+        hashes = hashed_words(batch["text"].to_pylist())
+        for words, requests in zip(hashes, batch["requests"].to_pylist(), strict=True):
+            words = words.astype(np.uint32).view(np.int32)
             for r in requests:
                 low = max(0, r["low"])
                 rows.append((r["row"], r["number"], r["side"], low, words[low : r["high"]]))
@@ -366,7 +489,7 @@ def aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """Passages that repeat, in words of the texts: `doc_id` [`start`, `end`) is like `other_doc_id` [...).
 
-    Each seed is matched with the first place that has it, in another text or in the same, so
+    Each seed is matched with the first place that has it (by row number), in another text or in the same, so
     matches grow with the texts, not with pairs of them, and a passage of a third of all texts
     is one match per seed and text.
     The spans of a text that touch are one `passage`, numbered per document, whichever texts
@@ -380,14 +503,12 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     space = Workspace(spark, "chains")
     rows = numbered(docs)
     texts = rows.select(F.col(ROW).alias("row"), whole_text(text).alias("text"))
-    found = []
-    for part in range(SLICES):
-        seeds = texts.mapInArrow(seeded(part), SEEDS).repartition("mark").sortWithinPartitions("mark", "row", "at")
-        found.append(space.save(seeds.mapInArrow(matched_first, MATCHES)))
-    chains = space.save(
-        union(found).repartition("row").sortWithinPartitions("row", "other", "place", "other_place").mapInArrow(chained, CHAINS)
-    )
-    space.free(*found)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * tasks(spark), size // (BYTES * BUCKET))
+    seeds = texts.mapInArrow(seeded(buckets), DEALT).repartition("bucket").sortWithinPartitions("bucket", "first")
+    found = space.save(seeds.mapInArrow(matched_first(buckets), DEALT))
+    chains = space.save(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(chained, CHAINS))
+    space.free(found)
 
     def request(target: str, places: str, side: int) -> DataFrame:
         return chains.select(
