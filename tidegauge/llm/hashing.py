@@ -145,7 +145,12 @@ def rising(values: Sequence[int]) -> int:
 
 
 def common_places(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[int]:
-    """Indexes in `a` of a longest common subsequence of the two.
+    """Indexes in `a` of a longest common subsequence of the two."""
+    return [i for i, _ in common_pairs(a, b)]
+
+
+def common_pairs(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]]:
+    """Indexes in both of a longest common subsequence of the two.
 
     Only values that occur in both are compared: for each, its places in `b` from last to
     first, of which the longest rising chain is sought, so what shares little costs little.
@@ -155,11 +160,11 @@ def common_places(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[int]:
         places.setdefault(value, []).append(j)
     ends: list[int] = []
     tails: list[int] = []  # the link that ends the chain of each length
-    links: list[tuple[int, int]] = []
+    links: list[tuple[int, int, int]] = []
     for i, value in enumerate(a):
         for j in reversed(places.get(value, ())):
             length = bisect.bisect_left(ends, j)
-            links.append((i, tails[length - 1] if length else -1))
+            links.append((i, j, tails[length - 1] if length else -1))
             if length == len(ends):
                 ends.append(j)
                 tails.append(len(links) - 1)
@@ -167,6 +172,6 @@ def common_places(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[int]:
                 ends[length], tails[length] = j, len(links) - 1
     out, at = [], tails[-1] if tails else -1
     while at >= 0:
-        i, at = links[at]
-        out.append(i)
+        i, j, at = links[at]
+        out.append((i, j))
     return out[::-1]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import ROW, Workspace, numbered, tasks, whole_text
-from .hashing import common_places, hashed_words, mixed, shingles, sliding_min
+from .hashing import common_pairs, common_places, hashed_words, mixed, shingles, sliding_min
 
 #: Words of a short seed. A window is one if the least of its word hashes is its first or its
 #: last, as that of about every other window is, and of any SHORT windows in a row one at least.
@@ -413,6 +413,29 @@ def extended(a: list[int], b: list[int]) -> tuple[int, int, int]:
             return i, j, matched
 
 
+def widened(a: list[int], b: list[int], span: tuple[int, int, int, int, int]) -> tuple[int, int, int, int, int]:
+    """The longest span around this one of which IDENTITY aligns, with the words on both sides of it aligned.
+
+    That finds what `extended` gives up: ends of a passage with many differences near one
+    another. If not even the words the sides have in common make a passage, it stays as it is.
+    """
+    start, end, other_start, other_end, matched = span
+    sides = (a[:start][-MARGIN:][::-1], b[:other_start][-MARGIN:][::-1]), (a[end:][:MARGIN], b[other_end:][:MARGIN])
+    if matched + sum(len(set(x).intersection(y)) for x, y in sides) < IDENTITY * PASSAGE:
+        return span
+    back, forth = (
+        np.array([(0, 0, 0), *((i + 1, j + 1, n + 1) for n, (i, j) in enumerate(common_pairs(x, y)))]) for x, y in sides
+    )
+    more = back[:, None, :] + forth[None, :, :]
+    size, other_size = more[..., 0] + (end - start), more[..., 1] + (other_end - other_start)
+    fits = more[..., 2] + matched >= IDENTITY * np.maximum(size, other_size)
+    i, j = divmod(int(np.argmax(np.where(fits, size, -1))), len(forth))
+    if not fits[i, j]:
+        return span
+    (x, y, n), (u, v, m) = back[i].tolist(), forth[j].tolist()
+    return start - x, end + u, other_start - y, other_end + v, matched + n + m
+
+
 def steps_of(a: list[int], b: list[int], x: list[int], y: list[int]) -> np.ndarray:
     """Words aligned from the first seed of a chain up to each, by a longest common subsequence
     between two seeds; a gap is a band of GAP words at most."""
@@ -462,6 +485,10 @@ def alike(
             longer = start - back[0], end + forth[0], other_start - back[1], other_end + forth[1], matched + back[2] + forth[2]
             spans = [longer, (start, end, other_start, other_end, matched)]
             found = next((s for s in spans if s[4] >= IDENTITY * max(s[1] - s[0], s[3] - s[2])), None)
+            if found is None or found[1] - found[0] < PASSAGE:
+                wider = widened(a, b, spans[1])
+                if wider[1] - wider[0] >= PASSAGE:
+                    found = wider
             if found is not None:
                 break
         yield tuple(int(v) for v in (found[0] + low_a, found[1] + low_a, found[2] + low_b, found[3] + low_b, found[4]))
