@@ -9,10 +9,11 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tidegauge.llm import order_minhash, suffix_blocks
+from tidegauge.llm import hashing, order_minhash, suffix_blocks
 from tidegauge.llm.block_names import drop_exact_copies, exact_groups
-from tidegauge.llm.hashing import common_places, labelled, rising, sliding_min
-from tidegauge.llm.order_minhash import drop_near_copies, near_groups
+from tidegauge.llm.common import Workspace
+from tidegauge.llm.hashing import common_places, labelled, mixed, rising, sliding_min
+from tidegauge.llm.order_minhash import components, drop_near_copies, near_groups
 from tidegauge.llm.substring_chains import chains_of, fuzzy_passages
 from tidegauge.llm.suffix_blocks import COVER, PERIOD, WINDOW, remove_repeats, repeat_report
 
@@ -148,6 +149,53 @@ def test_a_group_that_drifts_apart_loses_no_link(spark, documents, monkeypatch,
     assert got == {i: least[find(i)] for i in range(len(texts))}
 
 
+def test_short_texts_lose_no_link(spark, documents):
+    """Pairs of 4 to 20 shingles at 0.8 exactly or a little more, which few bands would tell."""
+    rows, pairs = [], []
+    for n in (8, 9, 12, 13, 16, 20, 24):
+        least = -(-4 * (n - 4) // 5)
+        for i in range(150):
+            words = prose(f"{n} {i}", n, LARGE).split()
+            cut = words[: least + 4]
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(cut))]
+    got = {r.doc_id: r.class_id for r in near_groups(spark, documents(rows)).collect()}
+    assert all(got[a] == got[b] == a for a, b in pairs)
+    for n in range(1, 26):
+        labels = mixed(np.arange(n, dtype=np.uint64))
+        assert len(order_minhash.prefix(labels)) == n - -(-4 * n // 5) + 1
+    assert not len(order_minhash.prefix(mixed(np.arange(26, dtype=np.uint64))))
+
+
+@pytest.mark.parametrize("links", [1 << 18, 40])
+def test_components_of_chains_stars_and_rings(spark, monkeypatch, links):
+    monkeypatch.setattr(order_minhash, "LINKS", links)
+    pick = random.Random(6)
+    chain = [(i, i + 1) for i in range(400)]
+    star = [(1000 + i, 1000) for i in range(1, 90)] * 2
+    ring = [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)]
+    deep = [(3000 + i, 3000 + pick.randrange(i)) for i in range(1, 120)]
+    pairs = chain + star + ring + deep
+    pick.shuffle(pairs)
+    found = components(Workspace(spark, "test"), spark.createDataFrame(pairs, "left long, right long")).collect()
+    assert sorted(r.node for r in found) == sorted({n for p in pairs for n in p})
+    tops = defaultdict(set)
+    for r in found:
+        tops[r.node // 1000].add(r.top)
+    assert all(len(t) == 1 for t in tops.values()) and len(set.union(*tops.values())) == 4
+
+
+def test_words_are_hashed_in_bulk_as_one_by_one():
+    texts = ["", " ", "a", " A b\x0bc\x0c\rd\n", "é " * 10, "x" * (hashing.STRETCH + 5) + " y " + "z" * 3 * hashing.STRETCH, "w " * 200_000]
+    texts += [prose(i, i % 90) for i in range(3000)] + ["a b", "b a"]
+    names, words = {}, {}
+    for text, hashes in zip(texts, hashing.hashed_words(texts), strict=True):
+        own = text.lower().encode().split()
+        assert len(own) == len(hashes)
+        for word, name in zip(own, hashes.tolist()):
+            assert names.setdefault(word, name) == name and words.setdefault(name, word) == word
+
+
 def test_near_copies_leave_one_of_each_class(spark, documents):
     text = prose(1, 200)
     docs = documents([(5, text), (3, edited(text, 1, 2)), (9, prose(2, 200)), (4, text)])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import itertools
+import math
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,18 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ROW, Workspace, numbered, union, whole_text
-from .hashing import labelled, mixed, rising, shingles, word_hashes, words_of
+from .hashing import BASE, MULTIPLIER, hashed_words, labelled, mixed, rising, shingles, words_of
 
 WORDS = 5
 SIMILARITY = 0.8
 #: A text of similarity s shares a band with a chance of about s^PICKED, so of BANDS at least one
-#: with 1 - 0.59^32, over 0.9999999, at 0.8.
+#: with 1 - 0.59^32, over 0.9999999, at 0.8. With few shingles the chance is less, so texts of up to
+#: SHORT of them, and those that can be like one, have keys besides that leave none out.
 PICKED = 4
 BANDS = 32
+SHORT = 20
 #: Bits that tell by their differences how many labelled shingles two texts do not share, at least.
 BITS = 1024
 #: Texts of a band that one task compares with as many others by their bits.
 BLOCK = 1000
+#: Links of which one task makes components at once.
+LINKS = 1 << 18
 #: Rows of the band matrix at once, so that a very long text needs no more memory than its words.
 CHUNK = 2_000_000
 
@@ -49,20 +55,33 @@ def sketch(labels: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def prefix(labels: np.ndarray) -> np.ndarray:
+    """The first labelled shingles in one order of all, as many as must hold one of every text this alike.
+
+    Two texts of similarity 0.8 share so many labelled shingles that the first they share is
+    among the first n - ceil(0.8 n) + 1 of either.
+    """
+    n = len(labels)
+    if not 0 < n <= SHORT / SIMILARITY:
+        return np.empty(0, np.int64)
+    return np.sort(mixed(labels ^ MULTIPLIER))[: n - math.ceil(SIMILARITY * n - 1e-9) + 1].view(np.int64)
+
+
 def labels_of(text: str) -> np.ndarray:
-    return labelled(shingles(word_hashes(words_of(text)), WORDS))
+    (hashes,) = hashed_words([text])
+    return labelled(shingles(hashes, WORDS))
 
 
 def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64()] * 4 + [pa.int32(), pa.list_(pa.int64())]
     for batch in batches:
         rows = []
-        for row, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words = words_of(text)
-            labels = labelled(shingles(word_hashes(words), WORDS))
-            whole = xxhash.xxh3_128_digest(b" ".join(words))
+        ids, docs, texts = (c.to_pylist() for c in batch.columns)
+        for row, doc, text, words in zip(ids, docs, texts, hashed_words(texts), strict=True):
+            labels = labelled(shingles(words, WORDS))
+            whole = xxhash.xxh3_128_digest(b" ".join(words_of(text)))
             high, low = (int.from_bytes(whole[i : i + 8], "big", signed=True) for i in (0, 8))
-            rows.append((row, doc, high, low, len(labels), sketch(labels)))
+            rows.append((row, doc, high, low, len(labels), np.r_[sketch(labels), prefix(labels)]))
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 6, kinds, strict=True)],
             names=["row", "doc_id", "high", "low", "size", "bands"],
@@ -82,7 +101,8 @@ def parities(labels: np.ndarray) -> np.ndarray:
 def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Labelled shingles in text order, 32 bits of each, as bytes; and their parities."""
     for batch in batches:
-        labels = [labels_of(t).astype("<u4") for t in batch[1].to_pylist()]
+        words = hashed_words(batch[1].to_pylist())
+        labels = [labelled(shingles(w, WORDS)).astype("<u4") for w in words]
         kept = pa.array([one.tobytes() for one in labels], pa.binary())
         bits = pa.array([parities(one) for one in labels], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([batch[0], kept, bits], names=["node", "labels", "bits"])
@@ -227,38 +247,67 @@ def unseen(space: Workspace, live: DataFrame, tops: DataFrame | None, labels: Da
     return pairs.select(F.greatest("left", "right").alias("left"), F.least("left", "right").alias("right")).distinct()
 
 
+def forest(salt: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(`node`, `root`) for every node of a task's links: of the nodes they join it with, the first in the salt's order."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            top = node
+            while (up := parent.setdefault(top, top)) != top:
+                top = up
+            while parent[node] != top:
+                parent[node], node = top, parent[node]
+            return top
+
+        def order(node: int) -> tuple[int, int]:
+            return (node * BASE ^ salt * 0xD6E8FEB86659FD93) * BASE >> 32 & 0xFFFFFFFF, node
+
+        for batch in batches:
+            for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                first, other = sorted((root(a), root(b)), key=order)
+                parent[other] = first
+        nodes = list(parent)
+        for at in range(0, len(nodes), LINKS):
+            part = nodes[at : at + LINKS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int64()), pa.array([root(n) for n in part], pa.int64())], names=["node", "root"]
+            )
+
+    return run
+
+
 def components(space: Workspace, pairs: DataFrame) -> DataFrame:
     """(`node`, `top`): every node of a link with a node that stands for its component.
 
-    Each round, a node joins the neighbour that comes first in a random order of the round,
-    and joined nodes become one, so that a chain of any length shrinks by a share per round.
+    Tasks of about LINKS links each make the trees of their own links. A node with several
+    roots, one in each of some tasks, links these; such links are the next round's, until
+    they are one task's. A node goes on only if it is first among its neighbours in some
+    task, in an order that is another one each round, so even a chain loses a third of its
+    nodes per round.
     """
-    edges = pairs.select(F.col("left").alias("a"), F.col("right").alias("b"))
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels, round_ = None, 0
-    while True:
-        both = space.save(both.distinct())
-        if both.isEmpty():
-            return labels
-        order = lambda c: F.struct(F.xxhash64(F.lit(round_), F.col(c)).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
-        joined = (
-            both.groupBy("a").agg(F.min(order("b")).alias("least"))
-            .select(F.col("a").alias("node"), F.least(order("a"), F.col("least"))["to"].alias("top"))
-        )
-        joined = space.save(joined)
-        if labels is None:
-            labels = joined
-        else:
-            onward = joined.select(F.col("node").alias("top"), F.col("top").alias("onward"))
-            labels = space.save(
-                labels.join(onward, "top", "left").select("node", F.coalesce("onward", "top").alias("top"))
-            )
-        first = joined.select(F.col("node").alias("a"), F.col("top").alias("a2"))
-        second = joined.select(F.col("node").alias("b"), F.col("top").alias("b2"))
-        both = (
-            both.join(first, "a").join(second, "b").where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
+    levels: list[DataFrame] = []
+    links = pairs.select(F.col("left").alias("a"), F.col("right").alias("b"))
+    n = links.count()
+    for round_ in itertools.count():
+        parts = max(1, -(-n // LINKS))
+        roots = space.save(links.repartition(parts).mapInArrow(forest(round_), "node long, root long"))
+        if parts == 1:
+            break
+        # a node has a root per task at most
+        of_node = space.save(roots.groupBy("node").agg(F.sort_array(F.collect_set("root")).alias("roots")))
+        levels.append(of_node.select("node", F.col("roots")[0].alias("top")))
+        links = of_node.where(F.size("roots") > 1).select(
+            F.explode(F.slice("roots", F.lit(2), F.size("roots"))).alias("a"), F.col("roots")[0].alias("b")
         )
-        round_ += 1
+        links = space.save(links.distinct())
+        n = links.count()
+    found = roots.select("node", F.col("root").alias("top"))
+    for level in reversed(levels):
+        onward = found.select(F.col("node").alias("top"), F.col("top").alias("onward"))
+        found = level.join(onward, "top", "left").select("node", F.coalesce("onward", "top").alias("top"))
+    return space.save(found) if levels else found
 
 
 def near_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
