@@ -20,7 +20,7 @@ import __spark_entry__ as spark_entry
 import corpus_pipeline
 from oracle import connect, difference
 from tidegauge.llm import gam, packing
-from tidegauge.llm.line_rules import Limits, apply_rules, base_counts, quality_report
+from tidegauge.llm.line_rules import Limits, apply_rules, base_counts, line_key, quality_report
 from tidegauge.llm.mixing import Mix, mixed_rows
 from tidegauge.llm.packing import best_fit, encoder, pack_documents
 from tidegauge.llm.page_diff import blocks_of, main_texts
@@ -107,6 +107,57 @@ def test_a_line_that_a_host_shares_goes_whatever_its_size(spark, documents):
     assert removed == {d for d, _, host in rows if host in ("h10", "h50", "h700")}
 
 
+def plain_verdicts(rows, limits):
+    """(doc_id, kept, removed words) by counting all lines of all documents."""
+    key = lambda t: " ".join(t.lower().split())
+    lines = {i: [x for x in (t or "").split("\n") if x.split()] for i, (_, t, _) in enumerate(rows)}
+    hosts, docs = defaultdict(set), defaultdict(set)
+    for i, (_, t, host) in enumerate(rows):
+        for x in lines[i]:
+            hosts[host].add(key(t))
+            docs[host, key(x)].add(key(t))
+    frequent = {k: len(d) for k, d in docs.items() if len(d) > limits.documents and len(d) > limits.share * len(hosts[k[0]])}
+    out, lost = {}, defaultdict(list)
+    for i, (doc, t, host) in enumerate(rows):
+        n, _, _, _, repeated = plain_counts(t or "")
+        failed = n < 50 or 100 * repeated > 50 * n
+        gone = sum(len(x.split()) for x in lines[i] if (host, key(x)) in frequent)
+        out[i] = [doc, not failed and gone <= limits.depleted * n, gone]
+        if not failed and not out[i][1]:
+            rare = min((frequent[host, key(x)], line_key(x)) for x in lines[i] if (host, key(x)) in frequent)
+            lost[host, rare].append((i, key(t)))
+    for (host, (n, _)), group in lost.items():
+        if 2 * len({c for _, c in group}) >= n:
+            for i, (doc, t, of) in enumerate(rows):
+                if of == host and key(t or "") == group[0][1]:
+                    out[i] = [doc, True, 0]
+    return sorted(map(tuple, out.values()))
+
+
+@pytest.mark.parametrize("others", [0, 20, 100, 1500])
+def test_of_near_copies_one_stays_whatever_the_host(spark, documents, others):
+    rows = [(i, f"{prose(i, 70)}\nshared notice of the host {'x ' * 9}", "a") for i in range(others)]
+    groups = {}
+    for size in (4, 5, 12, 50):
+        lines = [prose(f"{size} {i}", 15) for i in range(12)]
+        groups[size] = range(len(rows), len(rows) + size)
+        for i in range(size):
+            own = list(lines)
+            own[i % 12] = prose(f"own {size} {i}", 15)
+            rows.append((len(rows), "\n".join([*own, f"shared notice of the host {'x ' * 9}"]), "a"))
+    rows += [(9000 + i, rows[groups[5][0]][1].upper(), "a") for i in range(3)]  # copies of a near copy
+    rows += [(9100 + i, f"{prose(8000 + i, 3)}\nshared notice of the host {'x ' * 9}\n" + "y z " * 5, "a") for i in range(2)]
+    docs = spark.createDataFrame(documents(rows, files=1).coalesce(1).sort("doc_id").collect(), documents(rows).schema).coalesce(1)
+    got = sorted((r.doc_id, r.kept, r.n_removed_words) for r in quality_report(spark, docs).collect())
+    assert got == plain_verdicts(rows, Limits())
+    kept = {d for d, k, _ in got if k}
+    assert set(range(others)) <= kept
+    for size, group in groups.items():
+        assert 1 <= len(kept & set(group))
+    left = {r.doc_id: r.text for r in apply_rules(spark, docs).collect()}
+    assert set(left) == kept
+
+
 # classifier --------------------------------------------------------------------------------
 
 
@@ -378,7 +429,7 @@ def test_page_query_gives_the_articles(spark):
 def test_the_entry_offers_all_queries():
     names = set(spark_entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_pipeline_stage_by_stage(spark):

@@ -21,7 +21,8 @@ SPACES = b" \t\n\v\f\r"
 class Limits:
     """A line goes if it is in more than `share` of the distinct documents of its host, and in
     more than `documents` of them, a floor for hosts of few; a document goes if lines with over
-    `depleted` of its words went, or by the base rules."""
+    `depleted` of its words went, or by the base rules. Of a group of near copies, which share
+    lines that few others have, one stays with all its lines."""
 
     documents: int = 3
     share: float = 0.005
@@ -108,10 +109,25 @@ def frequent_lines(stats: DataFrame, limits: Limits) -> DataFrame:
     return (
         many.join(hosts, "host")
         .where(F.col("documents") > F.col("of_host") * limits.share)
-        .select("host", "line")
+        .select("host", "line", "documents")
     )
 
 
+def spared_contents(lost: DataFrame) -> DataFrame:
+    """(`host`, `content`) that stay although their lines are frequent, of the documents that would go for it.
+
+    Near copies lose the lines they share. They are told by the rarest line that each of them
+    loses: if half the distinct documents with that line would go, these are its only ones,
+    rather than pages that share a notice. The first of them stays for all.
+    """
+    line = F.col("rarest.line").alias("line"), F.col("rarest.documents").alias("documents")
+    of_content = lost.groupBy("host", *line, "content").agg(F.min("row").alias("row"))
+    groups = of_content.groupBy("host", "line", "documents").agg(
+        F.count("*").alias("n"), F.min(F.struct("row", "content")).alias("first")
+    )
+    return groups.where(2 * F.col("n") >= F.col("documents")).select("host", F.col("first.content").alias("content")).distinct()
+
+
 def judged(space: Workspace, docs: DataFrame, host: str, limits: Limits) -> DataFrame:
     """Base counts, verdict and the keys of the removed lines of every document, by row number."""
     texts = numbered(docs).select(
@@ -124,17 +140,30 @@ def judged(space: Workspace, docs: DataFrame, host: str, limits: Limits) -> Data
         lines.select("row", "host", F.col("l.lines").alias("line"), F.col("l.words").alias("words"))
         .join(frequent, ["host", "line"])
         .groupBy("row")
-        .agg(F.sum("words").alias("gone_words"), F.collect_list("line").alias("gone"))  # bounded by the text
+        .agg(
+            F.sum("words").alias("gone_words"),
+            F.collect_list("line").alias("gone"),  # bounded by the text
+            F.min(F.struct("documents", "line")).alias("rarest"),
+        )
     )
     base = (F.col("n_words") < limits.least_words) | (
         100 * F.col("n_repeat_words") > limits.repeated_percent * F.col("n_words")
     )
     depleted = F.coalesce("gone_words", F.lit(0)) > limits.depleted * F.col("n_words")
-    return (
-        stats.drop("lines", "words", "host", "content")
+    found = space.save(
+        stats.drop("lines", "words")
         .join(gone, "row", "left")
         .withColumn("base_failed", base)
-        .withColumn("kept", ~base & ~depleted)
+        .withColumn("depleted", ~base & depleted)
+    )
+    spared = spared_contents(found.where("depleted")).withColumn("spared", F.lit(True))
+    spared_row = F.col("depleted") & F.coalesce("spared", F.lit(False))
+    return (
+        found.join(spared, ["host", "content"], "left")
+        .withColumn("kept", ~F.col("base_failed") & (~F.col("depleted") | spared_row))
+        .withColumn("gone_words", F.when(~spared_row, F.col("gone_words")))
+        .withColumn("gone", F.when(~spared_row, F.col("gone")))
+        .drop("host", "content", "spared", "depleted", "rarest")
     )
 
 
@@ -142,7 +171,9 @@ def quality_report(spark: SparkSession, docs: DataFrame, host: str = "source", l
     """One row per document: base counts, `base_failed`, `kept`, and the words of removed lines.
 
     Null text has no words and fails; null hosts are a host of their own (the empty one);
-    repeated rows are judged one by one and alike; an empty table gives no rows.
+    repeated rows are judged alike, and so are texts that differ in case and spacing only;
+    very long texts are read whole; ties between copies go by row number; an empty table
+    gives no rows; other columns play no part.
     """
     return judged(Workspace(spark, "lines"), docs, host, limits).select(
         "doc_id", *COUNTS, "base_failed", "kept", F.coalesce("gone_words", F.lit(0)).cast("long").alias("n_removed_words")
