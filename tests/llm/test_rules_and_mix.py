@@ -19,7 +19,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from oracle import connect, difference
-from tidegauge.llm import gam, packing
+from tidegauge.llm import gam, packing, page_diff
+from tidegauge.llm.hashing import common_places
 from tidegauge.llm.line_rules import Limits, apply_rules, base_counts, line_key, quality_report
 from tidegauge.llm.mixing import Mix, mixed_rows
 from tidegauge.llm.packing import best_fit, encoder, pack_documents
@@ -354,9 +355,9 @@ def page(main, nav="Home About", foot="All rights"):
     return f"<html><head><title>t</title><script>var a='<p>x</p>'</script></head><body><nav>{nav}</nav>{main}<footer>{foot}</footer>"
 
 
-def texts_of(spark, tmp_path, rows):
+def texts_of(spark, tmp_path, rows, files=8):
     path = str(tmp_path / "pages.parquet")
-    spark.createDataFrame(rows, "page_id long, url string, html string, row int, text int").write.parquet(path)
+    spark.createDataFrame(rows, "page_id long, url string, html string, row int, text int").coalesce(files).write.parquet(path)
     return {r.page_id: r.text for r in main_texts(spark, spark.read.parquet(path)).collect()}
 
 
@@ -392,6 +393,73 @@ def test_a_large_template_goes_from_short_pages_and_their_copies(spark, tmp_path
     assert got == {10 * i + j: prose(i, 25) for i in range(12) for j in range(4)}
 
 
+def test_names_that_only_hold_a_furniture_word_keep_their_text(spark, tmp_path):
+    """Such a name decides nothing alone; where the block also comes on the nearest page, it goes."""
+    bodies = {
+        0: '<div class="page-with-sidebar"><p>{}</p></div>',
+        1: '<article class="post comments-open"><p>{}</p></article>',
+        2: '<div class="product-notice-page"><p>{}</p></div>',
+        3: '<article><section class="related-work"><p>{}</p></section><div class="skip-logic">{}</div></article>',
+        4: '<div class="sidebar"><p>{}</p></div>',  # holds the whole page
+        5: '<main><p>{}</p><div class="share-this">All share this</div></main>',
+        6: '<main><p>{}</p><div class="share-this">All share this</div></main>',
+        7: '<main><p>{}</p><p>All share this</p></main>',
+        8: '<main><p>{}</p><p>All share this</p></main>',
+        9: '<div class="site-footer">f</div><div class="cookie-notice">c</div><div id="nav_menu">n</div><div>{}</div>',
+    }
+    rows = [(i, f"http://h{i - i % 2 if i in (5, 6, 7, 8) else i}.example/p{i}", b.format(prose(i, 30), prose(90 + i, 30)), 1, 1)
+            for i, b in bodies.items()]
+    rows = [(i, "http://same.example/p%d" % i if i in (5, 6) else "http://other.example/p%d" % i if i in (7, 8) else u, h, 1, 1)
+            for i, u, h, *_ in rows]
+    got = texts_of(spark, tmp_path, rows)
+    for i in (0, 1, 2, 4, 5, 6, 9):
+        assert got[i] == prose(i, 30), i
+    assert got[3] == f"{prose(3, 30)} {prose(93, 30)}"
+    assert got[7] == f"{prose(7, 30)} All share this" and got[8] == f"{prose(8, 30)} All share this"
+
+
+def test_a_long_run_waits_in_a_file(monkeypatch):
+    monkeypatch.setattr(page_diff, "HELD", 100)
+    run = page_diff.Held()
+    pages = [{"row": i, "lines": [{"key": i, "text": "x" * i}]} for i in range(50)]
+    for one in pages:
+        run.add(one)
+    assert run.file._rolled and list(run.pages()) == pages and run.file.closed
+
+
+def test_pages_are_those_of_plain_neighbours(spark, tmp_path):
+    """Texts against a loop over all pages in order, with buckets of any bounds, runs of copies and several hosts."""
+    pick = random.Random(8)
+    template = [prose(f"t{i}", 6) for i in range(8)]
+    rows = []
+    for i in range(160):
+        host = pick.choice(["a", "a", "a", "b", "c"])
+        own = prose(f"own {i}", 40)
+        lines = [x for x in template if pick.random() < 0.7]
+        at = pick.randrange(len(lines) + 1)
+        rows.append((i, f"http://{host}.example/{pick.choice('xyz')}/{pick.randrange(12)}", "".join(f"<div>{x}</div>" for x in [*lines[:at], own, *lines[at:]]), 1, 1))
+    rows += [(200 + i, "http://a.example/y/5", rows[3][2], 1, 1) for i in range(60)]  # a run over several buckets
+    got = texts_of(spark, tmp_path, rows, files=1)
+    order = sorted(range(len(rows)), key=lambda i: (page_diff.place_of(rows[i][1]), i))
+    pages = []
+    for i in order:
+        texts, *_ = blocks_of(rows[i][2])
+        pages.append((page_diff.place_of(rows[i][1]), rows[i][0], texts))
+    key = lambda t: zlib.crc32(t.encode()) << 20 | len(t)
+    run_of, runs = [], []
+    for place, doc, texts in pages:
+        keys = {key(t) for t in texts}
+        if not (runs and runs[-1][0] == place[0] and page_diff.is_copy(keys, runs[-1][1])):
+            runs.append((place[0], keys, []))
+        runs[-1][2].append((place, doc, texts))
+    for n, (host, _, members) in enumerate(runs):
+        sides = [runs[m][2][e] for m, e in ((n - 1, -1), (n + 1, 0)) if 0 <= m < len(runs) and runs[m][0] == host]
+        for place, doc, texts in members:
+            near = max(sides, key=lambda s: page_diff.nearness(s[0][1], place[1]), default=None)
+            gone = set(common_places(texts, near[2])) if near else set()
+            assert got[doc] == " ".join(t for i, t in enumerate(texts) if i not in gone)
+
+
 def visible(source):
     return [t for t, _, out in zip(*blocks_of(source), strict=True) if not out]
 

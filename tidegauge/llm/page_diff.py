@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
 import html
+import pickle
 import re
+import tempfile
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -25,7 +28,7 @@ INLINE = {
 }
 FURNITURE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
-#: Fixed words that name furniture in class and id attributes.
+#: Fixed words that name furniture in class and id attributes, and words that may stand with them in a name.
 NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion",
     "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "disqus", "reply", "replies", "respond", "cookie",
@@ -34,6 +37,11 @@ NAMES = {
     "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations", "pagination",
     "pager", "toolbar", "skip",
 }
+NEUTRAL = {
+    "area", "bar", "block", "body", "bottom", "box", "container", "form", "global", "inner", "item", "items", "left",
+    "link", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary", "section",
+    "site", "slot", "text", "thread", "top", "unit", "wrap", "wrapper",
+}
 MAIN = {"article", "main"}
 
 TOKEN = re.compile(
@@ -43,53 +51,75 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-LAYOUT = re.compile(r"(?:has|with|without|no|is)[-_]")
 RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in ("script", "style", "textarea", "title", "iframe", "noscript")}
 
 
-def is_furniture(tag: str, rest: str, in_main: bool) -> bool:
-    """Whether an element is a menu, advert and so on, by its tag, role, state, class and id."""
+#: An element named like furniture that holds more than this share of a page's text is the page.
+MOST = 0.8
+
+
+def naming(value: str, in_main: bool) -> str | None:
+    """`named` if a class or id is a furniture word, alone or among words that say no more than where it is.
+
+    A furniture word that is only part of a name, as in page-with-sidebar or comments-open, can
+    speak of something else: `maybe`.
+    """
+    own, found = NAMES - {"header"} if in_main else NAMES, None
+    for name in value.split():
+        words = set(re.split(r"[-_]+", name)) - {""}
+        if words & own:
+            if words <= NAMES | NEUTRAL:
+                return "named"
+            found = "maybe"
+    return found
+
+
+def furniture_kind(tag: str, rest: str, in_main: bool) -> str | None:
+    """Whether an element is a menu, advert and so on: `sure` by its tag, role or state, else by its names."""
     if tag in UNSEEN or tag in FURNITURE or tag == "header" and not in_main:
-        return True
+        return "sure"
     if "=" not in rest and "hidden" not in rest or tag in ("html", "body"):
-        return False
+        return None
+    kinds = set()
     for match in ATTRIBUTE.finditer(rest):
         name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "sure"
         if name == "role" and value in ROLES:
-            return True
+            return "sure"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if name in ("class", "id") and tag not in ("h1", "p", "main"):
-            # layout classes such as has-sidebar speak of another element
-            words = {w for v in value.split() if not LAYOUT.match(v) for w in (v, *re.split(r"[-_]+", v))}
-            if words & (NAMES - {"header"} if in_main else NAMES):
-                return True
-    return False
+            return "sure"
+        if name in ("class", "id") and tag not in ("h1", "p", *MAIN):
+            kinds.add(naming(value, in_main))
+    return "named" if "named" in kinds else "maybe" if "maybe" in kinds else None
 
 
-def blocks_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
+def blocks_of(page: str) -> tuple[list[str], list[int], list[bool]]:
     """Blocks of visible text in page order; of each, whether it is in the main element, and in furniture.
 
-    Tags need not match: an end tag closes what is open inside its element, one without a
-    start tag nothing; the first main element is outside any furniture left open before it.
+    In the main element a block counts 1, one that may be furniture by its names 2. Tags need
+    not match: an end tag closes what is open inside its element, one without a start
+    tag nothing; the first main element is outside any furniture left open before it. An
+    element named like furniture that holds most of the page is none.
     """
     texts: list[str] = []
-    mains: list[bool] = []
-    furniture: list[bool] = []
-    open_: list[tuple[str, bool, bool]] = []  # tag, in main, in furniture
+    mains: list[int] = []
+    sure: list[bool] = []
+    within: list[tuple[int, ...]] = []  # the elements named like furniture, by number
+    open_: list[tuple[str, int, bool, tuple[int, ...]]] = []  # tag, in main, sure, named
     parts: list[str] = []
-    met_main = False
+    met_main, named = False, 0
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
+                _, main, out, numbers = open_[-1] if open_ else ("", 0, False, ())
                 texts.append(text)
-                mains.append(bool(open_) and open_[-1][1])
-                furniture.append(bool(open_) and open_[-1][2])
+                mains.append(main)
+                sure.append(out)
+                within.append(numbers)
 
     at = 0
     while match := TOKEN.search(page, at):
@@ -107,7 +137,7 @@ def blocks_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
                 if open_[depth][0] == tag:
                     if tag in INLINE and any(e[0] not in INLINE for e in open_[depth:]):
                         break  # a stray inline end tag closes no block
-                    if open_[-1][1:] != (open_[depth - 1][1:] if depth else (False, False)):
+                    if open_[-1][1:] != (open_[depth - 1][1:] if depth else (0, False, ())):
                         flush()
                     del open_[depth:]
                     break
@@ -118,16 +148,29 @@ def blocks_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
             end = RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
-        in_main, unseen = (open_[-1][1], open_[-1][2]) if open_ else (False, False)
-        own = is_furniture(tag, rest, in_main)
-        if tag in MAIN and not own and not met_main and not any(e[0] == "aside" for e in open_):
-            unseen, met_main = False, True
-        if tag in INLINE and own:
+        in_main, out, numbers = open_[-1][1:] if open_ else (0, False, ())
+        kind = furniture_kind(tag, rest, in_main > 0)
+        if tag in MAIN and not kind and not met_main and not any(e[0] == "aside" for e in open_):
+            out, numbers, met_main = False, (), True
+        if tag in INLINE and kind and kind != "maybe":
             flush()
-        open_.append((tag, in_main or tag in MAIN and not own, unseen or own))
+        if kind == "named":
+            numbers, named = (*numbers, named), named + 1
+        if kind == "maybe" and in_main:
+            in_main = 2
+        elif tag in MAIN and not kind:
+            in_main = in_main or 1
+        open_.append((tag, in_main, out or kind == "sure", numbers))
     parts.append(page[at:])
     flush()
-    return texts, mains, furniture
+    sizes = [0] * named
+    whole = 0
+    for text, out, numbers in zip(texts, sure, within, strict=True):
+        if not out:
+            whole += len(text)
+            for number in numbers:
+                sizes[number] += len(text)
+    return texts, mains, [out or any(sizes[n] <= MOST * whole for n in numbers) for out, numbers in zip(sure, within, strict=True)]
 
 
 def place_of(url: str | None) -> tuple[str, str]:
@@ -147,56 +190,83 @@ def nearness(a: str, b: str) -> int:
 
 #: A page with at most one in so many characters of its own is a copy.
 COPY = 50
+#: Bytes of pages in a bucket, about; bytes of a run of copies that are held in memory.
+BUCKET = 32 << 20
+HELD = 16 << 20
 
-LINE = "struct<key:long, main:boolean, text:string>"
-PAGE = f"row long, page_id long, url string, host string, path string, lines array<{LINE}>"
+LINE = "struct<key:long, main:int, text:string>"
+PAGE = f"bucket int, row long, page_id long, url string, host string, path string, lines array<{LINE}>"
 KINDS = pa.schema(
-    [("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()),
-     ("lines", pa.list_(pa.struct([("key", pa.int64()), ("main", pa.bool_()), ("text", pa.string())])))]
+    [("bucket", pa.int32()), ("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()),
+     ("path", pa.string()),
+     ("lines", pa.list_(pa.struct([("key", pa.int64()), ("main", pa.int32()), ("text", pa.string())])))]
 )
+PLACE = "row long, host string, path string, content long, size long"
 
 
 def located(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         places = [place_of(url) for url in batch[1].to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch[0], *(pa.array([p[i] for p in places], pa.string()) for i in (0, 1)), batch[2]],
-            names=["row", "host", "path", "content"],
+            [batch[0], *(pa.array([p[i] for p in places], pa.string()) for i in (0, 1)), batch[2], batch[3]],
+            names=["row", "host", "path", "content", "size"],
         )
 
 
-def parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Host, path and row of the first page of every bucket but the first.
+Edges = list[tuple[str, str, int]]
+
+
+def bucketed(edges: Edges) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(*(batch[c].to_pylist() for c in ("host", "path", "row")), strict=True)
+            buckets = pa.array([bisect.bisect_right(edges, key) for key in keys], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, buckets], names=[*batch.schema.names, "bucket"])
+
+    return run
+
+
+def parsed(edges: Edges) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pages as lines; the text of a line only if it can be part of the main text."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            out = []
-            for row, page_id, url, page in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                host, path = place_of(url)
-                blocks = list(zip(*blocks_of(page or ""), strict=True))
-                marked = any(main and not out_ for _, main, out_ in blocks)
-                lines = [
-                    {
-                        "key": zlib.crc32(text.encode()) << 20 | len(text) & 0xFFFFF,
-                        "main": main,
-                        "text": text if not out_ and (main or not marked) else None,
-                    }
-                    for text, main, out_ in blocks
-                ]
-                out.append({"row": row, "page_id": page_id, "url": url, "host": host, "path": path, "lines": lines})
-            yield pa.RecordBatch.from_pylist(out, schema=KINDS)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                out = []
+                for row, page_id, url, page in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
+                    host, path = place_of(url)
+                    blocks = list(zip(*blocks_of(page or ""), strict=True))
+                    marked = any(main and not out_ for _, main, out_ in blocks)
+                    lines = [
+                        {
+                            "key": zlib.crc32(text.encode()) << 20 | len(text) & 0xFFFFF,
+                            "main": main,
+                            "text": text if not out_ and (main or not marked) else None,
+                        }
+                        for text, main, out_ in blocks
+                    ]
+                    bucket = bisect.bisect_right(edges, (host, path, row))
+                    out.append(
+                        {"bucket": bucket, "row": row, "page_id": page_id, "url": url, "host": host, "path": path, "lines": lines}
+                    )
+                yield pa.RecordBatch.from_pylist(out, schema=KINDS)
+
+    return run
 
 
 def main_text(lines: list[dict], other: list[dict]) -> str:
     """Main text of a page, given the lines of the page it is compared with.
 
     Lines shared with the other page, in the order of a longest common subsequence, are the
-    site's, however many; the other page is no copy. Lines inside a main element are the
-    page's own.
+    site's and go, however many; the other page is no copy. In a main element they go if
+    their element may be furniture by its names; what is not so named there is the article,
+    which can have sentences in common with another one.
     """
     keys = [line["key"] for line in lines]
     shared = set(common_places(keys, [line["key"] for line in other]))
     own = [i for i, line in enumerate(lines) if line["text"] is not None]
-    return " ".join(lines[i]["text"] for i in own if i not in shared or lines[i]["main"])
+    return " ".join(lines[i]["text"] for i in own if i not in shared or lines[i]["main"] == 1)
 
 
 def is_copy(keys: set[int], other: set[int]) -> bool:
@@ -208,6 +278,24 @@ def is_copy(keys: set[int], other: set[int]) -> bool:
     return own(keys, other) or own(other, keys)
 
 
+class Held:
+    """Pages in the order they came, the most of them in a file of the task's own."""
+
+    def __init__(self) -> None:
+        self.file = tempfile.SpooledTemporaryFile(HELD)
+        self.n = 0
+
+    def add(self, page: dict) -> None:
+        pickle.dump(page, self.file, pickle.HIGHEST_PROTOCOL)
+        self.n += 1
+
+    def pages(self) -> Iterator[dict]:
+        self.file.seek(0)
+        for _ in range(self.n):
+            yield pickle.load(self.file)
+        self.file.close()
+
+
 RESULT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
 
@@ -215,39 +303,41 @@ def differenced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages in order of host, path and row, each compared with the nearer of its neighbours.
 
     Copies of one another that stand together are a run; the neighbours of its pages are the
-    last page before it and the first after it. Pages of other buckets come along as
-    neighbours only (`halo`) and give no row.
+    last page before it and the first after it. A run waits for the page after it, in a file
+    if it is long. Pages of other buckets come along as neighbours only (`halo`) and give no
+    row.
     """
-    run: list[dict] = []
+    run = Held()
+    first: dict | None = None
+    last: dict | None = None
     prior: dict | None = None
     keys: set[int] = set()
-    out: list[dict] = []
 
-    def judge(after: dict | None) -> None:
-        for page in run:
+    def judged(after: dict | None) -> Iterator[pa.RecordBatch]:
+        out = []
+        for page in run.pages():
             if not page["halo"]:
                 near = max((s for s in (prior, after) if s), key=lambda s: nearness(s["path"], page["path"]), default=None)
                 text = main_text(page["lines"], near["lines"] if near else [])
                 out.append({"page_id": page["page_id"], "url": page["url"], "text": text})
+            if len(out) == 500:
+                yield pa.RecordBatch.from_pylist(out, schema=RESULT)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=RESULT)
 
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             for page in batch.slice(at, 500).to_pylist():
                 own = {line["key"] for line in page["lines"]}
                 # a new bucket begins where the order falls back; its halo brings what it needs
-                same = bool(run) and all(page[c] == run[0][c] for c in ("bucket", "host"))
-                if same and is_copy(own, keys):
-                    if page["lines"] == run[-1]["lines"]:
-                        page["lines"] = run[-1]["lines"]  # held once
-                    run.append(page)
-                    continue
-                judge(page if same else None)
-                prior = run[-1] if same else None
-                run, keys = [page], own
-            yield pa.RecordBatch.from_pylist(out, schema=RESULT)
-            out.clear()
-    judge(None)
-    yield pa.RecordBatch.from_pylist(out, schema=RESULT)
+                same = first is not None and all(page[c] == first[c] for c in ("bucket", "host"))
+                if not (same and is_copy(own, keys)):
+                    yield from judged(page if same else None)
+                    prior = last if same else None
+                    run, first, keys = Held(), page, own
+                run.add(page)
+                last = page
+    yield from judged(None)
 
 
 def neighbours(ends: list[Row]) -> list[tuple[int, int]]:
@@ -257,10 +347,11 @@ def neighbours(ends: list[Row]) -> list[tuple[int, int]]:
     """
     out = []
     for i, to in enumerate(ends):
-        for side, others in (("last", ends[:i][::-1]), ("first", ends[i + 1 :])):
+        for side, step in (("last", -1), ("first", 1)):
             nearest = None
-            for other in others:
-                page, different = other[side], other[f"{side}_other"]
+            at = i + step
+            while 0 <= at < len(ends):
+                page, different = ends[at][side], ends[at][f"{side}_other"]
                 if nearest is None:
                     nearest = page
                     out.append((page["row"], to["bucket"]))
@@ -269,44 +360,53 @@ def neighbours(ends: list[Row]) -> list[tuple[int, int]]:
                 if different is not None and different["content"] != nearest["content"]:
                     out.append((different["row"], to["bucket"]))
                     break
+                at += step
     return out
 
 
+def bucket_edges(places: DataFrame, sample: int) -> Edges:
+    """Where buckets of about BUCKET bytes begin, by a sample of about `sample` rows per bucket."""
+    pages, size = places.agg(F.count("*"), F.sum("size")).first()
+    buckets = max(tasks(places.sparkSession), -(-(size or 0) // BUCKET))
+    share = min(1.0, sample * buckets / max(1, pages))
+    drawn = places.where(F.shiftrightunsigned(F.xxhash64("row"), 11) <= int(share * 2**53))
+    keys = sorted((r["host"], r["path"], r["row"], r["size"]) for r in drawn.drop("content").collect())
+    edges, upto, whole = [], 0, sum(k[3] for k in keys)
+    for *key, own in keys:
+        if upto * buckets >= (len(edges) + 1) * whole:
+            edges.append(tuple(key))
+        upto += own
+    return edges
+
+
 def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> DataFrame:
     """`page_id`, `url` and main `text` of every page.
 
-    Pages are ordered by host, path and row and cut into buckets of about equal size by the
-    keys of a sample of `sample` rows per task; the sample decides the sizes only. The last
-    page of a bucket, and the last of other content than that, also go to the next one, and
-    the first ones to the one before, so each page meets its neighbours in the whole order:
-    a host of a third of all pages is many buckets. Bounds come from the URLs alone, other
-    content is told by the pages without tags; pages are parsed and shuffled once. Null html
-    is empty and gives empty text, null or odd URLs are a host of their own, repeated rows
-    are compared as neighbours and found to be copies, an empty table gives no rows.
+    Pages are ordered by host, path and row and cut into buckets of about equal bytes by the
+    keys of a sample of `sample` rows per bucket; the sample decides the sizes only. A bucket
+    is a task. The last page of a bucket, and the last of other content than that, also go
+    to the next one, and the first ones to the one before, so each page meets its neighbours
+    in the whole order: a host of a third of all pages is many buckets. Bounds come from the
+    URLs and sizes alone, other content is told by the pages without tags; pages are parsed
+    and shuffled once. Null html is empty and gives empty text, null or odd URLs are a host
+    of their own, repeated rows are compared as neighbours and found to be copies, a run of
+    copies of any length waits in a file, very long pages are read whole, ties in the order
+    go by row number, other columns play no part, an empty table gives no rows.
     """
     space = Workspace(spark, "pages")
     rows = numbered(pages).select(
         F.col(ROW).alias("row"), F.col("page_id").cast("long"), F.col("url").cast("string"), "html"
     )
     content = F.xxhash64(F.regexp_replace("html", "<[^>]*>", "")).alias("content")
-    places = space.save(
-        rows.select("row", "url", content).mapInArrow(located, "row long, host string, path string, content long")
-    )
-    buckets = tasks(spark)
-    key = F.struct("host", "path", "row")
-    share = min(1.0, sample * buckets / max(1, places.count()))
-    drawn = places.where(F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < int(share * 1_000_000)).collect()
-    drawn = sorted((r["host"], r["path"], r["row"]) for r in drawn)
-    edges = [drawn[len(drawn) * i // buckets] for i in range(1, buckets)] if drawn else []
-    bounds = F.array(*(F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(r).alias("row")) for h, p, r in edges))
-    bucket = (F.size(F.filter(bounds, lambda e: e <= key)) if edges else F.lit(0)).alias("bucket")
+    size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("long").alias("size")
+    places = space.save(rows.select("row", "url", content, size).mapInArrow(located, PLACE))
+    edges = bucket_edges(places, sample)
+    in_buckets = places.mapInArrow(bucketed(edges), f"{PLACE}, bucket int")
     page = F.struct("host", "path", "row", "content")
-    ends = places.groupBy(bucket).agg(F.min(page).alias("first"), F.max(page).alias("last"))
-    others = (F.when(F.col("content") != F.col(f"{side}.content"), page) for side in ("first", "last"))
-    first_other, last_other = others
+    ends = space.save(in_buckets.groupBy("bucket").agg(F.min(page).alias("first"), F.max(page).alias("last")))
+    first_other, last_other = (F.when(F.col("content") != F.col(f"{side}.content"), page) for side in ("first", "last"))
     ends = (
-        places.withColumn("bucket", bucket)
-        .join(F.broadcast(ends), "bucket")  # a row per bucket
+        in_buckets.join(F.broadcast(ends), "bucket")  # a row per bucket
         .groupBy("bucket", "first", "last")
         .agg(F.min(first_other).alias("first_other"), F.max(last_other).alias("last_other"))
         .orderBy("bucket")
@@ -314,13 +414,13 @@ def main_texts(spark: SparkSession, pages: DataFrame, sample: int = 100) -> Data
     )
     copies = spark.createDataFrame(neighbours(ends), "row long, other int")  # four rows per bucket at most
     copies = copies.groupBy("row").agg(F.collect_list(F.struct(F.col("other").alias("bucket"), F.lit(True).alias("halo"))).alias("others"))
-    own = F.array(F.struct(bucket, F.lit(False).alias("halo")))
+    own = F.array(F.struct("bucket", F.lit(False).alias("halo")))
     dealt = (
-        rows.mapInArrow(parsed, PAGE)
+        rows.mapInArrow(parsed(edges), PAGE)
         .join(F.broadcast(copies), "row", "left")
         .withColumn("to", F.explode(F.when(F.col("others").isNull(), own).otherwise(F.concat(own, "others"))))
         .select("row", "page_id", "url", "host", "path", "lines", "to.bucket", "to.halo")
-        .repartition(buckets, "bucket")
+        .repartitionById(len(edges) + 1, "bucket")
         .sortWithinPartitions("bucket", "host", "path", "row")
     )
     return dealt.mapInArrow(differenced, "page_id long, url string, text string")
