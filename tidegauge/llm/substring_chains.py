@@ -531,10 +531,12 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     rows = numbered(docs)
     texts = rows.select(F.col(ROW).alias("row"), whole_text(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(4 * tasks(spark), size // (BYTES * BUCKET))
-    seeds = texts.mapInArrow(seeded(buckets), DEALT).repartition("bucket").sortWithinPartitions("bucket", "first")
+    parts = tasks(spark)
+    buckets = max(parts, size // (BYTES * BUCKET))
+    part = F.col("bucket") % parts
+    seeds = texts.mapInArrow(seeded(buckets), DEALT).repartitionById(parts, part).sortWithinPartitions("bucket", "first")
     found = space.save(seeds.mapInArrow(matched_first(buckets), DEALT))
-    chains = space.save(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(chained, CHAINS))
+    chains = space.save(found.repartitionById(parts, part).sortWithinPartitions("bucket").mapInArrow(chained, CHAINS))
     space.free(found)
 
     def request(target: str, places: str, side: int) -> DataFrame:
@@ -550,14 +552,23 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
         )
 
     requests = request("row", "places", 0).unionByName(request("other", "other_places", 1))
-    lots = requests.groupBy("target").agg(F.ceil(F.count("*") / REQUESTS).alias("lots"))
-    lot = F.pmod(F.xxhash64("request.row", "request.number"), F.col("lots"))
+    often = requests.groupBy("target").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("lots")).where("lots > 1")
+    often = space.save(often)  # few, so Spark sees that it can be broadcast
+    lots = F.coalesce("lots", F.lit(1))
+    lot = F.pmod(F.xxhash64("request.row", "request.number"), lots).cast("int")
     grouped = (
-        requests.join(lots, "target")
-        .groupBy(F.col("target").alias("row"), lot.alias("lot"))
+        requests.join(often, "target", "left")
+        .select(F.col("target").alias("row"), lot.alias("lot"), "request")
+        .repartition("row", "lot")
+        .groupBy("row", "lot")
         .agg(F.collect_list("request").alias("requests"))  # about REQUESTS of them
     )
-    pieces = space.save(texts.join(grouped, "row").select("text", "requests").mapInArrow(cut_words, PIECES))
+    in_lots = (
+        texts.join(often.withColumnRenamed("target", "row"), "row", "left")
+        .withColumn("lot", F.explode(F.sequence(F.lit(0), lots - 1)))
+        .select("row", "lot", "text")
+    )
+    pieces = space.save(in_lots.join(grouped, ["row", "lot"]).select("text", "requests").mapInArrow(cut_words, PIECES))
     own_words = pieces.where("side = 0").select("row", "number", "low", "words")
     other_words = pieces.where("side = 1").select(
         "row", "number", F.col("low").alias("other_low"), F.col("words").alias("other_words")
