@@ -28,11 +28,12 @@ TABLE = bytes.maketrans(
 #: phrases: 16 MB. A rare phrase that falls on the bit of a frequent one is dropped by its count.
 BITS = 1 << 27
 BUCKET = 1 << 15
-#: Occurrences that are counted in a task before they are given on, words kept with their names,
-#: entries of a row of a relation.
-CHUNK = 2_000_000
-WORDS = 1_000_000
+#: Occurrences that are counted in a task before they are given on, words kept with their counts or
+#: names, entries of a row of a relation, and its rows that are joined at once.
+CHUNK = 1_000_000
+WORDS = 250_000
 ENTRIES = 32_768
+ROWS = 100
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,12 @@ def tokens(data: bytes) -> list[bytes]:
     return data.translate(TABLE).replace(END, b" " + END + b" ").split()
 
 
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def counted_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = {}
 
@@ -69,7 +76,7 @@ def counted_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
         counts.clear()
 
-    for batch in batches:
+    for batch in slices(batches):
         for lang, data in zip(batch[0], batch[1], strict=True):
             counts.setdefault(lang.as_py(), Counter()).update(tokens(data.as_py()))
         if sum(map(len, counts.values())) > WORDS:
@@ -91,9 +98,6 @@ class Names(dict):
         self[END] = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > WORDS:
-            self.clear()
-            self[END] = 0
         name = xxhash.xxh64_intdigest(word, seed=self.seed)
         bit = name % (8 * len(self.live))
         self[word] = name = name if self.live[bit >> 3] >> (bit & 7) & 1 else 0
@@ -119,26 +123,26 @@ def word_relation(salt: str, live: Broadcast) -> Callable[[Iterable[pa.RecordBat
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, Names] = {}
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                places, found, sizes = [], [], []
-                part = batch.slice(begin, 1000)
-                for lang, data in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
-                    if lang not in names:
-                        names[lang] = Names(salt, lang, live.value)
-                    words = tokens(data)
-                    name = np.fromiter(map(names[lang].__getitem__, words), np.uint64, len(words))
-                    at = np.flatnonzero(name)
-                    step = np.diff(at) == 1
-                    at = at[np.r_[False, step] | np.r_[step, False]] if len(at) else at
-                    if len(at):
-                        places.append(at)
-                        found.append(name[at])
-                        ends = np.flatnonzero(np.diff(at) > 1) + 1
-                        cuts = np.unique(ends[np.searchsorted(ends, np.arange(ENTRIES, ends[-1], ENTRIES))]) if len(ends) else ends
-                        sizes += np.diff(np.r_[0, cuts, len(at)]).tolist()
-                if sizes:
-                    yield relation(np.concatenate(places), np.concatenate(found), np.r_[0, np.cumsum(sizes)[:-1]])
+        for part in slices(batches):
+            places, found, sizes = [], [], []
+            if sum(map(len, names.values())) > WORDS:
+                names.clear()
+            for lang, data in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
+                if lang not in names:
+                    names[lang] = Names(salt, lang, live.value)
+                words = tokens(data)
+                name = np.fromiter(map(names[lang].__getitem__, words), np.uint64, len(words))
+                at = np.flatnonzero(name)
+                step = np.diff(at) == 1
+                at = at[np.r_[False, step] | np.r_[step, False]] if len(at) else at
+                if len(at):
+                    places.append(at)
+                    found.append(name[at])
+                    ends = np.flatnonzero(np.diff(at) > 1) + 1
+                    cuts = np.unique(ends[np.searchsorted(ends, np.arange(ENTRIES, ends[-1], ENTRIES))]) if len(ends) else ends
+                    sizes += np.diff(np.r_[0, cuts, len(at)]).tolist()
+            if sizes:
+                yield relation(np.concatenate(places), np.concatenate(found), np.r_[0, np.cumsum(sizes)[:-1]])
 
     return run
 
@@ -173,7 +177,7 @@ def counted_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
     size = 0
-    for batch in batches:
+    for batch in slices(batches):
         _, left, right, _ = neighbours(batch)
         held.append((left, right))
         size += len(left)
@@ -188,7 +192,7 @@ def longer_relation(live: Broadcast) -> Callable[[Iterable[pa.RecordBatch]], Ite
     """The relation of the next length: pairs whose phrase is frequent and that have a neighbour of their kind."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at, left, right, row = neighbours(batch)
             name = joined_name(left, right)
             bit = (name % np.uint64(8 * len(live.value))).astype(np.int64)
