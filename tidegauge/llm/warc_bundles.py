@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import ROW, numbered, whole_text
+from .common import ROW, numbered, tasks, whole_text
 
 #: Payloads from this size are stored once.
 LEAST = 100
@@ -285,8 +285,10 @@ def read_archives(spark: SparkSession, folder: str, index: DataFrame | None = No
     are not as their digests say, and bundles without a seek table, fail the read.
     """
     index = read_index(spark, folder) if index is None else index
+    # so many tasks whatever the bytes of the list, as the work is in the frames
+    dealt = index.repartition(tasks(spark), "bundle", "frame")
     frames = (
-        index.groupBy("bundle", "frame")
+        dealt.groupBy("bundle", "frame")
         .agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("places"))  # bounded by the frame
         .sortWithinPartitions("bundle", "frame")
     )
