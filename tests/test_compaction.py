@@ -1,15 +1,13 @@
-"""Merging the batches of past days while ingest goes on."""
+"""Closed days of the ingest table in few files; scans that list their days only."""
 
 from datetime import timedelta
 
-import pytest
-
 from helpers import T0, metric
 from test_streaming import drop_file, forget_last_commit, ingest
 from tidegauge.operators import window_metrics
 from tidegauge.sinks import write_insights
 from tidegauge.sources import latest_metrics, read_insights, read_quarantine, scan_metrics
-from tidegauge.streaming import compact, compact_metrics
+from tidegauge.streaming import compact_metrics, scan_compacted
 
 DAY = 86400.0
 AFTER = T0 + timedelta(days=2)
@@ -30,37 +28,33 @@ def three_batches(spark, tmp_path):
 ALL = sorted(f"{day}{number}" for day in range(3) for number in range(3))
 
 
-def batches_of(spark, table, day):
-    return compact.batches(spark, table)[f"quality=valid/event_date=2024-01-0{day + 1}"]
+def merged_files(target):
+    return sorted(p.parent.relative_to(target).as_posix() for p in target.rglob("*.parquet"))
 
 
-def test_past_days_are_merged_and_the_newest_batch_is_left(spark, tmp_path):
-    table = three_batches(spark, tmp_path)
-    assert ids(spark, table) == ALL
-    assert compact_metrics(spark, table, AFTER) == 3  # two days, and the messages without one
-    assert ids(spark, table) == ALL
-    assert [len(batches_of(spark, table, day)) for day in range(3)] == [2, 2, 3]
-    assert read_quarantine(spark, table).count() == 3
-    assert compact_metrics(spark, table, AFTER) == 0
+def test_closed_days_are_few_files_and_the_table_stays(spark, tmp_path):
+    table, target = three_batches(spark, tmp_path), tmp_path / "closed"
+    for _ in range(2):  # a rerun changes nothing
+        compact_metrics(spark, table, str(target), AFTER)
+        assert merged_files(target) == [f"quality=valid/event_date=2024-01-0{day}/batch=merged" for day in (1, 2)]
+    assert ids(spark, table) == ALL and read_quarantine(spark, table).count() == 3
+    assert ids(spark, str(target)) == [i for i in ALL if i[0] in "01"]
+    assert sorted(r._id for r in scan_compacted(spark, table, str(target), AFTER).collect()) == ALL
+    some = scan_compacted(spark, table, str(target), AFTER, T0 + timedelta(days=1), T0 + timedelta(days=2, seconds=1))
+    assert sorted(r._id for r in some.collect()) == ["10", "11", "12", "20"]
 
 
-def test_a_replay_after_a_merge_doubles_nothing(spark, tmp_path):
-    table = three_batches(spark, tmp_path)
-    compact_metrics(spark, table, AFTER)
+def test_late_rows_and_replays_go_in_with_the_next_run(spark, tmp_path):
+    table, target = three_batches(spark, tmp_path), str(tmp_path / "closed")
+    compact_metrics(spark, table, target, AFTER)
     forget_last_commit(tmp_path / "state")
     ingest(spark, tmp_path / "in", tmp_path)
-    assert ids(spark, table) == ALL
-
-
-def test_late_rows_join_the_merged_ones(spark, tmp_path):
-    table = three_batches(spark, tmp_path)
-    compact_metrics(spark, table, AFTER)
-    for number in (3, 4):
-        drop_file(tmp_path / "in", str(number), [metric("late", number, id_=f"0{number}")])
-        ingest(spark, tmp_path / "in", tmp_path)
-    assert compact_metrics(spark, table, AFTER) >= 1
-    assert ids(spark, table) == sorted([*ALL, "03", "04"])
-    assert len(batches_of(spark, table, 0)) == 2
+    drop_file(tmp_path / "in", "3", [metric("late", 3, id_="03"), metric("late", DAY + 3, id_="13")])
+    ingest(spark, tmp_path / "in", tmp_path)
+    compact_metrics(spark, table, target, AFTER, first=T0 + timedelta(days=1))
+    assert ids(spark, target) == sorted([*(i for i in ALL if i[0] in "01"), "13"])  # day 0 was left
+    compact_metrics(spark, table, target, AFTER)
+    assert sorted(r._id for r in scan_compacted(spark, table, target, AFTER).collect()) == sorted([*ALL, "03", "13"])
 
 
 def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
@@ -72,34 +66,6 @@ def test_a_new_checkpoint_replaces_nothing(spark, tmp_path):
     assert ids(spark, table) == sorted([*ALL, "new"])
 
 
-@pytest.mark.parametrize("stop", ["write_text", "exchange", "remove_dir"])
-def test_a_merge_that_was_stopped_is_finished_by_the_next(spark, tmp_path, monkeypatch, stop):
-    table = three_batches(spark, tmp_path)
-    calls = []
-
-    def fail(spark_, path, *rest):
-        calls.append(path)
-        if stop != "remove_dir" or len(calls) == 3:
-            raise RuntimeError("stopped")
-        return original(spark_, path, *rest)
-
-    original = getattr(compact, stop)
-    with monkeypatch.context() as patched:
-        patched.setattr(compact, stop, fail)
-        with pytest.raises(RuntimeError):
-            compact_metrics(spark, table, AFTER)
-    if stop != "remove_dir":
-        assert ids(spark, table) == ALL
-    compact_metrics(spark, table, AFTER)
-    assert ids(spark, table) == ALL
-    assert read_quarantine(spark, table).count() == 3
-    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_merge")]
-
-
-def test_an_empty_table_has_nothing_to_merge(spark, tmp_path):
-    assert compact_metrics(spark, str(tmp_path / "none"), AFTER) == 0
-
-
 def test_only_the_days_of_a_range_are_listed(spark, tmp_path):
     table = three_batches(spark, tmp_path)
     out = scan_metrics(spark, table, T0 + timedelta(days=1), T0 + timedelta(days=1, hours=1))

@@ -57,7 +57,7 @@ def test_read_back_alerts_and_order(spark, tmp_path):
     path = str(tmp_path / "t")
     frame = [insight("b", 1, alerts=["x"]), insight("a", 1), insight("a", 0), insight("a", 2, alerts=None)]
     write_insights(insights(spark, frame), path)
-    out = read_insights(spark, path).collect()
+    out = read_insights(spark, path, ordered=True).collect()
     assert [(r.device_id, r.period_start.hour) for r in out] == [("a", 2), ("a", 1), ("b", 1), ("a", 0)]
     assert [r.alerts for r in out] == [None, [], ["x"], []]
 

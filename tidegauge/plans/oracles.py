@@ -222,6 +222,7 @@ ORDER BY max(period_end) DESC, device_id""",
 SELECT period_end, {each("avg_{m}", "avg_{m}")}
 FROM insights WHERE device_id = 'dev01' ORDER BY period_end""",
     "insights_lookback": f"{FLAT} WHERE period_end >= TIMESTAMP '2024-01-30 00:00:00'",
+    "insights_text_bounds": f"{FLAT} WHERE period_end >= TIMESTAMP '2024-01-30 00:00:00'",
     "insights_rerun": FLAT,
     "insights_table": FLAT,
     "stored_rows": f"""{HOURLY}

@@ -19,6 +19,7 @@ from ..streaming import (
     ingest_metrics,
     live_tail,
     read_live_tail,
+    scan_compacted,
     start_insights,
     stream_insights,
 )
@@ -136,6 +137,18 @@ def insights_lookback(spark, sf_dir):
     return flat(read_insights(spark, target, LOOKBACK_HOURS, END))
 
 
+def insights_text_bounds(spark, sf_dir):
+    """The same from a table that holds times as texts and alerts as JSON, as an export of a database does."""
+    rows = windows(spark, sf_dir)
+    bounds = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("period_start", "period_end")]
+    others = [c for c in rows.columns if c not in ("period_start", "period_end", "alerts")]
+    path = scratch_dir(spark, "exported")
+    rows.select(*others, *bounds, F.to_json("alerts").alias("alerts")).write.parquet(path)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    return flat(read_insights(spark, name, LOOKBACK_HOURS, END))
+
+
 def insights_rerun(spark, sf_dir):
     """The stored table after writing all periods twice: nothing is doubled."""
     target = scratch_dir(spark, "insights")
@@ -265,15 +278,16 @@ def stream_ingest(spark, sf_dir):
 
 
 def stream_compacted(spark, sf_dir):
-    """All events in four micro-batches, of which those of past days are merged afterwards."""
+    """All events in four micro-batches: closed days from the table of merged ones, the others as they came."""
     path, checkpoint = scratch_dir(spark, "metrics"), scratch_dir(spark, "ingest-state")
+    closed, before = scratch_dir(spark, "closed"), ODD_END
     folder = scratch_dir(spark, "messages")
     messages = as_messages(metrics(spark, sf_dir))
     messages.repartition(4).write.parquet(folder)
     stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     ingest_metrics(decode_messages(stream), path, checkpoint, ONCE).awaitTermination()
-    compact_metrics(spark, path, END)
-    return scan_metrics(spark, path)
+    compact_metrics(spark, path, closed, before)
+    return scan_compacted(spark, path, closed, before)
 
 
 def stream_quarantine(spark, sf_dir):
@@ -402,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "device_insights": device_insights,
     "insight_series": insight_series,
     "insights_lookback": insights_lookback,
+    "insights_text_bounds": insights_text_bounds,
     "insights_rerun": insights_rerun,
     "insights_table": insights_table,
     "stored_rows": stored_rows,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -17,7 +18,7 @@ from ..schemas import (
     INSIGHT_SCHEMA,
     INSIGHT_TABLE_SCHEMA,
 )
-from ..session import ADAPTIVE, setting, use_table_settings
+from ..session import ADAPTIVE, remove_dir, setting, subfolders, use_table_settings
 
 
 # Tasks per period where AQE cannot split one.
@@ -157,14 +158,15 @@ def rejects_folder(target: str, rejects: str | None) -> str | None:
 
 
 def clear_periods(spark: SparkSession, path: str, periods: Iterable[tuple[datetime, datetime]], keep: set[str]) -> None:
-    """Remove the stored periods of a run that it has not written this time."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for start, end in periods if files.exists(root) else ():
+    """Remove the stored periods of a run that it has not written this time; lists the folders of its days only."""
+    gone: dict[str, set[str]] = defaultdict(set)
+    for start, end in periods:
         key = f"{epoch_micros(start)}-{epoch_micros(end)}"
         if key not in keep:
-            files.delete(jvm.org.apache.hadoop.fs.Path(root, f"period_date={utc_day(end)}/period_key={key}"), True)
+            gone[f"period_date={utc_day(end)}"].add(f"period_key={key}")
+    for day, keys in gone.items():
+        for key in keys.intersection(subfolders(spark, f"{path}/{day}")):
+            remove_dir(spark, f"{path}/{day}/{key}")
 
 
 def write_checked(
@@ -191,17 +193,22 @@ def write_checked(
     flagged = flag_rows(insights, INSIGHT_REQUIRED, INSIGHT_SCHEMA).persist()
     good, bad = flagged.where(F.col("reason").isNull()), flagged.where(F.col("reason").isNotNull())
     try:
-        rows, refused = flagged.agg(F.count("*"), F.count("reason")).first()
+        periods = list(periods) if "/" in target and not target.startswith("jdbc:") else []
+        counts = F.count("*").alias("rows"), F.count("reason").alias("refused")
+        if periods:  # a row per period of the run
+            found = with_period_key(flagged).groupBy("period_key").agg(*counts).collect()
+        else:
+            found = flagged.agg(*counts).collect()
+        rows, refused = (sum(r[c] for r in found) for c in ("rows", "refused"))
         if refused and rejects is None:
             raise ValueError(f"{refused} insights lack a required column; name a folder for `rejects`")
         if rows > refused:
             store(good, target, **options)
         if refused:
             write_periods(with_period_key(bad), rejects)
-        periods = list(periods) if "/" in target and not target.startswith("jdbc:") else []
-        for part, folder in ((good, target), (bad, rejects)) if periods else ():
-            written = with_period_key(part).select("period_key").distinct().collect()  # within `periods`
-            clear_periods(spark, folder, periods, {r["period_key"] for r in written})
+        if periods:
+            clear_periods(spark, target, periods, {r["period_key"] for r in found if r["rows"] > r["refused"]})
+            clear_periods(spark, rejects, periods, {r["period_key"] for r in found if r["refused"]})
     finally:
         flagged.unpersist()
     return rows > refused

@@ -54,14 +54,15 @@ def read_insights(
     table: str = "device_insights",
     partitions: int = 1,
     latest_only: bool | None = None,
-    ordered: bool = True,
+    ordered: bool | None = None,
     **properties: str,
 ) -> DataFrame:
-    """Insights whose period ended in the last `hours` before `as_of`, newest first.
+    """Insights whose period ended in the last `hours` before `as_of`, newest first; or all, in no order.
 
     `source` is a folder, a catalog table or a `jdbc:` URL (`table`, `partitions` and
     `properties` go to the driver). With `hours`, only the days of a folder that they touch are
-    listed; without, everything is read and sorted unless `ordered=False`. `latest_only` drops
+    listed; without, everything is read. Only a bounded read is sorted unless `ordered` says
+    otherwise: a whole table would be sorted by its readers' own needs. `latest_only` drops
     rows that a later run of the same period replaced; by default it does so for JDBC, where
     every rerun appends. Columns held as text are converted, alerts from JSON.
     """
@@ -97,6 +98,6 @@ def read_insights(
     if latest_only and "created_at" in extra:
         kept = newest_versions(kept)
     typed = kept.select(*INSIGHT_SCHEMA.names)
-    if not ordered:
+    if not (begin is not None if ordered is None else ordered):
         return typed
     return typed.orderBy(F.desc("period_end"), "device_id", F.desc("period_start"))

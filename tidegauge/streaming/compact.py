@@ -1,114 +1,42 @@
-"""Merge the many small batches of past days of the metrics table."""
+"""Closed days of the metrics table, in few files."""
 
 from __future__ import annotations
 
-import uuid
-from collections import defaultdict
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import utc_day
 from ..schemas import METRIC_PARTITIONS, METRIC_TABLE_SCHEMA
-from ..session import file_system, remove_dir, setting, subfolders, use_table_settings
-
-MERGED = "merged_"
-STAGED = "_merge-"
-NO_DAY = "event_date=__HIVE_DEFAULT_PARTITION__"
-
-
-def batches(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Batches of each day of the table, by the folder of the day below `path`."""
-    qualities = [q for q in subfolders(spark, path) if q.startswith("quality=")]
-    days = [f"{q}/{day}" for q in qualities for day in subfolders(spark, f"{path}/{q}")]
-    return {day: [b.removeprefix("batch=") for b in subfolders(spark, f"{path}/{day}")] for day in days}
-
-
-def newest_numbers(names: list[str]) -> dict[str, int]:
-    """The newest batch number of each stream."""
-    newest: dict[str, int] = defaultdict(int)
-    for name in names:
-        if not name.startswith(MERGED):
-            stream, number = name.rsplit("-", 1)
-            newest[stream] = max(newest[stream], int(number))
-    return newest
-
-
-def is_final(name: str, newest: dict[str, int]) -> bool:
-    if name.startswith(MERGED):
-        return True
-    stream, number = name.rsplit("-", 1)
-    return int(number) < newest[stream]
-
-
-def final_rows(table: DataFrame, newest: dict[str, int]) -> DataFrame:
-    """`is_final` for rows; a stream that began after the folders were listed has none."""
-    batch, number = F.col("batch"), F.substring_index("batch", "-", -1).try_cast("long")
-    older = [batch.startswith(f"{stream}-") & (number < n) for stream, n in newest.items()]
-    return table.where(reduce(lambda a, b: a | b, older, batch.startswith(MERGED)))
-
-
-def write_text(spark: SparkSession, path: str, lines: list[str]) -> None:
-    """A small file that is there as a whole or not at all."""
-    files, part = file_system(spark, f"{path}.part")
-    out = files.create(part, True)
-    out.write(bytearray("\n".join(lines).encode()))
-    out.close()
-    files.rename(part, file_system(spark, path)[1])
-
+from ..session import ADAPTIVE, setting, use_table_settings
+from ..sources.metrics import scan_metrics
 
-def exchange(spark: SparkSession, path: str, staging: str) -> None:
-    """Put merged days in the place of the batches they hold; the same again changes nothing."""
-    files, listed = file_system(spark, f"{staging}/sources.txt")
-    if files.exists(listed):
-        for row in spark.read.text(f"{staging}/sources.txt").collect():  # days and batches, no data
-            day, *names = row.value.split("\t")
-            for name in names:
-                remove_dir(spark, f"{path}/{day}/batch={name}")
-            for merged in subfolders(spark, f"{staging}/rows/{day}"):
-                source, target = (file_system(spark, f"{root}/{day}/{merged}")[1] for root in (f"{staging}/rows", path))
-                if not files.rename(source, target):
-                    raise OSError(f"could not move {source} to {target}")
-    remove_dir(spark, staging)
+MERGED = "merged"
 
 
-def compact_metrics(spark: SparkSession, path: str, before, least: int = 2) -> int:
-    """Merge the batches of each day before `before`, sorted by time; the number of days merged.
+def compact_metrics(spark: SparkSession, path: str, target: str, before, first=None) -> None:
+    """Write the days from `first` up to, not including, that of `before` to the table at `target`.
 
-    All days are one job; a day too large for one task is split. Days with fewer than `least`
-    batches stay as they are; rejected messages without a time count as one past day. Ingest
-    may go on meanwhile: the newest batch of each stream, the only one it can replay, is left
-    out. The merged rows are written aside, then the batches they come from are
-    listed, then day by day the ones take the place of the others. A run that is stopped
-    before the list leaves the table as it was, after it the next run completes the
-    exchange, so no row is lost or doubled. Run one at a time; a query that opens a day
-    during its exchange can fail or miss its rows, and has to be run again.
+    The ingest table at `path` stays as it is, so readers of it never miss a row. All days are
+    one job; a day too large for one task is split, rows are sorted by time. A day in `target`
+    is replaced as a whole: a rerun changes nothing, and takes in rows that came late. Days
+    without rows are left as they are; rejected messages without a time stay in `path` only.
     """
     use_table_settings(spark)
-    path = path.rstrip("/")
-    for name in subfolders(spark, path):
-        if name.startswith(STAGED):
-            exchange(spark, path, f"{path}/{name}")
-    found = batches(spark, path)
-    newest = newest_numbers([name for names in found.values() for name in names])
-    end = f"event_date={utc_day(before)}"
-    sources = {
-        day: final
-        for day, names in found.items()
-        if (day.endswith(NO_DAY) or day.rsplit("/", 1)[1] < end)
-        and len(final := [name for name in names if is_final(name, newest)]) >= least
-    }
-    if not sources:
-        return 0
-    token = uuid.uuid4().hex
-    staging = f"{path}/{STAGED}{token}"
-    days = spark.read.schema(METRIC_TABLE_SCHEMA).option("basePath", path).parquet(*(f"{path}/{day}" for day in sources))
+    day = F.col("event_date")
+    closed = day < F.lit(utc_day(before))
+    if first is not None:
+        closed &= day >= F.lit(utc_day(first))
     *by_day, _ = METRIC_PARTITIONS
-    merged = final_rows(days, newest).drop("batch").hint("rebalance", *by_day)
-    merged = merged.sortWithinPartitions(*by_day, "event_time").withColumn("batch", F.lit(f"{MERGED}{token}"))
-    with setting(spark, "spark.sql.adaptive.enabled", "true"):
-        merged.write.partitionBy(*METRIC_PARTITIONS).parquet(f"{staging}/rows")
-    write_text(spark, f"{staging}/sources.txt", ["\t".join([day, *names]) for day, names in sources.items()])
-    exchange(spark, path, staging)
-    return len(sources)
+    rows = spark.read.schema(METRIC_TABLE_SCHEMA).parquet(path).where(closed).drop("batch").hint("rebalance", *by_day)
+    rows = rows.sortWithinPartitions(*by_day, "event_time").withColumn("batch", F.lit(MERGED))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    with setting(spark, ADAPTIVE, "true"):
+        writer.partitionBy(*METRIC_PARTITIONS).parquet(target)
+
+
+def scan_compacted(spark: SparkSession, path: str, target: str, before, start=None, end=None) -> DataFrame:
+    """Valid metrics of `[start, end)`: those of days before that of `before` from `target`, the others from `path`."""
+    edge = utc_day(before).isoformat()
+    whole = [scan_metrics(spark, source, start, end) for source in (target, path)]
+    old, new = (F.col("event_time") < F.lit(edge).cast("timestamp"), F.col("event_time") >= F.lit(edge).cast("timestamp"))
+    return whole[0].where(old).unionByName(whole[1].where(new))

@@ -37,7 +37,7 @@ def ingest_metrics(
     there is no log of files that grows with the table. A new checkpoint is a new id. Files
     per batch are tasks times days in the batch. By default at most as many tasks as there are cores
     write what they read, without a shuffle; `writers` spreads the rows evenly over that many tasks
-    instead. `compact_metrics` merges the batches of past days; `options` go to the file
+    instead. `compact_metrics` writes closed days anew in few files; `options` go to the file
     writer, which has no `retention`.
     """
     if any(name.lower() == "retention" for name in options):
