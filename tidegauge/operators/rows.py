@@ -35,8 +35,13 @@ def flag_rows(
     schema: T.StructType = METRIC_SCHEMA,
     unit: str = "s",
 ) -> DataFrame:
-    """The input with `reason`: the first failing column, NULL for a good row."""
-    return df.withColumn("reason", reject_reason(df, required, schema, unit))
+    """The input with `reason`: the first failing column, NULL for a good row.
+
+    The reason is a generated column. Spark moves a filter on a plain one below the
+    projections before it, and would work out what they hold once per cast in the reason.
+    """
+    kept = df.drop("reason") if "reason" in df.columns else df
+    return kept.select("*", F.explode(F.array(reject_reason(df, required, schema, unit))).alias("reason"))
 
 
 def split_valid(
