@@ -25,7 +25,8 @@ BANDS = 32
 SHORT = 20
 #: Bits that tell by their differences how many labelled shingles two texts do not share, at least.
 BITS = 1024
-#: Texts of a band that one task compares with as many others by their bits.
+#: Texts of a band that one task compares with as many others by their bits; in a larger band only
+#: texts that share a rare shingle are compared.
 BLOCK = 1000
 #: Links of which one task makes components at once.
 LINKS = 1 << 18
@@ -204,27 +205,67 @@ def classes(space: Workspace, nodes: DataFrame, texts: DataFrame) -> DataFrame |
     return components(space, union(found).where("linked").select("left", "right"))
 
 
+def split_labels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per labelled shingle of each text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            labels = [np.frombuffer(x, "<i4") for x in part["labels"].to_pylist()]
+            nodes = np.repeat(part["node"].to_numpy(), [len(one) for one in labels])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(labels))], names=["node", "label"])
+
+
+def rare_keys(space: Workspace, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(`band`, `node`, `size`, `class`): the labelled shingles that tell a text from the others, as its keys.
+
+    All shingles are put in one order, the rarest first. Two texts of similarity 0.8 have one
+    in common among the first n - ceil(0.8 n) + 1 of either, so no link is without a key;
+    what only one text has is no key of two, and takes up much of these places where texts
+    drift apart. Shingles are numbers in the shuffles, each text's list is bounded by the text.
+    """
+    texts = nodes.join(labels.select("node", "labels"), "node").select("node", "labels")
+    each = space.save(texts.mapInArrow(split_labels, "node long, label int"))
+    shared = space.save(each.groupBy("label").agg(F.count("*").alias("n")).where("n > 1"))
+    per_text = each.join(shared, "label").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "label"))).alias("shared"))
+    first = F.col("size") - F.ceil(F.lit(SIMILARITY) * F.col("size") - 1e-9) + 2  # one more, as labels are 32 bits here
+    places = F.greatest(F.lit(0), first - (F.col("size") - F.size("shared"))).cast("int")
+    keys = nodes.join(per_text, "node").select(
+        "node", "size", "class", F.explode(F.slice("shared", F.lit(1), places)).alias("key")
+    )
+    return keys.select(F.col("key.label").cast("long").alias("band"), "node", "size", "class")
+
+
+def of_several_classes(keyed: DataFrame) -> DataFrame:
+    """Number of texts of each band that holds more than one class."""
+    found = keyed.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    return found.where("low <> high").select("band", "n")
+
+
 def unseen(space: Workspace, live: DataFrame, tops: DataFrame | None, labels: DataFrame) -> DataFrame:
     """Pairs (`left`, `right`) that share a band, are of different classes and may be alike.
 
-    Texts of similarity s share all but (1 - s) / (1 + s) of their labelled shingles, and
-    differ in no more bits. Pairs are held against that inside the join, which puts out what
-    passes, about one in 250 where a group drifts apart. Bands of one class need nothing;
-    the others are cut into blocks, and each pair of blocks is a key of its own, so that
-    no task gets a whole band.
+    Bands of one class need nothing. In a band of up to BLOCK texts all pairs of different
+    classes are held against each other, in a larger one those that share a rare shingle, so
+    that a large group that drifts apart does not cost the square of its size. Texts of
+    similarity s share all but (1 - s) / (1 + s) of their labelled shingles, and differ in
+    no more bits; pairs are held against that inside the join. Should so many texts share a
+    rare shingle, these are cut into blocks, and each pair of blocks is a key of its own, so
+    that no task gets a whole band.
     """
-    classed = live.drop("n").withColumn("class", F.col("node"))
+    classed = live.select("band", "node", "size", F.col("node").alias("class"))
     if tops is not None:
-        classed = live.drop("n").join(tops, "node", "left").withColumn("class", F.coalesce("top", "node")).drop("top")
-    mixed_bands = (
-        classed.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low <> high")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
+        classed = live.join(tops, "node", "left").select("band", "node", "size", F.coalesce("top", "node").alias("class"))
+    classed = space.save(classed)
+    bands = space.save(of_several_classes(classed))
+    keyed = classed.join(bands.where(F.col("n") <= BLOCK), "band").withColumn("blocks", F.lit(1)).drop("n")
+    large = bands.where(F.col("n") > BLOCK)
+    if not large.isEmpty():
+        nodes = space.save(classed.join(large, "band").select("node", "size", "class").distinct())
+        rare = space.save(rare_keys(space, nodes, labels))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+        keyed = keyed.unionByName(rare.join(of_several_classes(rare).select("band", blocks), "band"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = space.save(
-        classed.join(mixed_bands, "band").join(labels.select("node", "bits"), "node").withColumn("block", block)
-    )
+    rows = space.save(keyed.join(labels.select("node", "bits"), "node").withColumn("block", block))
 
     def side(name: str, own: str, other: str, others) -> DataFrame:
         columns = [F.col(c).alias(f"{name}_{c}") for c in ("size", "class", "bits")]
