@@ -9,7 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tidegauge.llm import hashing, order_minhash, suffix_blocks
+from tidegauge.llm import hashing, order_minhash, substring_chains, suffix_blocks
 from tidegauge.llm.block_names import drop_exact_copies, exact_groups
 from tidegauge.llm.common import Workspace
 from tidegauge.llm.hashing import common_places, labelled, mixed, rising, sliding_min
@@ -342,6 +342,24 @@ def test_a_passage_that_comes_again_in_its_text_is_found(spark, documents):
     assert all(r.start >= 160 and 40 <= r.other_start < r.other_end <= 120 for r in got)
 
 
+def test_passages_of_very_long_texts(spark, documents):
+    """A text of 60,000 words against one that changes too much in most of its middle, and against its copy."""
+    words, pick = prose(81, 60_000, LARGE).split(), random.Random(82)
+    other = [w if not 15_000 <= i < 50_000 or pick.random() > 0.8 else f"x{i}" for i, w in enumerate(words)]
+    assert len(other) > 16 * substring_chains.PART
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words)), (4, "la " * 50_000), (5, "la " * 40_000)]
+    got = fuzzy_passages(spark, documents(rows, files=1).coalesce(1)).collect()
+    spans = sorted((r.doc_id, r.other_doc_id, r.start, r.end) for r in got if r.doc_id in (2, 3))
+    assert (3, 1, 0, 60_000) in spans
+    parts = [s for s in spans if s[0] == 2]
+    assert min(s[2] for s in parts) == 0 and max(s[3] for s in parts) == 60_000
+    covered = np.zeros(60_000, bool)
+    for _, _, start, end in parts:
+        covered[start:end] = True
+    assert covered[:14_990].all() and covered[50_010:].all() and not covered[30_000:34_000].any()
+    assert {(r.doc_id, r.other_doc_id) for r in got if r.doc_id > 3} == {(5, 4)}
+
+
 def test_chains_are_the_best_by_all_chains():
     pick = random.Random(2)
     for _ in range(30):

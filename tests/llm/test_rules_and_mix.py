@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as spark_entry
 import corpus_pipeline
 from oracle import connect, difference
-from tidegauge.llm import gam, packing, page_diff
+from tidegauge.llm import gam, mixing, packing, page_diff
 from tidegauge.llm.hashing import common_places
 from tidegauge.llm.line_rules import Limits, apply_rules, base_counts, line_key, quality_report
 from tidegauge.llm.mixing import Mix, mixed_rows
@@ -237,6 +237,33 @@ def test_mixture_meets_its_limits_and_budgets(spark, documents):
     assert min(late) > 0.6 * max(late)
 
 
+@pytest.mark.parametrize("edge", [mixing.EDGE, 20, 1])
+def test_partial_epochs_end_where_the_budget_does(spark, documents, monkeypatch, edge):
+    """Shown documents against running sums over each source in plain Python; a small EDGE cuts blocks in blocks."""
+    monkeypatch.setattr(mixing, "EDGE", edge)
+    monkeypatch.setattr(mixing, "BLOCK_BITS", mixing.BLOCK_BITS if edge > 20 else 3)
+    rows = [(i, prose(i, i % 40), "large" if i % 3 else f"s{i % 7}") for i in range(1500)] + [(1, None, None), (2, "", None)]
+    docs, mix = documents(rows), Mix(budget=30_000)
+    placed = mixing.numbered(docs).select("doc_id", "source", "text", mixing.ROW, mixing.last_place().alias("place"))
+    plan = mixing.source_plan(mixing.Workspace(spark, "test"), mixing.numbered(docs), mix).collect()
+    budgets = {r["__source"]: (r.budget, r.tokens) for r in plan}
+    sources = defaultdict(list)
+    for r in placed.collect():
+        sources["" if r.source is None else f"={r.source}"].append((r.place, r[mixing.ROW], r.doc_id, len((r.text or "").split()) + 1))
+    want = Counter()
+    for source, held in sources.items():
+        budget, tokens = budgets[source]
+        assert tokens == sum(n for *_, n in held)
+        upto = 0
+        for _, _, doc, n in sorted(held):
+            upto += n
+            want[source, doc] += budget // tokens + (upto <= budget % tokens)
+    got = Counter()
+    for r in mixed_rows(spark, docs, mix).collect():
+        got["" if r.source is None else f"={r.source}", r.doc_id] += 1
+    assert +got == +want
+
+
 def test_mixture_of_nothing(spark, documents):
     assert mixed_rows(spark, documents([])).count() == 0
 

@@ -246,7 +246,9 @@ def scored_documents(
 
     Texts are read once, for their features; learning and scoring read the stored features.
     Null text counts as empty and is scored like any text. A label given several times is
-    averaged, a null one ignored; without any usable label all scores are one half.
+    averaged, a null one ignored; without any usable label all scores are one half. Very
+    long texts are measured whole; repeated rows are scored each; an empty table gives no
+    rows; other columns, whatever their names, play no part.
     """
     space = Workspace(spark, "quality")
     texts = numbered(docs).select(F.col(ROW).alias("row"), F.col("doc_id").cast("long"), whole_text("text"))

@@ -16,6 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 STEPS = 5
 PASSES = 8
 BLOCK_BITS = 10
+PLACE_BITS = 63
+#: Documents that one task puts in order at most; a larger block is cut into smaller ones first.
+EDGE = 100_000
 #: More sources than this are joined by a shuffle; a row of the plan is under 200 bytes.
 BROADCAST_SOURCES = 50_000
 
@@ -50,8 +53,8 @@ def last_place() -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit("last"), ROW), 1)
 
 
-def last_block(place: str) -> Column:
-    return F.shiftright(place, 63 - BLOCK_BITS)
+def last_block(bits: int) -> Column:
+    return F.shiftright("place", PLACE_BITS - bits)
 
 
 def tempering(sources: DataFrame, mix: Mix) -> float:
@@ -92,13 +95,13 @@ def source_plan(space: Workspace, rows: DataFrame, mix: Mix) -> DataFrame:
     """Per source: tokens, weight, budget, whole epochs, and where its last, partial epoch ends.
 
     The partial epoch is the head of a permutation by hash. Its end is found by token sums
-    of 2^BLOCK_BITS hash blocks per source and, inside the one block where the budget runs
-    out, by running sums over documents: that block is the most one group holds.
+    of 2^BLOCK_BITS hash blocks per source, and of as many in the one block where the budget
+    runs out, until that block has at most EDGE documents; inside it, by running sums over
+    these. So the largest group is as large whatever the source.
     """
     placed = rows.select(ROW, source_key("source").alias("__source"), "text", last_place().alias("place"))
-    blocks = space.save(
-        placed.groupBy("__source", last_block("place").alias("block")).agg(F.sum(token_count("text")).alias("tokens"))
-    )
+    sums = F.sum(token_count("text")).alias("tokens"), F.count("*").alias("documents")
+    blocks = space.save(placed.groupBy("__source", last_block(BLOCK_BITS).alias("block")).agg(*sums))
     sources = space.save(blocks.groupBy("__source").agg(F.sum("tokens").alias("tokens")))
     power = F.pow(F.col("tokens").cast("double"), F.lit(tempering(sources, mix)))
     norm, thinnest = sources.agg(F.sum(power), F.min(power / F.col("tokens"))).first()
@@ -113,17 +116,23 @@ def source_plan(space: Workspace, rows: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("rest", F.col("budget") % F.col("tokens"))
     )
     ahead = Window.partitionBy("__source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("tokens").over(ahead), F.lit(0))
-    left = F.col("rest") - F.col("before")
-    edge = (
-        blocks.withColumn("before", before)
-        .join(plan.select("__source", "rest"), "__source")
-        .where((left >= 0) & (left < F.col("tokens")))
-        .select("__source", "block", left.alias("left"))
-    )
+
+    def edge_of(blocks: DataFrame, rest: DataFrame) -> DataFrame:
+        """The block of each source in which its rest runs out, and what is left of it there."""
+        left = F.col("rest") - F.coalesce(F.sum("tokens").over(ahead), F.lit(0))
+        held = blocks.join(rest, "__source").withColumn("left", left)
+        inside = held.where((F.col("left") >= 0) & (F.col("left") < F.col("tokens")))
+        return space.save(inside.select("__source", "block", "left", "documents"))
+
+    edge, bits = edge_of(blocks, plan.select("__source", "rest")), BLOCK_BITS
+    while bits + BLOCK_BITS <= PLACE_BITS and not edge.where(F.col("documents") > EDGE).isEmpty():
+        inside = placed.withColumn("block", last_block(bits)).join(few(edge.select("__source", "block")), ["__source", "block"])
+        bits += BLOCK_BITS
+        finer = space.save(inside.groupBy("__source", last_block(bits).alias("block")).agg(*sums))
+        edge = edge_of(finer, edge.select("__source", F.col("left").alias("rest")))
     running = Window.partitionBy("__source").orderBy("place", ROW).rowsBetween(Window.unboundedPreceding, 0)
     cut = (
-        placed.withColumn("block", last_block("place"))
+        placed.withColumn("block", last_block(bits))
         .join(few(edge), ["__source", "block"])
         .withColumn("so_far", F.sum(token_count("text")).over(running))
         .where(F.col("so_far") > F.col("left"))

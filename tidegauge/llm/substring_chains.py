@@ -40,6 +40,11 @@ FAR = 1 << 20
 BYTES = 10
 #: What a word between two seeds costs a chain, of the SEED a seed is worth.
 COST = 0.1
+#: Seeds of a chain of which the longest part is sought at once; a longer chain is halved, and what is
+#: found in both halves is one passage where it touches.
+PART = 1024
+#: Words by which a part of a chain is prolonged at most; what lies further is the next part's.
+REACH = 4096
 #: Passages of one text that are on the way together at most.
 REQUESTS = 256
 #: Passages of a text this close are one.
@@ -420,7 +425,11 @@ def widened(a: list[int], b: list[int], span: tuple[int, int, int, int, int]) ->
     another. If not even the words the sides have in common make a passage, it stays as it is.
     """
     start, end, other_start, other_end, matched = span
-    sides = (a[:start][-MARGIN:][::-1], b[:other_start][-MARGIN:][::-1]), (a[end:][:MARGIN], b[other_end:][:MARGIN])
+    before, other_before = max(0, start - MARGIN), max(0, other_start - MARGIN)
+    sides = (
+        (a[before:start][::-1], b[other_before:other_start][::-1]),
+        (a[end : end + MARGIN], b[other_end : other_end + MARGIN]),
+    )
     if matched + sum(len(set(x).intersection(y)) for x, y in sides) < IDENTITY * PASSAGE:
         return span
     back, forth = (
@@ -477,11 +486,14 @@ def alike(
         low, high = todo.pop()
         i, j = low, high - 1
         for part in ("whole", "longest"):
+            if part == "longest" and high - low > PART:
+                break
             if part == "longest":
                 i, j = (low + n for n in longest(x[low:high], y[low:high], upto[low:high]))
             start, end, other_start, other_end = x[i], x[j] + SHORT, y[i], y[j] + SHORT
             matched = upto[j] - upto[i] + SHORT
-            back, forth = extended(a[:start][::-1], b[:other_start][::-1]), extended(a[end:], b[other_end:])
+            back = extended(a[max(0, start - REACH) : start][::-1], b[max(0, other_start - REACH) : other_start][::-1])
+            forth = extended(a[end : end + REACH], b[other_end : other_end + REACH])
             longer = start - back[0], end + forth[0], other_start - back[1], other_end + forth[1], matched + back[2] + forth[2]
             spans = [longer, (start, end, other_start, other_end, matched)]
             found = next((s for s in spans if s[4] >= IDENTITY * max(s[1] - s[0], s[3] - s[2])), None)
@@ -491,6 +503,10 @@ def alike(
                     found = wider
             if found is not None:
                 break
+        if found is None:
+            middle = (low + high) // 2
+            todo += [(low, middle), (middle, high)]
+            continue
         yield tuple(int(v) for v in (found[0] + low_a, found[1] + low_a, found[2] + low_b, found[3] + low_b, found[4]))
         left = low + int(np.searchsorted(x[low:i], found[0] - NEAR - SHORT))
         right = j + 1 + int(np.searchsorted(x[j + 1 : high], found[1] + NEAR, side="right"))
@@ -524,8 +540,10 @@ def fuzzy_passages(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     of the passage is like it, and in how many `spans`. The first text with a passage is the
     one that others refer to.
 
-    Null text has no words; texts under PASSAGE words have no passage; repeated rows are
-    copies of the first; other columns play no part; an empty table gives no rows.
+    Null text has no words; texts under PASSAGE words have no passage; a text of any length
+    is read whole, its seeds in parts; repeated rows are copies of the first; of equal
+    choices the first by row number and place is taken; other columns play no part; an
+    empty table gives no rows.
     """
     space = Workspace(spark, "chains")
     rows = numbered(docs)

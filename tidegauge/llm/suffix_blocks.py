@@ -374,6 +374,10 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text") ->
     Parts of a split bucket compare their own windows and pass on one window per class with
     two 64-bit fingerprints, which are then counted over all parts, so that a passage in a
     third of all documents is one fingerprint per part. No window is left out.
+
+    Null text is empty; a very long text is many runs, in many parts; repeated rows repeat
+    each other; ties between equal windows do not matter, as all of them are spans; other
+    columns play no part; an empty table gives no rows.
     """
     space = Workspace(spark, "suffixes")
     data = F.encode(whole_text(text), "UTF-8").alias("data")
