@@ -20,15 +20,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass, without the lines that are too frequent in their source."""
+    """Documents that pass, without the lines that are too frequent in their source; one of each group of near copies."""
     return apply_rules(spark, docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of those whose texts are equal after lower-casing A-Z, the one with the largest id."""
     return drop_exact_copies(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one with the least id."""
     return drop_near_copies(spark, docs)
 
 
