@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,46 @@ def test_operators_survive_another_number_of_cores_between_their_parts(spark, tm
     assert any("n_removed=0" not in r for r in before[0]) and before[1]
 
 
+@pytest.mark.parametrize("load", [1.0, 1.25])
+def test_rows_sit_where_a_walk_of_each_row_ends(spark, documents, load):
+    """Rows walk clockwise one by one, all slices a node further each time, until a shard has room."""
+    rows = [(i, "x") for i in range(900)] + [(7, "x")] * 400 + [(None, "y")] * 20
+    ring = Ring(shards=7, nodes=5, slice_bits=6, load=load)
+    docs = documents(rows)
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no key"), ROW)).otherwise(F.xxhash64("doc_id"))
+    cell = F.xxhash64(F.lit("cell"), ROW)
+    placed = numbered(docs).select("doc_id", ROW, key.alias("place"), cell.alias("cell")).collect()
+    slices = defaultdict(list)
+    for r in placed:
+        slices[(r.place % 2**64) >> 58].append(r)
+    lot = 4 * len(rows) // len(slices)
+    for held in slices.values():
+        cells = -(-len(held) // lot) if len(held) > lot else 1
+        held.sort(key=lambda r: (r.cell % cells, r.place, r[ROW]))
+    points = [
+        (int.from_bytes(hashlib.sha256(f"{s}:{n}".encode()).digest()[:8], "big"), s) for s in range(7) for n in range(5)
+    ]
+    points = [(place >> 58, shard) for place, shard in sorted(points)]
+    room = [-(-load * len(rows) // 7)] * 7 if load > 1 else [len(rows) // 7 + (s < len(rows) % 7) for s in range(7)]
+    filled, want = [0] * 7, []
+    waiting = []
+    for piece in sorted(slices):
+        node = next((i for i, (at, _) in enumerate(points) if at >= piece), 0)
+        waiting += [(node, r) for r in slices[piece]]
+    while waiting:
+        onward = []
+        for node, r in waiting:
+            shard = points[node][1]
+            if filled[shard] < room[shard]:
+                want.append((str(r.doc_id), shard, filled[shard]))
+                filled[shard] += 1
+            else:
+                onward.append(((node + 1) % len(points), r))
+        waiting = onward
+    got = [(str(r.doc_id), r.shard, r.slot) for r in shard_documents(spark, docs, ring).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_a_key_of_a_third_of_all_rows_is_ranked_in_cells(spark, documents):
     rows = [(i, "x") for i in range(4000)] + [(7, "x")] * 2000
     docs = documents(rows)
