@@ -148,7 +148,7 @@ ORACLES = {
         f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM t)
         SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+               cast(CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS DOUBLE) AS refers_to
         FROM f""",
     "op13_phrase_mining": r"""
         WITH t AS (
