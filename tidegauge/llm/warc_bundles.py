@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import ROW, numbered, tasks, whole_text
+from .common import ROW, Workspace, numbered, tasks, whole_text
 
 #: Payloads from this size are stored once.
 LEAST = 100
@@ -175,8 +175,8 @@ def write_archives(
     with the smallest page_id (null is the greatest; of repeated ids the row numbered
     first) is the response, the others are revisit records that refer to it. Payloads are
     told apart by size and SHA-256, grouped without their texts; a payload of a third of
-    all pages is one row per task there, and of the join only rows with copies are left on
-    the small side. Null html is empty, a null url is `about:blank`, characters that no
+    all pages is one row per task there; only payloads that come again are joined back, without
+    a shuffle of the pages where these are few. Null html is empty, a null url is `about:blank`, characters that no
     URL may have are percent-encoded; an empty table gives no
     bundle and an empty index. `folder` has to be new, and in a store that both Spark and
     pyarrow open.
@@ -198,6 +198,7 @@ def write_archives(
         .where("n > 1")
         .select("of", "size", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
     )
+    copied = Workspace(spark, "copies").save(copied)  # by its size Spark broadcasts it, or shuffles both sides
     stored = rows.join(copied, (F.col("digest") == F.col("of")) & (size == F.col("size")), "left").drop("of", "size")
     index = stored.mapInArrow(written(f"{folder.rstrip('/')}/bundles", date), INDEX)
     index.write.option("compression", "zstd").parquet(f"{folder.rstrip('/')}/index")
