@@ -176,10 +176,12 @@ def write_archives(
     first) is the response, the others are revisit records that refer to it. Payloads are
     told apart by size and SHA-256, grouped without their texts; a payload of a third of
     all pages is one row per task there; only payloads that come again are joined back, without
-    a shuffle of the pages where these are few. Null html is empty, a null url is `about:blank`, characters that no
-    URL may have are percent-encoded; an empty table gives no
-    bundle and an empty index. `folder` has to be new, and in a store that both Spark and
-    pyarrow open.
+    a shuffle of the pages where these are few.
+
+    Null html is empty, a null url is `about:blank`, characters that no URL may have are
+    percent-encoded; a very long page is a frame of its own; other columns play no part; an
+    empty table gives no bundle and an empty index. `folder` has to be new, and in a store
+    that both Spark and pyarrow open.
     """
     data = whole_text(F.col("html").cast("string"))
     rows = numbered(pages).select(
