@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.llm import hashing, order_minhash, substring_chains, suffix_blocks
 from tidegauge.llm.block_names import drop_exact_copies, exact_groups
-from tidegauge.llm.common import Workspace
+from tidegauge.llm.common import ROW, Workspace, numbered
 from tidegauge.llm.hashing import common_places, labelled, mixed, rising, sliding_min
 from tidegauge.llm.order_minhash import components, drop_near_copies, near_groups
 from tidegauge.llm.substring_chains import chains_of, fuzzy_passages
@@ -265,6 +267,48 @@ def test_repeats_are_those_of_all_windows(spark, documents, monkeypatch, part):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
 
 
+def test_monotonous_texts_are_dealt_by_their_bytes(spark, documents, monkeypatch):
+    monkeypatch.setattr(suffix_blocks, "PART_BYTES", 60_000)
+    monkeypatch.setattr(suffix_blocks, "STRETCH", suffix_blocks.RUN)
+    texts = [b"a" * (3000 + 500 * i) for i in range(60)]
+    docs = documents([(i, t.decode()) for i, t in enumerate(texts)])
+    numbers = numbered(docs).select(F.col(ROW).alias("row"), F.encode("text", "UTF-8").alias("data"))
+    runs = suffix_blocks.live_runs(Workspace(spark, "test"), numbers)
+    parts = runs.groupBy("bucket", "part").agg(F.sum(F.octet_length("data")).alias("n")).collect()
+    assert len(parts) > 9 and max(r.n for r in parts) < 4 * 60_000
+    got = {r.doc_id: r.n_removed for r in repeat_report(spark, docs).collect()}
+    assert got == dict(enumerate(map(len, texts)))
+
+
+def peak_of(work):
+    """Most bytes in use at once."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_fingerprints_take_no_more_than_their_sums():
+    data = np.random.default_rng(1).integers(0, 256, 3_000_000, np.uint8)
+    prints, most = peak_of(lambda: suffix_blocks.Fingerprints(data, 0xABCDEF12345))
+    assert most < 10 * len(data)
+    places = np.array([0, 1, 65_535, 65_536, 131_000, 2_999_599])
+    plain = [sum((int(c) + 1) * pow(0xABCDEF12345, i, 1 << 64) for i, c in enumerate(data[p : p + 400])) for p in places]
+    assert prints.at(places, 400).tolist() == [x % (1 << 64) for x in plain] == prints.all(400)[places].tolist()
+
+
+def test_runs_of_a_very_long_text_take_little_and_miss_no_window():
+    data = np.random.default_rng(2).integers(97, 123, 2_000_000, np.uint8).tobytes()
+    (bucket, first, count, _), most = peak_of(lambda: suffix_blocks.runs_of(data))
+    assert most < 20 * len(data)
+    assert first[0] == 0 and (first[1:] == first[:-1] + count[:-1]).all() and first[-1] + count[-1] == len(data) - WINDOW + 1
+    near = suffix_blocks.PIECE - 300  # the same windows have the same buckets, whatever piece they are in
+    own = dict(zip(*suffix_blocks.runs_of(data[near : near + 1000])[:2][::-1]))
+    of = np.repeat(bucket, count)
+    assert all(of[near + at] == b for at, b in own.items())
+
+
 def test_removed_spans_and_kept_bytes_make_the_text(spark, documents):
     shared = prose(50, 150)
     rows = [(i, prose(i, 30) + shared + prose(99 + i, 30)) for i in range(3)]
